@@ -9,8 +9,8 @@ rows is never gathered into one task:
 * group totals are computed by ``groupBy`` and joined back instead of a
   ``Window.partitionBy`` (a window partition is processed by one task);
   AQE's skew-join handling splits a hot key on the large side of that join;
-* numbering (``serial``) range-partitions on (group, order) so a hot group
-  spans many partitions, then adds per-partition offsets.
+* numbering (``serial``) uses a window only for groups of bounded size; a
+  hot group is range-partitioned over many tasks with per-partition offsets.
 """
 
 from __future__ import annotations
@@ -143,28 +143,70 @@ def category_share(
     return out.withColumn(name, share).drop("_cf_cat", "_cf_total", "_cf_w")
 
 
+# Groups up to this many rows are numbered by a window (one task per group);
+# larger ("hot") groups are spread over many tasks.  The hot-key list has at
+# most rows / HOT_GROUP_ROWS entries, which bounds its broadcast.
+HOT_GROUP_ROWS = 1_000_000
+
+
 def serial(
     df: DataFrame,
     order: str | Sequence[str],
     by: str | Sequence[str] = (),
     name: str = "sn",
     start: int = 1,
+    max_group_rows: int = HOT_GROUP_ROWS,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Dense numbering ``start..`` within ``by`` groups, in ``order``.
 
     ``row_number().over(Window.partitionBy(by))`` sorts a whole group in one
-    task (and the whole table when ``by`` is empty).  Here the rows are
-    range-partitioned on (by, order), so a large group is spread over many
+    task, which is fine for bounded groups and wrong for a group holding a
+    large share of the data (or for one global sequence).  So groups are
+    first counted (partial aggregate): groups up to ``max_group_rows`` rows
+    get the window; larger groups - and the global case - are numbered by
+    ``range_serial``, which spreads a group over many partitions.  Ties in
+    ``order`` are numbered in an arbitrary order, as with ``row_number``.
+    """
+    by_cols = _cols(by)
+    order_cols = _cols(order)
+    if not by_cols:
+        return range_serial(df, order_cols, by_cols, name, start, num_partitions)
+    counts = df.groupBy(*by_cols).agg(F.count(F.lit(1)).alias("_cf_n"))
+    hot = counts.where(F.col("_cf_n") > F.lit(max_group_rows)).select(*by_cols)
+    w = Window.partitionBy(*by_cols).orderBy(*order_cols)
+
+    def windowed(d: DataFrame) -> DataFrame:
+        return d.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
+
+    if hot.isEmpty():  # one small aggregate job; the usual case
+        return windowed(df)
+    tagged = df.join(F.broadcast(hot.withColumn("_cf_hot", F.lit(True))), by_cols, "left")
+    normal = windowed(tagged.where(F.col("_cf_hot").isNull()).drop("_cf_hot"))
+    heavy = range_serial(
+        tagged.where(F.col("_cf_hot")).drop("_cf_hot"), order_cols, by_cols, name, start, num_partitions
+    )
+    return normal.unionByName(heavy)
+
+
+def range_serial(
+    df: DataFrame,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    name: str = "sn",
+    start: int = 1,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Numbering of large groups (or of the whole table) without one-task windows.
+
+    Rows are range-partitioned on (by, order), so a large group spans many
     partitions; each partition numbers its rows from
     ``monotonically_increasing_id`` and a small (partition, group) table of
     counts supplies each slice's offset.  That table has at most
-    ``#partitions + #groups`` rows.  Ties in ``order`` are numbered in an
-    arbitrary order, as with ``row_number``.  The sorted rows are written
-    once to the session's checkpoint folder.
+    ``#partitions + #groups`` rows.
     """
-    by_cols = _cols(by)
-    order_cols = _cols(order)
+    by_cols = list(by)
+    order_cols = list(order)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*by_cols, *order_cols]

@@ -47,37 +47,61 @@ def segment_cells(
     Output: input columns + ``ix, iy, gid, t0, t1, length``; segments outside
     the grid give no rows.  Zero-length clips (a segment touching a cell at a
     corner or an end point on an edge) are kept with length 0.
+
+    Every intermediate is a named column computed once per row, so the
+    generated code stays small enough for the JIT (a nested expression
+    tree would repeat the same divisions many times per row).
     """
-    X0, Y0, X1, Y1 = F.col(x0), F.col(y0), F.col(x1), F.col(y1)
-    xa, xb = F.least(X0, X1), F.greatest(X0, X1)
-    ia, ib = grid.col_range(xa - F.lit(_TOL * grid.dx), xb + F.lit(_TOL * grid.dx))
-    out = segs.withColumn("ix", explode_range(ia, ib))
-    # y extent of the segment inside the column strip [xmin(ix), xmax(ix)]
-    dx = X1 - X0
-    sx0 = grid.xmin(F.col("ix"))
-    sx1 = grid.xmax(F.col("ix"))
-    ta = F.when(dx == 0, F.lit(0.0)).otherwise((sx0 - X0) / dx)
-    tb = F.when(dx == 0, F.lit(1.0)).otherwise((sx1 - X0) / dx)
-    tlo = F.greatest(F.lit(0.0), F.least(ta, tb))
-    thi = F.least(F.lit(1.0), F.greatest(ta, tb))
-    ya = Y0 + tlo * (Y1 - Y0)
-    yb = Y0 + thi * (Y1 - Y0)
+    keep = segs.columns
+    c = F.col
+    base = segs.select(
+        "*",
+        (c(x1) - c(x0)).alias("_cf_dx"),
+        (c(y1) - c(y0)).alias("_cf_dy"),
+    )
+    ia, ib = grid.col_range(
+        F.least(c(x0), c(x1)) - F.lit(_TOL * grid.dx), F.greatest(c(x0), c(x1)) + F.lit(_TOL * grid.dx)
+    )
+    cols = base.select("*", explode_range(ia, ib).alias("ix"))
+    # parameter range of the segment inside the column strip [xmin(ix), xmax(ix)]
+    cols = cols.select(
+        "*",
+        grid.xmin(c("ix")).alias("_cf_cx0"),
+        grid.xmax(c("ix")).alias("_cf_cx1"),
+    ).select(
+        "*",
+        F.when(c("_cf_dx") == 0, F.lit(0.0)).otherwise((c("_cf_cx0") - c(x0)) / c("_cf_dx")).alias("_cf_ta"),
+        F.when(c("_cf_dx") == 0, F.lit(1.0)).otherwise((c("_cf_cx1") - c(x0)) / c("_cf_dx")).alias("_cf_tb"),
+    ).select(
+        "*",
+        (c(y0) + F.greatest(F.lit(0.0), F.least("_cf_ta", "_cf_tb")) * c("_cf_dy")).alias("_cf_ya"),
+        (c(y0) + F.least(F.lit(1.0), F.greatest("_cf_ta", "_cf_tb")) * c("_cf_dy")).alias("_cf_yb"),
+    )
     ja, jb = grid.row_range(
-        F.least(ya, yb) - F.lit(_TOL * grid.dy), F.greatest(ya, yb) + F.lit(_TOL * grid.dy)
+        F.least("_cf_ya", "_cf_yb") - F.lit(_TOL * grid.dy), F.greatest("_cf_ya", "_cf_yb") + F.lit(_TOL * grid.dy)
     )
-    out = out.withColumn("iy", explode_range(ja, jb))
-    clip = geo.clip_segment(
-        X0, Y0, X1, Y1,
-        grid.xmin(F.col("ix")), grid.ymin(F.col("iy")), grid.xmax(F.col("ix")), grid.ymax(F.col("iy")),
+    cells = cols.select("*", explode_range(ja, jb).alias("iy")).select(
+        "*", grid.ymin(c("iy")).alias("_cf_cy0"), grid.ymax(c("iy")).alias("_cf_cy1")
     )
-    out = out.withColumn("_cf_clip", clip).where(F.col("_cf_clip.hit"))
-    seg_len = geo.seg_length(X0, Y0, X1, Y1)
-    return (
-        out.withColumn("gid", grid.gid(F.col("ix"), F.col("iy")))
-        .withColumn("t0", F.col("_cf_clip.t0"))
-        .withColumn("t1", F.col("_cf_clip.t1"))
-        .withColumn(length, (F.col("t1") - F.col("t0")) * seg_len * F.lit(float(scale)))
-        .drop("_cf_clip")
+    # closed Liang-Barsky test against the cell; the x slab is the strip's
+    cells = cells.select(
+        "*",
+        F.when(c("_cf_dy") == 0, F.lit(0.0)).otherwise((c("_cf_cy0") - c(y0)) / c("_cf_dy")).alias("_cf_tc"),
+        F.when(c("_cf_dy") == 0, F.lit(1.0)).otherwise((c("_cf_cy1") - c(y0)) / c("_cf_dy")).alias("_cf_td"),
+    ).select(
+        "*",
+        F.greatest(F.lit(0.0), F.least("_cf_ta", "_cf_tb"), F.least("_cf_tc", "_cf_td")).alias("t0"),
+        F.least(F.lit(1.0), F.greatest("_cf_ta", "_cf_tb"), F.greatest("_cf_tc", "_cf_td")).alias("t1"),
+    )
+    miss_x = (c("_cf_dx") == 0) & ((c(x0) < c("_cf_cx0")) | (c(x0) > c("_cf_cx1")))
+    miss_y = (c("_cf_dy") == 0) & ((c(y0) < c("_cf_cy0")) | (c(y0) > c("_cf_cy1")))
+    hit = cells.where(~miss_x & ~miss_y & (c("t0") <= c("t1")))
+    seg_len = F.sqrt(c("_cf_dx") * c("_cf_dx") + c("_cf_dy") * c("_cf_dy"))
+    return hit.select(
+        *keep, "ix", "iy",
+        grid.gid(c("ix"), c("iy")).alias("gid"),
+        "t0", "t1",
+        ((c("t1") - c("t0")) * seg_len * F.lit(float(scale))).alias(length),
     )
 
 
