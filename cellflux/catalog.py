@@ -228,12 +228,12 @@ def q_residential_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _total(spark: SparkSession, sf: str) -> DataFrame:
-    rc = inventory.road_overlay(fx.roads(spark, sf), G)
+    # roads and windblown dust share the overlay and the per-cell share sum
+    lpc = inventory.road_share_by_cell(inventory.road_overlay(fx.roads(spark, sf), G))
     return inventory.total_inventory(
         _industry_inv(spark, sf),
-        inventory.road_inventory(spark, None, G, road_cells=rc),
+        inventory.road_and_dust_tpy(lpc),
         inventory.bus_inventory(spark, fx.route_stops(spark, sf), fx.stops(spark, sf), G),
-        inventory.windblown_inventory(spark, rc, G),
         inventory.residential_inventory(spark, fx.census(spark, sf), fx.wards(spark, sf), G),
     )
 

@@ -19,6 +19,7 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(names: str | Iterable[str]) -> list[str]:
@@ -232,17 +233,33 @@ def range_serial(
 def with_next(
     df: DataFrame, seq: str, by: str | Sequence[str] = (), cols: Sequence[str] = (), prefix: str = "next_"
 ) -> DataFrame:
-    """``lead`` by an equi join on (by, seq + 1) - no window, no hot key.
+    """``lead``: each row gets ``cols`` of the row numbered ``seq + 1`` in its group.
 
-    ``seq`` must be a dense numbering such as the one ``serial`` adds.
+    No window and no self join: every row is emitted twice - under its own
+    key (group, seq) and as the successor of (group, seq - 1) - and one
+    aggregate on (group, seq) pairs them.  Each key has at most two rows, so
+    no key is hot, and the input is read once.  ``seq`` must be dense (see
+    ``serial``); the last row of a group gets nulls.
     """
     by_cols = _cols(by)
-    nxt = df.select(
-        *[F.col(c) for c in by_cols],
-        (F.col(seq) - F.lit(1)).alias(seq),
-        *[F.col(c).alias(prefix + c) for c in cols],
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    payload = [c for c in df.columns if c not in by_cols and c != seq]
+    me_type = T.StructType([T.StructField(c, schema[c]) for c in payload])
+    nx_type = T.StructType([T.StructField(prefix + c, schema[c]) for c in cols])
+    me = F.struct(*[F.col(c) for c in payload])
+    nx = F.struct(*[F.col(c).alias(prefix + c) for c in cols])
+    pairs = F.array(
+        F.struct(F.col(seq).alias("k"), me.alias("me"), F.lit(None).cast(nx_type).alias("nx")),
+        F.struct((F.col(seq) - F.lit(1)).alias("k"), F.lit(None).cast(me_type).alias("me"), nx.alias("nx")),
+    )
+    both = df.select(*by_cols, F.explode(pairs).alias("_cf_e"))
+    joined = both.groupBy(*by_cols, F.col("_cf_e.k").alias(seq)).agg(
+        F.max("_cf_e.me").alias("_cf_me"), F.max("_cf_e.nx").alias("_cf_nx")
+    )
+    return joined.where(F.col("_cf_me").isNotNull()).select(
+        *by_cols, seq, *[F.col(f"_cf_me.{c}").alias(c) for c in payload],
+        *[F.col(f"_cf_nx.{prefix}{c}").alias(prefix + c) for c in cols],
     )
-    return df.join(nxt, [*by_cols, seq], "left")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

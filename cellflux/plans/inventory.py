@@ -68,17 +68,19 @@ def road_overlay(roads: DataFrame, grid: Grid, scale: float = factors.ROAD_LENGT
     return spatial.overlay_lines(roads, grid, key=["road_id"], keep=["cat"], scale=scale)
 
 
-def _road_like(
-    spark: SparkSession,
-    road_cells: DataFrame,
-    grid: Grid,
-    weights: Mapping[str, tuple[float, float]],
-    fac: Mapping[str, float],
-    days: int | None,
+def road_share_by_cell(
+    road_cells: DataFrame, weights: Mapping[str, tuple[float, float]] = factors.ROAD_WEIGHTS
 ) -> DataFrame:
+    """W4 + A2: per cell, the sum of the road pieces' traffic shares (gid, lpc)."""
     shares = agg.category_share(road_cells, "cat", "length", weights, name="lpc")
-    per_cell = agg.sum_by(shares, "gid", {"lpc": "lpc"})
-    per_cell = per_cell.select(
+    return agg.sum_by(shares, "gid", {"lpc": "lpc"})
+
+
+def inventory_from_share(
+    spark: SparkSession, lpc: DataFrame, grid: Grid, fac: Mapping[str, float], days: int | None
+) -> DataFrame:
+    """Per-cell share x emission factors (x days) -> every grid cell, t/yr."""
+    per_cell = lpc.select(
         "gid",
         (F.col("lpc") * F.lit(fac["pm25"])).alias("pm25"),
         (F.col("lpc") * F.lit(fac["pm10"])).alias("pm10"),
@@ -87,6 +89,34 @@ def _road_like(
     return to_grid(spark, grid, per_cell, ["pm25", "pm10", "pm10_tpy", "pm25_tpy"])
 
 
+def road_and_dust_tpy(lpc: DataFrame) -> DataFrame:
+    """Roads (E3) and windblown dust (E5) together from one per-cell share sum.
+
+    Both sectors weigh the same road pieces the same way and differ only in
+    their factors, so a total needs the overlay once (gid, pm10_tpy, pm25_tpy).
+    """
+    road, dust = factors.ROAD_FACTORS, factors.DUST_FACTORS
+    days = float(factors.ROAD_DAYS)
+    return lpc.select(
+        "gid",
+        (F.col("lpc") * F.lit(road["pm10"]) * F.lit(days) / F.lit(1e6)
+         + F.col("lpc") * F.lit(dust["pm10"]) / F.lit(1e6)).alias("pm10_tpy"),
+        (F.col("lpc") * F.lit(road["pm25"]) * F.lit(days) / F.lit(1e6)
+         + F.col("lpc") * F.lit(dust["pm25"]) / F.lit(1e6)).alias("pm25_tpy"),
+    )
+
+
+def _road_like(
+    spark: SparkSession,
+    road_cells: DataFrame,
+    grid: Grid,
+    weights: Mapping[str, tuple[float, float]],
+    fac: Mapping[str, float],
+    days: int | None,
+) -> DataFrame:
+    return inventory_from_share(spark, road_share_by_cell(road_cells, weights), grid, fac, days)
+
+
 def road_inventory(
     spark: SparkSession,
     roads: DataFrame,
@@ -139,8 +169,9 @@ def resolve_stops(route_stops: DataFrame, stops: DataFrame, strict: bool = False
 def route_segments(resolved: DataFrame, key: Sequence[str] = ("route", "total_sing")) -> DataFrame:
     """A10: consecutive resolved stops of a route as segments (pos -> pos + 1).
 
-    Built by an equi join on (route, pos + 1), not by collecting a route's
-    stops into one row, so a route with very many stops stays distributed.
+    Built by pairing each stop with the one numbered ``pos + 1`` in one
+    aggregate (``with_next``), not by collecting a route's stops into one
+    row, so a route with very many stops stays distributed.
     """
     pts = resolved.where(F.col("resolved")).select(*key, "pos", "x", "y")
     return agg.with_next(pts, "pos", by=list(key), cols=["x", "y"]).where(F.col("next_x").isNotNull()).select(
@@ -148,17 +179,6 @@ def route_segments(resolved: DataFrame, key: Sequence[str] = ("route", "total_si
     )
 
 
-def route_lines(resolved: DataFrame) -> DataFrame:
-    """A10 as a value: each route's ordered points as one array (for output only)."""
-    pts = resolved.where(F.col("resolved"))
-    return pts.groupBy("route").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "x", "y"))),
-            lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")),
-        ).alias("points")
-    )
-
-
 def route_cells(route_stops: DataFrame, stops: DataFrame, grid: Grid) -> DataFrame:
     """Distinct (route, cell) pairs a route line meets."""
     segs = route_segments(resolve_stops(route_stops, stops))
