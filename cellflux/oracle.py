@@ -261,11 +261,12 @@ _LATEST = """SELECT station_id, sno, text, split_part(text, ',', 2) AS field1, s
 _STAT_COLS = ["fac2", "mb", "mge", "nmb", "nmge", "rmse", "r", "coe", "ioa"]
 _STAT = f"""SELECT strftime(day, '%Y-%m-%d') AS day, cast(n AS bigint) AS n,
     {", ".join(Q(c, 23) + " AS " + c for c in _STAT_COLS)}
-  FROM (SELECT day, n, fac2, mb, mge, sd/so AS nmb, sad/so AS nmge, sqrt(msd) AS rmse, r, 1e0 - sad/b AS coe,
-          CASE WHEN sad <= 2e0*b THEN 1e0 - sad/(2e0*b) ELSE 2e0*b/sad - 1e0 END AS ioa
+  FROM (SELECT day, n, fac2, mb, mge, sd/nullif(so, 0) AS nmb, sad/nullif(so, 0) AS nmge, sqrt(msd) AS rmse, r,
+          1e0 - sad/nullif(b, 0) AS coe,
+          CASE WHEN sad <= 2e0*b THEN 1e0 - sad/nullif(2e0*b, 0) ELSE 2e0*b/nullif(sad, 0) - 1e0 END AS ioa
   FROM (SELECT p.day, count(*) AS n,
       sum(CASE WHEN obs <> 0 AND mod/obs >= 0.5e0 AND mod/obs <= 2e0 THEN 1 ELSE 0 END)
-        / count(CASE WHEN obs <> 0 THEN 1 END) AS fac2,
+        / nullif(count(CASE WHEN obs <> 0 THEN 1 END), 0) AS fac2,
       avg(mod - obs) AS mb, avg(abs(mod - obs)) AS mge, sum(mod - obs) AS sd, sum(abs(mod - obs)) AS sad,
       sum(obs) AS so, avg((mod - obs)*(mod - obs)) AS msd, corr(mod, obs) AS r,
       sum(abs(obs - m.mo)) AS b

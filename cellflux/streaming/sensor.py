@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflux import factors
 from cellflux.plans import mass
 from cellflux.session import scratch_path
 
@@ -46,8 +45,8 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     return out.where(ok).select(
         "time",
         F.to_timestamp("time", "yyyy-MM-dd'T'HH:mm").alias("ts"),
-        F.try_cast(F.trim("_p05"), "long").alias("pm05"),
-        F.try_cast(F.trim("_p25"), "long").alias("pm25"),
+        F.trim("_p05").try_cast("long").alias("pm05"),
+        F.trim("_p25").try_cast("long").alias("pm25"),
     )
 
 
@@ -172,4 +171,3 @@ def run_hourly_stream(spark: SparkSession, sf_dir: str, weather: DataFrame,
     return spark.read.parquet(out)
 
 
-_ = factors  # constants are used through plans.mass
