@@ -41,3 +41,23 @@ def number_text(x: Column) -> Column:
 def point_text(x: Column, y: Column) -> Column:
     """``"(x,y)"``."""
     return F.concat(F.lit("("), x.cast("string"), F.lit(","), y.cast("string"), F.lit(")"))
+
+
+def glob_regex(pattern: str) -> str:
+    """A shell wildcard (``*``, ``?``) as an anchored regular expression."""
+    import re
+
+    out = []
+    for ch in pattern:
+        out.append(".*" if ch == "*" else "." if ch == "?" else re.escape(ch))
+    return "^" + "".join(out) + "$"
+
+
+def matches_glob(name: Column, pattern: str) -> Column:
+    """File name matches a wildcard (whole-name match, as ``fnmatch``)."""
+    return name.rlike(glob_regex(pattern))
+
+
+def base_name(path: Column) -> Column:
+    """The last path component."""
+    return F.regexp_extract(path, r"([^/]+)$", 1)

@@ -265,3 +265,11 @@ def with_next(
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """P10: nulls to 0 in the given measure columns."""
     return df.fillna(0, subset=list(cols))
+
+
+def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
+    """Row-wise concatenation by column name (missing columns become null)."""
+    out = None
+    for d in dfs:
+        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    return out

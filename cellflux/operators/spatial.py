@@ -128,6 +128,11 @@ def cells_touched(lines: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame
     return segment_cells(lines, grid).select(*key, "gid").distinct()
 
 
+def explode_parts(layer: DataFrame, parts: str = "parts", name: str = "part") -> DataFrame:
+    """Multi-part features -> one row per part (``rings`` of that part, part number)."""
+    return layer.select("*", F.posexplode(parts).alias(name, "rings")).drop(parts)
+
+
 def _ring_edges_rows(polys: DataFrame, pid: str) -> DataFrame:
     """One row per polygon edge: (pid, ax, ay, bx, by)."""
     rings = polys.select(pid, F.explode("rings").alias("_cf_ring"))

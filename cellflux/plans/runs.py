@@ -70,3 +70,13 @@ def run_report(lines: DataFrame) -> DataFrame:
         "last_stage",
         F.col("last_stage").contains(factors.SUCCESS_TEXT).alias("success"),
     )
+
+
+def run_status(lines: DataFrame, file: str = "file", line_no: str = "line_no", text: str = "value") -> DataFrame:
+    """Per log file, its last line and whether it reports success.
+
+    ``max_by`` keeps only the newest line per file on each partition before
+    the shuffle (a log's lines are never gathered together).
+    """
+    last = lines.groupBy(file).agg(F.max_by(F.col(text), F.col(line_no)).alias("last_line"))
+    return last.withColumn("success", F.col("last_line").contains(factors.SUCCESS_TEXT))

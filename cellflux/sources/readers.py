@@ -75,7 +75,7 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     Each file is read whole (``wholetext``) so line numbers are exact, then
     split; log files are small relative to a task.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(
+    whole = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value")
     )
     lines = whole.select("file", F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("line_no", "value"))
