@@ -165,7 +165,7 @@ DUST_DIGITS = {"pm25": 0, "pm10": 0, "pm10_tpy": 14, "pm25_tpy": 14}
 
 
 def q_windblown_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    rc = inventory.road_overlay(fx.roads(spark, sf), G)
+    rc = inventory.road_pieces(fx.roads(spark, sf), G)
     out = inventory.windblown_inventory(spark, rc, G)
     return rounded(out.select("gid", "pm25", "pm10", "pm10_tpy", "pm25_tpy"), DUST_DIGITS)
 
@@ -229,7 +229,7 @@ def q_residential_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 def _total(spark: SparkSession, sf: str) -> DataFrame:
     # roads and windblown dust share the overlay and the per-cell share sum
-    lpc = inventory.road_share_by_cell(inventory.road_overlay(fx.roads(spark, sf), G))
+    lpc = inventory.road_share_by_cell(inventory.road_pieces(fx.roads(spark, sf), G))
     return inventory.total_inventory(
         _industry_inv(spark, sf),
         inventory.road_and_dust_tpy(lpc),
@@ -288,9 +288,7 @@ def q_merge_region_into_field(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_observation_window(spark: SparkSession, sf: str) -> DataFrame:
     obs = fx.observations(spark, sf)
-    out = evaluate.observations_in(obs, "monitor", EVAL_BEGIN, EVAL_END).unionByName(
-        evaluate.observations_in(obs, "model", EVAL_BEGIN, EVAL_END)
-    )
+    out = evaluate.observations_in(obs, ["monitor", "model"], EVAL_BEGIN, EVAL_END)
     return rounded(out.select("time", "property", "value"), {"value": 23})
 
 

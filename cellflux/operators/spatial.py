@@ -200,7 +200,10 @@ def points_in_polygons(
         & (px >= F.least(ax, bxx)) & (px <= F.greatest(ax, bxx))
         & (py >= F.least(ay, byy)) & (py <= F.greatest(ay, byy))
     )
-    tested = pe.groupBy("_cf_pt", "_cf_poly", "_cf_ord").agg(
+    # Partition once by point: the per-(point, polygon) count and the
+    # per-point pick below both reuse it (a point has few candidate
+    # polygons, so the key is never hot).
+    tested = pe.repartition("_cf_pt").groupBy("_cf_pt", "_cf_poly", "_cf_ord").agg(
         F.sum(F.when(crosses, 1).otherwise(0)).alias("_cf_cross"),
         F.max(on_edge.cast("int")).alias("_cf_on"),
     )

@@ -11,10 +11,15 @@ from cellflux.operators.stats import mod_stats
 
 
 def observations_in(
-    obs: DataFrame, prop: str, begin: str | None = None, end: str | None = None, offering: str | None = None
+    obs: DataFrame,
+    prop: str | Sequence[str],
+    begin: str | None = None,
+    end: str | None = None,
+    offering: str | None = None,
 ) -> DataFrame:
-    """SC7/P8/P9: one property's series inside [begin, end] (filters reach the scan)."""
-    cond = F.col("property") == prop
+    """SC7/P8/P9: one or more properties' series inside [begin, end] (filters reach the scan)."""
+    props = [prop] if isinstance(prop, str) else list(prop)
+    cond = F.col("property").isin(props)
     if begin is not None:
         cond = cond & (F.col("time") >= F.to_timestamp(F.lit(begin)))
     if end is not None:
@@ -30,6 +35,23 @@ def natural_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.join(b, shared, "inner")
 
 
+def paired_series(
+    obs: DataFrame, obs_prop: str, mod_prop: str, begin: str | None = None, end: str | None = None
+) -> DataFrame:
+    """J9 for two series of one value per time: (time, obs, mod) at times both have.
+
+    One scan and one aggregate on ``time`` put the two properties side by
+    side - the merge of the two series without reading them twice or
+    joining the table with itself.
+    """
+    both = observations_in(obs, [obs_prop, mod_prop], begin, end)
+    wide = both.groupBy("time").agg(
+        F.max(F.when(F.col("property") == obs_prop, F.col("value"))).alias("obs"),
+        F.max(F.when(F.col("property") == mod_prop, F.col("value"))).alias("mod"),
+    )
+    return wide.where(F.col("obs").isNotNull() & F.col("mod").isNotNull())
+
+
 def evaluate_model(
     obs: DataFrame,
     obs_prop: str,
@@ -42,9 +64,7 @@ def evaluate_model(
 
     ``by`` may name ``"day"`` to split by calendar day of ``time``.
     """
-    o = observations_in(obs, obs_prop, begin, end).select("time", F.col("value").alias("obs"))
-    m = observations_in(obs, mod_prop, begin, end).select("time", F.col("value").alias("mod"))
-    pairs = natural_join(o, m)
+    pairs = paired_series(obs, obs_prop, mod_prop, begin, end)
     if "day" in by:
         pairs = pairs.withColumn("day", F.to_date("time"))
     return mod_stats(pairs, obs="obs", mod="mod", by=by)
