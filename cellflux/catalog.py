@@ -81,8 +81,8 @@ def q_grid_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Every cell with its (ix, iy) and the number of industry points in it (half-open)."""
     pts = gridops.point_cell(fx.industry(spark, sf), G)
     counts = agg.count_by(pts, "gid", "n_points")
-    cells = G.cells(spark)
-    return F.broadcast(cells).join(counts, "gid", "left").fillna(0, subset=["n_points"])
+    full = gridops.to_grid(spark, G, counts, ["n_points"])
+    return full.select("gid", G.ix_of_gid(F.col("gid")).alias("ix"), G.iy_of_gid(F.col("gid")).alias("iy"), "n_points")
 
 
 def _industry_inv(spark: SparkSession, sf: str) -> DataFrame:

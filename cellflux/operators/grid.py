@@ -134,15 +134,14 @@ def to_grid(
 ) -> DataFrame:
     """Every cell of the grid with the per-cell measures, missing -> 0.
 
-    ``per_cell`` has at most one row per cell.  The grid table is broadcast
-    when its known size allows, otherwise both sides shuffle on ``gid``.
+    ``per_cell`` has at most one row per cell, so its size is bounded by the
+    grid's cell count - known before running.  Within the bound it is
+    broadcast to the grid scan (the preserved side of the left join);
+    beyond it both sides shuffle on ``gid``.
     """
     cells = grid.cells(spark).select(F.col("gid").alias(key))
-    if grid.small_enough_to_broadcast():
-        joined = F.broadcast(cells).join(per_cell, key, "left")
-    else:
-        joined = cells.join(per_cell, key, "left")
-    return joined.fillna(0, subset=list(cols))
+    right = F.broadcast(per_cell) if grid.small_enough_to_broadcast() else per_cell
+    return cells.join(right, key, "left").fillna(0, subset=list(cols))
 
 
 def upscale(

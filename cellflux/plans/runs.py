@@ -72,7 +72,7 @@ def run_report(lines: DataFrame) -> DataFrame:
     )
 
 
-def run_status(lines: DataFrame, file: str = "file", line_no: str = "line_no", text: str = "value") -> DataFrame:
+def run_status(lines: DataFrame, file: str = "file", line_no: str = "line_order", text: str = "value") -> DataFrame:
     """Per log file, its last line and whether it reports success.
 
     ``max_by`` keeps only the newest line per file on each partition before

@@ -70,16 +70,29 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """SC8: log text, one row per line with its file and line number.
+    """SC8: log text, one row per line, with its file and its place in the file.
 
-    Each file is read whole (``wholetext``) so line numbers are exact, then
-    split; log files are small relative to a task.
+    Files are read line by line (splittable - a large log is spread over
+    tasks); ``line_order`` = (file block start, position) orders a file's
+    lines without numbering them.  ``run_status`` takes the last line by it;
+    ``with_line_numbers`` adds dense numbers where they are needed.
     """
-    whole = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value")
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("pos"),
+        ).alias("line_order"),
+        F.col("value"),
     )
-    lines = whole.select("file", F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("line_no", "value"))
-    return lines
+
+
+def with_line_numbers(lines: DataFrame, start: int = 0) -> DataFrame:
+    """Dense line numbers per file (windowed for ordinary files, spread for huge ones)."""
+    from cellflux.operators.aggregate import serial
+
+    flat = lines.select("*", F.col("line_order.block").alias("_cf_b"), F.col("line_order.pos").alias("_cf_p"))
+    return serial(flat, order=["_cf_b", "_cf_p"], by="file", name="line_no", start=start).drop("_cf_b", "_cf_p")
 
 
 def read_sensor_stream(spark: SparkSession, path: str, fmt: str = "text", schema: T.StructType | None = None,

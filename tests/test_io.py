@@ -70,7 +70,9 @@ def test_logs_and_run_status(spark):
     lines = readers.read_logs(spark, f"{d}/*.log")
     status = {os.path.basename(r.file): r.success for r in runs.run_status(lines).collect()}
     assert status == {"real.log": True, "wrf.log": False}
-    assert lines.where(F.col("file").endswith("real.log")).agg(F.max("line_no")).first()[0] == 2
+    numbered = readers.with_line_numbers(lines)
+    real = {r.line_no: r.value for r in numbered.where(F.col("file").endswith("real.log")).collect()}
+    assert real == {0: "starting", 1: "step 1", 2: "real: SUCCESS COMPLETE Successful completion"}
 
 
 def test_by_species_split_and_template(spark):
