@@ -231,6 +231,29 @@ def ward_points(points: DataFrame, wards: DataFrame, bucket: Grid, point_key: st
     return agg.equal_share(pw, "wrd", count_name="grid_count", share_name="wrd_prop")
 
 
+def join_census(
+    pca: DataFrame,
+    hl: DataFrame,
+    town: int | None = None,
+    pca_town: str = "town_village",
+    hl_town: str = "town_village",
+    pca_ward: str = "ward",
+    hl_ward: str = "ward",
+) -> DataFrame:
+    """J2 + P6: population sheet left join house-listing sheet on ward, within one town.
+
+    The town filters are on columns and reach the scans; with ``town=None``
+    every town is kept and the join is on (town, ward).
+    """
+    p, h = pca, hl
+    if town is not None:
+        p = p.where(F.col(pca_town) == town)
+        h = h.where(F.col(hl_town) == town)
+    h = h.withColumnRenamed(hl_ward, "_cf_ward").withColumnRenamed(hl_town, "_cf_town")
+    cond = (F.col(pca_ward) == F.col("_cf_ward")) & (F.col(pca_town) == F.col("_cf_town"))
+    return p.join(h, cond, "left").drop("_cf_ward", "_cf_town")
+
+
 def census_join(wards: DataFrame, census: DataFrame) -> DataFrame:
     """Ward layer left join census on ward code."""
     w = wards.drop("rings") if "rings" in wards.columns else wards

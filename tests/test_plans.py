@@ -97,3 +97,12 @@ def test_missing_inputs_and_run_report(spark):
     assert rep[(1, "geogrid")].stage_seconds == 30.0 and rep[(1, "real")].stage_seconds == 90.0
     assert rep[(1, "real")].run_seconds == 120.0 and rep[(1, "real")].success is True
     assert rep[(2, "real")].success is False
+
+
+def test_join_census_by_town_and_ward(spark):
+    pca = spark.createDataFrame([(803984, 1, "W1", 120), (803984, 2, "W2", 80), (111, 1, "X", 5)],
+                                "town_village int, ward int, name string, no_of_households int")
+    hl = spark.createDataFrame([(803984, 1, 40.0), (111, 1, 99.0)], "town_village int, ward int, s1 double")
+    got = {r.ward: r.s1 for r in inventory.join_census(pca, hl, town=803984).collect()}
+    assert got == {1: 40.0, 2: None}
+    assert inventory.join_census(pca, hl).count() == 3
