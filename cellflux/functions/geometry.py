@@ -78,60 +78,66 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def _ring_sum(ring: Column, term) -> Column:
-    return F.aggregate(ring_edges(ring), F.lit(0.0), lambda acc, e: acc + term(e))
+def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
+    """One pass over a ring: struct(a2, mx6, my6) = 2 x signed area and 6 x first
+    moments, about the origin (ox, oy).
 
+    Vertices are read by index from ``r`` (a lambda variable or a cheap array
+    lookup), so no ring is rebuilt per edge; moving the origin to a vertex of
+    the polygon keeps the sums small and exact for axis-aligned pieces.
+    """
+    n = F.size(r)
+
+    def step(acc, i):
+        a, b = r[i], r[(i + F.lit(1)) % n]
+        ax, ay = a["x"] - ox, a["y"] - oy
+        bx, by = b["x"] - ox, b["y"] - oy
+        c = ax * by - bx * ay
+        return F.struct(
+            (acc["a2"] + c).alias("a2"),
+            (acc["mx6"] + (ax + bx) * c).alias("mx6"),
+            (acc["my6"] + (ay + by) * c).alias("my6"),
+        )
 
-def _shifted(ring: Column) -> Column:
-    """The ring moved so its first vertex is the origin (keeps the shoelace
-    sums small, so areas of small polygons far from the origin stay exact)."""
-    ox, oy = ring[0]["x"], ring[0]["y"]
-    return F.transform(ring, lambda p: F.struct((p["x"] - ox).alias("x"), (p["y"] - oy).alias("y")))
+    zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx6"), F.lit(0.0).alias("my6"))
+    return F.aggregate(F.sequence(F.lit(0), n - F.lit(1)), zero, step)
 
 
 def signed_area(ring: Column) -> Column:
     """Shoelace signed area of one ring (positive when counter-clockwise)."""
-    return _ring_sum(_shifted(ring), lambda e: e["ax"] * e["by"] - e["bx"] * e["ay"]) / F.lit(2.0)
+    return _ring_moments(ring, ring[0]["x"], ring[0]["y"])["a2"] / F.lit(2.0)
 
 
 def polygon_area(rings: Column) -> Column:
     """Area of a polygon with holes (|shell| - sum |holes|)."""
-    areas = F.transform(rings, lambda r: F.abs(signed_area(r)))
-    return F.aggregate(
-        F.slice(areas, 2, 1_000_000), areas[0], lambda acc, a: acc - a
-    )
+    areas = F.transform(rings, lambda r: F.abs(_ring_moments(r, r[0]["x"], r[0]["y"])["a2"]) / F.lit(2.0))
+    return F.aggregate(F.slice(areas, 2, 1_000_000), areas[0], lambda acc, a: acc - a)
 
 
 def polygon_centroid(rings: Column) -> Column:
     """Area centroid ``struct(x, y)`` of a polygon (holes subtract).
 
-    Moments are taken about the shell's first vertex; each ring's moments
-    are oriented like its area sign, then the shell counts positive and
-    holes negative.
+    Moments are taken about the shell's first vertex; each ring is oriented
+    by its own area sign, then the shell counts positive and holes negative.
     """
     ox, oy = rings[0][0]["x"], rings[0][0]["y"]
 
-    def moments(r):
-        rr = F.transform(r, lambda p: F.struct((p["x"] - ox).alias("x"), (p["y"] - oy).alias("y")))
-        cross = lambda e: e["ax"] * e["by"] - e["bx"] * e["ay"]
-        sa = _ring_sum(rr, cross) / F.lit(2.0)
-        sgn = F.signum(sa)
-        mx = _ring_sum(rr, lambda e: (e["ax"] + e["bx"]) * cross(e)) / F.lit(6.0)
-        my = _ring_sum(rr, lambda e: (e["ay"] + e["by"]) * cross(e)) / F.lit(6.0)
-        return F.struct((sa * sgn).alias("a"), (mx * sgn).alias("mx"), (my * sgn).alias("my"))
+    def signed(r, i):
+        m = _ring_moments(r, ox, oy)
+        sgn = F.signum(m["a2"]) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return F.struct((m["a2"] * sgn).alias("a2"), (m["mx6"] * sgn).alias("mx6"), (m["my6"] * sgn).alias("my6"))
 
-    per_ring = F.transform(rings, lambda r, i: F.struct(moments(r).alias("m"), i.alias("i")))
+    zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx6"), F.lit(0.0).alias("my6"))
     tot = F.aggregate(
-        per_ring,
-        F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")),
-        lambda acc, e: F.struct(
-            (acc["a"] + F.when(e["i"] == 0, e["m"]["a"]).otherwise(-e["m"]["a"])).alias("a"),
-            (acc["mx"] + F.when(e["i"] == 0, e["m"]["mx"]).otherwise(-e["m"]["mx"])).alias("mx"),
-            (acc["my"] + F.when(e["i"] == 0, e["m"]["my"]).otherwise(-e["m"]["my"])).alias("my"),
+        F.transform(rings, signed),
+        zero,
+        lambda acc, m: F.struct(
+            (acc["a2"] + m["a2"]).alias("a2"), (acc["mx6"] + m["mx6"]).alias("mx6"), (acc["my6"] + m["my6"]).alias("my6")
         ),
     )
+    a3 = tot["a2"] * F.lit(3.0)  # 6 x area
     return F.struct(
-        (ox + F.try_divide(tot["mx"], tot["a"])).alias("x"), (oy + F.try_divide(tot["my"], tot["a"])).alias("y")
+        (ox + F.try_divide(tot["mx6"], a3)).alias("x"), (oy + F.try_divide(tot["my6"], a3)).alias("y")
     )
 
 

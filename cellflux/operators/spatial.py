@@ -265,15 +265,18 @@ def _clip_area(ring_x: np.ndarray, ring_y: np.ndarray, xmin: float, ymin: float,
 
 
 @F.pandas_udf(T.DoubleType())
-def _clip_area_udf(rings: pd.Series, xmin: pd.Series, ymin: pd.Series, xmax: pd.Series, ymax: pd.Series) -> pd.Series:
-    out = np.empty(len(rings), dtype="float64")
-    for k, (poly, a, b, c, d) in enumerate(zip(rings, xmin, ymin, xmax, ymax)):
-        total = 0.0
-        for r, ring in enumerate(poly):
-            xs = np.array([p["x"] for p in ring], dtype="float64")
-            ys = np.array([p["y"] for p in ring], dtype="float64")
-            part = _clip_area(xs, ys, a, b, c, d)
+def _clip_area_udf(xs: pd.Series, ys: pd.Series, sizes: pd.Series, xmin: pd.Series, ymin: pd.Series,
+                   xmax: pd.Series, ymax: pd.Series) -> pd.Series:
+    """Clipped area per row; rings arrive as flat coordinate arrays + ring sizes."""
+    out = np.empty(len(xs), dtype="float64")
+    for k in range(len(xs)):
+        x, y, n = xs.iat[k], ys.iat[k], sizes.iat[k]
+        a, b, c, d = xmin.iat[k], ymin.iat[k], xmax.iat[k], ymax.iat[k]
+        total, start = 0.0, 0
+        for r, m in enumerate(n.tolist()):
+            part = _clip_area(x[start:start + m], y[start:start + m], a, b, c, d)
             total = total + part if r == 0 else total - part
+            start += m
         out[k] = total
     return pd.Series(out)
 
@@ -291,7 +294,9 @@ def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> Data
     ja, jb = grid.row_range(b["ymin"], b["ymax"])
     cand = polys.withColumn("ix", explode_range(ia, ib)).withColumn("iy", explode_range(ja, jb))
     area = _clip_area_udf(
-        F.col("rings"),
+        F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["x"]))),
+        F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["y"]))),
+        F.transform("rings", lambda r: F.size(r)),
         grid.xmin(F.col("ix")), grid.ymin(F.col("iy")), grid.xmax(F.col("ix")), grid.ymax(F.col("iy")),
     )
     return (

@@ -26,8 +26,23 @@ LAT_AXIS = {"origin": 10.05, "step": 0.1, "n": 18}
 LON_AXIS = {"origin": 76.05, "step": 0.1, "n": 36}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.
+
+    ``spread=True`` is for tables whose rows go straight into expansive
+    per-row work (segment walks, polygon clips) with no shuffle in between:
+    a Parquet file with one row group is read by one task however large that
+    work is, so a plain scan with fewer partitions than the default
+    parallelism is spread round-robin first (checking the count plans the
+    scan; it runs no job).  On a real cluster the scan already has thousands
+    of splits and this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +77,7 @@ def grid(spark: SparkSession) -> DataFrame:
 
 def industry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry points with daily PM10/PM2.5 emission."""
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=True)
     return p.select(
         F.col("p_partkey").alias("ind_id"),
         ((F.col("p_partkey") * 7919) % 60000 / F.lit(1000.0)).alias("x"),
@@ -90,7 +105,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     Geometry depends only on (order, part, supplier), so repeated line items
     are repeated identical segments (no synthetic row number needed).
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     x0 = (ok * 7919) % 57000 / F.lit(1000.0)
     y0 = (pk * 104729) % 47000 / F.lit(1000.0)
