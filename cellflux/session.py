@@ -7,7 +7,6 @@ a local folder is only chosen when the session has none (tests, laptop).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,15 +71,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     # The checkpoint dir of a SparkContext gets a uuid sub folder; place
     # our own outputs beside it so they are on the same shared storage.
     return f"{base}/cellflux-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def strip_file_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(strip_file_scheme(path))

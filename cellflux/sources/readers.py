@@ -19,9 +19,6 @@ def layer_schema(props: T.StructType) -> T.StructType:
     )
 
 
-READINGS_TEXT = T.StructType([T.StructField("value", T.StringType())])
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
     """SC1: delimited text with a header, explicit schema."""
     return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)

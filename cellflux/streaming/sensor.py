@@ -13,23 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cellflux.plans import mass
 from cellflux.session import scratch_path
 
-READING_TYPES = T.StructType(
-    [
-        T.StructField("sno", T.LongType()),
-        T.StructField("station_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("time", T.StringType()),
-        T.StructField("pm05", T.LongType()),
-        T.StructField("pm25", T.LongType()),
-    ]
-)
-
-
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """``"YYYY-MM-DDTHH:MM,pm05,pm25"`` lines -> (time, ts, pm05, pm25).
 

@@ -150,3 +150,13 @@ def test_polygon_cell_areas_sum_to_area(spark):
     pieces = spatial.polygon_cell_areas(df, GRID, ["poly_id"])
     total = pieces.agg(F.sum("cell_area")).first()[0]
     assert abs(total - _shoelace(PENTAGON[0])[0]) < 1e-9
+
+
+def test_clip_segment_expression(spark):
+    df = spark.createDataFrame([(0.5, 0.5, 2.5, 0.5), (3.0, 3.0, 4.0, 4.0), (1.0, 0.0, 1.0, 1.0)],
+                               "x0 double, y0 double, x1 double, y1 double")
+    c = geo.clip_segment(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.lit(1.0), F.lit(0.0), F.lit(2.0), F.lit(1.0))
+    got = [(r.c.t0, r.c.t1, r.c.hit) for r in df.select(c.alias("c")).collect()]
+    assert got[0] == (0.25, 0.75, True)
+    assert got[1][2] is False
+    assert got[2] == (0.0, 1.0, True)  # along the cell's left edge: touching counts
