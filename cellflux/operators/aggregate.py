@@ -51,12 +51,18 @@ def count_by(df: DataFrame, key: str | Sequence[str], name: str = "n") -> DataFr
 def keep_last(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """One row per key, the one that is last in ``order``.
 
-    ``max_by`` over a struct is a partial aggregate, so a hot key is
-    reduced map-side; no window, no self join.
+    ``order`` must be unique within a key (a source row number), as "last"
+    presumes.  ``max_by`` is a partial aggregate, so a hot key is reduced
+    map-side; no window, no self join.
     """
     keys = _cols(key)
     order_cols = _cols(order)
     payload = [c for c in df.columns if c not in keys]
+    if len(order_cols) == 1:
+        # one max_by per column: fixed-width values keep the hash aggregate
+        # (a struct value forces a sort-based one); the order is unique per key
+        o = F.col(order_cols[0])
+        return df.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in payload])
     picked = df.groupBy(*keys).agg(
         F.max_by(F.struct(*payload), F.struct(*order_cols)).alias("_cf_last")
     )
@@ -238,28 +244,28 @@ def with_next(
     No window and no self join: every row is emitted twice - under its own
     key (group, seq) and as the successor of (group, seq - 1) - and one
     aggregate on (group, seq) pairs them.  Each key has at most two rows, so
-    no key is hot, and the input is read once.  ``seq`` must be dense (see
-    ``serial``); the last row of a group gets nulls.
+    no key is hot, and the input is read once.  Values are carried as plain
+    columns (one ``max`` each, null on the other copy), so numeric payloads
+    use the hash aggregate.  ``seq`` must be dense (see ``serial``); the
+    last row of a group gets nulls.
     """
     by_cols = _cols(by)
     schema = {f.name: f.dataType for f in df.schema.fields}
     payload = [c for c in df.columns if c not in by_cols and c != seq]
-    me_type = T.StructType([T.StructField(c, schema[c]) for c in payload])
-    nx_type = T.StructType([T.StructField(prefix + c, schema[c]) for c in cols])
-    me = F.struct(*[F.col(c) for c in payload])
-    nx = F.struct(*[F.col(c).alias(prefix + c) for c in cols])
-    pairs = F.array(
-        F.struct(F.col(seq).alias("k"), me.alias("me"), F.lit(None).cast(nx_type).alias("nx")),
-        F.struct((F.col(seq) - F.lit(1)).alias("k"), F.lit(None).cast(me_type).alias("me"), nx.alias("nx")),
-    )
-    both = df.select(*by_cols, F.explode(pairs).alias("_cf_e"))
-    joined = both.groupBy(*by_cols, F.col("_cf_e.k").alias(seq)).agg(
-        F.max("_cf_e.me").alias("_cf_me"), F.max("_cf_e.nx").alias("_cf_nx")
-    )
-    return joined.where(F.col("_cf_me").isNotNull()).select(
-        *by_cols, seq, *[F.col(f"_cf_me.{c}").alias(c) for c in payload],
-        *[F.col(f"_cf_nx.{prefix}{c}").alias(prefix + c) for c in cols],
+
+    def copy(key: Column, me: bool) -> Column:
+        fields = [key.alias("k"), F.lit(1 if me else 0).alias("me")]
+        fields += [(F.col(c) if me else F.lit(None).cast(schema[c])).alias(f"p_{c}") for c in payload]
+        fields += [(F.lit(None).cast(schema[c]) if me else F.col(c)).alias(f"n_{c}") for c in cols]
+        return F.struct(*fields)
+
+    both = df.select(*by_cols, F.explode(F.array(copy(F.col(seq), True), copy(F.col(seq) - F.lit(1), False))).alias("_cf_e"))
+    paired = both.groupBy(*by_cols, F.col("_cf_e.k").alias(seq)).agg(
+        F.max("_cf_e.me").alias("_cf_me"),
+        *[F.max(f"_cf_e.p_{c}").alias(c) for c in payload],
+        *[F.max(f"_cf_e.n_{c}").alias(prefix + c) for c in cols],
     )
+    return paired.where(F.col("_cf_me") == 1).drop("_cf_me")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -23,28 +23,28 @@ def nearest_index(
     """Index of the axis value nearest each target; ties go to the upper
     neighbour; targets beyond either end get the end index.
 
-    The axis is regular (``origin + i*step``, ``n`` values) so the bracketing
-    index is arithmetic; the comparison uses the axis table's own values, on
+    The axis is regular (``origin + i*step``, ``n`` values), so the bracketing
+    index is arithmetic.  The decision uses the axis table's own values at
     the four indices around the arithmetic guess, so rounding in the guess
-    cannot change the answer.  The axis table is bounded by ``n`` rows and is
-    broadcast; the pick is a ``min_by`` per target (partial aggregate - the
-    four candidates of a target are in one partition, so the map side
-    already reduces them to one row).
+    cannot change the answer.  The axis has at most ``n`` rows; each of the
+    four lookups is a broadcast hash join, and the pick is an in-row CASE
+    fold - no shuffle and no aggregate.
     """
+    t = targets.select(*key, F.col(target).alias("_cf_t"))
     k = F.floor((F.col("_cf_t") - F.lit(origin)) / F.lit(step)).cast("int")
-    cand = F.array_distinct(
-        F.transform(
-            F.array(k - 1, k, k + 1, k + 2),
-            lambda i: F.least(F.greatest(i, F.lit(0)), F.lit(n - 1)),
-        )
-    )
-    t = targets.select(*key, F.col(target).alias("_cf_t")).withColumn("_cf_i", F.explode(cand))
-    ax = axis.select(F.col(idx).cast("int").alias("_cf_i"), F.col(val).alias("_cf_v"))
-    joined = t.join(F.broadcast(ax), "_cf_i")
-    dist = F.abs(F.col("_cf_v") - F.col("_cf_t"))
-    return joined.groupBy(*key).agg(
-        F.min_by(F.col("_cf_i"), F.struct(dist.alias("d"), (-F.col("_cf_i")).alias("neg_i"))).alias(out)
-    )
+    ax = F.broadcast(axis.select(F.col(idx).cast("int").alias("_cf_ai"), F.col(val).alias("_cf_av")))
+    offsets = (-1, 0, 1, 2)
+    for j, off in enumerate(offsets):
+        t = t.withColumn(f"_cf_i{j}", F.least(F.greatest(k + F.lit(off), F.lit(0)), F.lit(n - 1)))
+        t = t.join(
+            ax.withColumnsRenamed({"_cf_ai": f"_cf_i{j}", "_cf_av": f"_cf_v{j}"}), f"_cf_i{j}", "left"
+        ).withColumn(f"_cf_d{j}", F.abs(F.col(f"_cf_v{j}") - F.col("_cf_t")))
+    best_i, best_d = F.col("_cf_i0"), F.col("_cf_d0")
+    for j in range(1, len(offsets)):
+        i, d = F.col(f"_cf_i{j}"), F.col(f"_cf_d{j}")
+        better = d.isNotNull() & (best_d.isNull() | (d < best_d) | ((d == best_d) & (i > best_i)))
+        best_i, best_d = F.when(better, i).otherwise(best_i), F.when(better, d).otherwise(best_d)
+    return t.select(*key, F.when(best_d.isNotNull(), best_i).alias(out))
 
 
 def resolve(
