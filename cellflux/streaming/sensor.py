@@ -9,6 +9,7 @@ against the static weather table, and a windowed mean feeds evaluation.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,9 +90,11 @@ def _merge_latest(spark: SparkSession, target: str, by: Sequence[str]):
         both = newest if prev is None else spark.read.parquet(prev).unionByName(newest)
         payload = [c for c in both.columns if c not in keys]
         merged = both.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("sno")).alias("r"))
-        version = f"{target}/v{epoch_id:012d}"
-        # a new version per epoch (a replayed epoch rewrites the same one),
-        # then the pointer moves: readers never see a half-written table
+        # a new version folder per attempt, then the pointer moves: readers
+        # never see a half-written table, and a replayed epoch (after a lost
+        # executor or driver) merges the same batch again - idempotent under
+        # max_by - without reading and overwriting one folder
+        version = f"{target}/v{epoch_id:012d}-{uuid.uuid4().hex[:8]}"
         merged.select(*keys, "r.*").write.mode("overwrite").parquet(version)
         spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/_latest")
 
