@@ -53,14 +53,18 @@ def apply_job_defaults(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - sessions without a SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="cellflux-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc:
+        sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
