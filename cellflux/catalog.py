@@ -289,7 +289,8 @@ def q_merge_region_into_field(spark: SparkSession, sf: str) -> DataFrame:
 def q_observation_window(spark: SparkSession, sf: str) -> DataFrame:
     obs = fx.observations(spark, sf)
     out = evaluate.observations_in(obs, ["monitor", "model"], EVAL_BEGIN, EVAL_END)
-    return rounded(out.select("time", "property", "value"), {"value": 23})
+    out = out.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "property", "value")
+    return rounded(out, {"value": 23})
 
 
 STAT_DIGITS = {c: 23 for c in ("fac2", "mb", "mge", "nmb", "nmge", "rmse", "r", "coe", "ioa")}
@@ -337,7 +338,7 @@ def q_stream_latest(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_hourly_mass(spark: SparkSession, sf: str) -> DataFrame:
     out = sensor.run_hourly_stream(spark, sf, fx.weather(spark, sf))
     out = out.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "station_id", "n",
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "station_id", "n",
         "mean_cmass_pm25", "mean_cmass_pm10",
     )
     return rounded(out, {"mean_cmass_pm25": 17, "mean_cmass_pm10": 17})

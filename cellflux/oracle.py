@@ -355,7 +355,7 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
         SELECT f.species, f.month, f.lat_idx, f.lon_idx, f.emi_pm, coalesce(r.add, 0e0) AS region_add
         FROM field f LEFT JOIN (SELECT species, lat_idx, lon_idx, sum(flux) AS add FROM region_long GROUP BY 1, 2, 3) r
         USING (species, lat_idx, lon_idx))"""),
-    "observation_window": (["observations"], f"""SELECT time, property, {Q('value', 23)} AS value FROM observations
+    "observation_window": (["observations"], f"""SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, property, {Q('value', 23)} AS value FROM observations
         WHERE property IN ('monitor', 'model') AND time >= TIMESTAMP '2024-01-14 00:00:00' AND time <= TIMESTAMP '2024-01-19 00:00:00'"""),
     "model_skill": (["pairs"], _STAT),
     "station_documents": (["stations"], """SELECT code_txt AS code, json_object(
@@ -386,7 +386,7 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
     "latest_reading": (["readings"], _LATEST),
     "stream_count_to_mass": (["mass"], _MASS_OUT),
     "stream_latest": (["readings"], _LATEST),
-    "stream_hourly_mass": (["mass"], f"""SELECT window_start, station_id, n, {Q('a', 17)} AS mean_cmass_pm25,
+    "stream_hourly_mass": (["mass"], f"""SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, station_id, n, {Q('a', 17)} AS mean_cmass_pm25,
         {Q('b', 17)} AS mean_cmass_pm10 FROM (
           SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, station_id, count(*) AS n,
                  avg(cmass_pm25) AS a, avg(cmass_pm10) AS b FROM mass GROUP BY 1, 2)
