@@ -135,27 +135,29 @@ def windowed_mass(masses: DataFrame, window: str = "1 hour", watermark: str = "2
 
 # -- run-to-completion helpers used by the query catalog ----------------------
 
-def run_mass_stream(spark: SparkSession, sf_dir: str, weather: DataFrame) -> DataFrame:
+def run_mass_stream(spark: SparkSession, sf_dir: str, weather: DataFrame, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S1+S4+S2 over the events table to completion; return the appended table."""
     out = scratch_path(spark, "mass")
-    q = append_readings(mass_stream(readings_from_events(event_stream(spark, sf_dir)), weather), out, out + "-ckpt")
+    src = event_stream(spark, sf_dir, max_files_per_trigger)
+    q = append_readings(mass_stream(readings_from_events(src), weather), out, out + "-ckpt")
     q.awaitTermination()
     return spark.read.parquet(out)
 
 
-def run_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_latest_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S3 over the events table to completion; return the newest-per-station table."""
     out = scratch_path(spark, "latest")
-    q = publish_latest(readings_from_events(event_stream(spark, sf_dir)), out, out + "-ckpt")
+    q = publish_latest(readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger)), out, out + "-ckpt")
     q.awaitTermination()
     return spark.read.parquet(latest_version(spark, out))
 
 
 def run_hourly_stream(spark: SparkSession, sf_dir: str, weather: DataFrame,
-                      window: str = "1 hour", watermark: str = "2 hours") -> DataFrame:
+                      window: str = "1 hour", watermark: str = "2 hours",
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S5 to completion in append mode: only windows closed by the watermark are emitted."""
     out = scratch_path(spark, "hourly")
-    masses = mass_stream(readings_from_events(event_stream(spark, sf_dir)), weather)
+    masses = mass_stream(readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger)), weather)
     q = append_readings(windowed_mass(masses, window, watermark), out, out + "-ckpt")
     q.awaitTermination()
     return spark.read.parquet(out)

@@ -43,3 +43,30 @@ def test_hourly_stream_emits_closed_windows(spark):
     batch = masses.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.window("ts", "1 hour").alias("w"), "station_id").agg(
         F.count(F.lit(1)).alias("n")).where(F.col("w.end") <= F.lit(wm) - F.expr("INTERVAL 2 HOURS"))
     assert stream.count() == batch.count() > 0
+
+
+def test_streams_over_several_micro_batches(spark, tmp_path):
+    """Events arrive as three time-ordered files, one file per trigger."""
+    import pyarrow.parquet as pq
+
+    events = pq.read_table(f"{SF_SMALL}/events.parquet").to_pandas().sort_values("ts")
+    cuts = [0, len(events) // 3, 2 * len(events) // 3, len(events)]
+    chunks = [events.iloc[a:b] for a, b in zip(cuts, cuts[1:])]
+    names = ["events.parquet", "events_1.parquet", "events_2.parquet"]
+    for name, chunk in zip(names, chunks):
+        chunk.to_parquet(tmp_path / name, index=False)
+    folder = str(tmp_path)
+    weather = fx.weather(spark, SF_SMALL)
+
+    latest = sensor.run_latest_stream(spark, folder, max_files_per_trigger=1)
+    batch_latest = mass.latest_reading(mass.reading_store(fx.readings(spark, SF_SMALL)))
+    cols = ["station_id", "sno", "field1", "field2"]
+    assert _rows(latest, cols) == _rows(batch_latest, cols)
+
+    masses = sensor.run_mass_stream(spark, folder, weather, max_files_per_trigger=1)
+    batch = mass.count_to_mass(fx.readings(spark, SF_SMALL), weather)
+    assert _rows(masses, ["sno", "cmass_pm25"]) == _rows(batch, ["sno", "cmass_pm25"])
+
+    hourly = sensor.run_hourly_stream(spark, folder, weather, max_files_per_trigger=1)
+    assert hourly.count() > 0
+    assert hourly.agg(F.sum("n")).first()[0] <= batch.count()
