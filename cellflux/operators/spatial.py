@@ -230,55 +230,56 @@ def _ship_by_value() -> None:
 
 _ship_by_value()
 
-def _clip_area(ring_x: np.ndarray, ring_y: np.ndarray, xmin: float, ymin: float, xmax: float, ymax: float) -> float:
-    """Area of a polygon ring clipped to a box (Sutherland-Hodgman).
+def _clip_area(xs: list, ys: list, xmin: float, ymin: float, xmax: float, ymax: float) -> float:
+    """Area of a polygon ring clipped to a box (Sutherland-Hodgman), plain floats.
 
     Intersection points are put exactly on the clip line, and the shoelace
     sum is taken about the first vertex, so an axis-aligned piece has
     exactly the area ``width * height``.
     """
-    pts = list(zip(ring_x.tolist(), ring_y.tolist()))
+    pts = list(zip(xs, ys))
     for axis, bound, keep_ge in ((0, xmin, True), (0, xmax, False), (1, ymin, True), (1, ymax, False)):
         if not pts:
             return 0.0
         out = []
-        n = len(pts)
-        for i in range(n):
-            cur, nxt = pts[i], pts[(i + 1) % n]
+        prev = pts[-1]
+        pin = prev[axis] >= bound if keep_ge else prev[axis] <= bound
+        for cur in pts:
             cin = cur[axis] >= bound if keep_ge else cur[axis] <= bound
-            nin = nxt[axis] >= bound if keep_ge else nxt[axis] <= bound
+            if cin != pin:
+                t = (bound - prev[axis]) / (cur[axis] - prev[axis])
+                o = prev[1 - axis] + t * (cur[1 - axis] - prev[1 - axis])
+                out.append((bound, o) if axis == 0 else (o, bound))
             if cin:
                 out.append(cur)
-            if cin != nin:
-                t = (bound - cur[axis]) / (nxt[axis] - cur[axis])
-                other = 1 - axis
-                o = cur[other] + t * (nxt[other] - cur[other])
-                out.append((bound, o) if axis == 0 else (o, bound))
+            prev, pin = cur, cin
         pts = out
-    if len(pts) < 3:
+    n = len(pts)
+    if n < 3:
         return 0.0
     ox, oy = pts[0]
-    xs = np.array([p[0] - ox for p in pts])
-    ys = np.array([p[1] - oy for p in pts])
-    cross = xs * np.roll(ys, -1) - np.roll(xs, -1) * ys
-    return float(abs(cross.sum()) / 2.0)
+    acc = 0.0
+    for i in range(n):
+        ax, ay = pts[i]
+        bx, by = pts[(i + 1) % n]
+        acc += (ax - ox) * (by - oy) - (bx - ox) * (ay - oy)
+    return abs(acc) / 2.0
 
 
 @F.pandas_udf(T.DoubleType())
 def _clip_area_udf(xs: pd.Series, ys: pd.Series, sizes: pd.Series, xmin: pd.Series, ymin: pd.Series,
                    xmax: pd.Series, ymax: pd.Series) -> pd.Series:
     """Clipped area per row; rings arrive as flat coordinate arrays + ring sizes."""
-    out = np.empty(len(xs), dtype="float64")
-    for k in range(len(xs)):
-        x, y, n = xs.iat[k], ys.iat[k], sizes.iat[k]
-        a, b, c, d = xmin.iat[k], ymin.iat[k], xmax.iat[k], ymax.iat[k]
+    out = []
+    for x, y, n, a, b, c, d in zip(xs, ys, sizes, xmin.tolist(), ymin.tolist(), xmax.tolist(), ymax.tolist()):
+        x, y = x.tolist(), y.tolist()
         total, start = 0.0, 0
         for r, m in enumerate(n.tolist()):
             part = _clip_area(x[start:start + m], y[start:start + m], a, b, c, d)
             total = total + part if r == 0 else total - part
             start += m
-        out[k] = total
-    return pd.Series(out)
+        out.append(total)
+    return pd.Series(out, dtype="float64")
 
 
 def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame:
