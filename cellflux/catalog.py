@@ -265,11 +265,9 @@ def q_nearest_axis_index(spark: SparkSession, sf: str) -> DataFrame:
         (F.lit(GEO.y0) + F.col("y") * F.lit(GEO.dy)).alias("lat"),
         (F.lit(GEO.x0) + F.col("x") * F.lit(GEO.dx)).alias("lon"),
     )
-    la = lookup.nearest_index(ind, "lat", fx.lat_axis(spark), "lat_idx", "lat", key=["ind_id"], out="lat_idx",
-                              **fx.LAT_AXIS)
-    lo = lookup.nearest_index(ind, "lon", fx.lon_axis(spark), "lon_idx", "lon", key=["ind_id"], out="lon_idx",
-                              **fx.LON_AXIS)
-    return la.join(lo, "ind_id")
+    la = lookup.nearest_index(ind, "lat", fx.lat_axis(spark), "lat_idx", "lat", out="lat_idx", **fx.LAT_AXIS)
+    lo = lookup.nearest_index(la, "lon", fx.lon_axis(spark), "lon_idx", "lon", out="lon_idx", **fx.LON_AXIS)
+    return lo.select("ind_id", "lat_idx", "lon_idx")
 
 
 def q_merge_region_into_field(spark: SparkSession, sf: str) -> DataFrame:

@@ -17,7 +17,7 @@ def nearest_index(
     origin: float,
     step: float,
     n: int,
-    key: Sequence[str],
+    key: Sequence[str] = (),
     out: str = "nearest_idx",
 ) -> DataFrame:
     """Index of the axis value nearest each target; ties go to the upper
@@ -28,9 +28,12 @@ def nearest_index(
     the four indices around the arithmetic guess, so rounding in the guess
     cannot change the answer.  The axis has at most ``n`` rows; each of the
     four lookups is a broadcast hash join, and the pick is an in-row CASE
-    fold - no shuffle and no aggregate.
+    fold - no shuffle and no aggregate.  All input columns are kept (``key``
+    is accepted for compatibility), so lookups on several axes chain on one
+    lineage instead of being joined back.
     """
-    t = targets.select(*key, F.col(target).alias("_cf_t"))
+    keep = list(targets.columns)
+    t = targets.withColumn("_cf_t", F.col(target))
     k = F.floor((F.col("_cf_t") - F.lit(origin)) / F.lit(step)).cast("int")
     ax = F.broadcast(axis.select(F.col(idx).cast("int").alias("_cf_ai"), F.col(val).alias("_cf_av")))
     offsets = (-1, 0, 1, 2)
@@ -44,7 +47,7 @@ def nearest_index(
         i, d = F.col(f"_cf_i{j}"), F.col(f"_cf_d{j}")
         better = d.isNotNull() & (best_d.isNull() | (d < best_d) | ((d == best_d) & (i > best_i)))
         best_i, best_d = F.when(better, i).otherwise(best_i), F.when(better, d).otherwise(best_d)
-    return t.select(*key, F.when(best_d.isNotNull(), best_i).alias(out))
+    return t.select(*keep, F.when(best_d.isNotNull(), best_i).alias(out))
 
 
 def resolve(

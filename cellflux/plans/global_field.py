@@ -55,16 +55,15 @@ def region_on_axes(
     lat_spec: Mapping[str, float],
     lon_spec: Mapping[str, float],
 ) -> DataFrame:
-    """Each block centre's nearest global lat/lon index."""
-    lat_i = lookup.nearest_index(
+    """Each block centre's nearest global lat/lon index (one lineage, no join back)."""
+    with_lat = lookup.nearest_index(
         blocks, "lat", lat_axis, "lat_idx", "lat", lat_spec["origin"], lat_spec["step"], int(lat_spec["n"]),
-        key=["bgid"], out="lat_idx",
+        out="lat_idx",
     )
-    lon_i = lookup.nearest_index(
-        blocks, "lon", lon_axis, "lon_idx", "lon", lon_spec["origin"], lon_spec["step"], int(lon_spec["n"]),
-        key=["bgid"], out="lon_idx",
+    return lookup.nearest_index(
+        with_lat, "lon", lon_axis, "lon_idx", "lon", lon_spec["origin"], lon_spec["step"], int(lon_spec["n"]),
+        out="lon_idx",
     )
-    return blocks.join(lat_i, "bgid").join(lon_i, "bgid")
 
 
 def merge_regional_into_global(

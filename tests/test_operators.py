@@ -62,7 +62,7 @@ def _axis(spark, n=10):
 def test_nearest_index_ties_up_and_clips(spark):
     targets = [-5.0, 0.0, 0.04, 0.05, 0.15, 0.26, 0.9, 3.0]
     df = spark.createDataFrame(list(enumerate(targets)), "k int, t double")
-    out = lookup.nearest_index(df, "t", _axis(spark), "i", "v", origin=0.0, step=0.1, n=10, key=["k"], out="j")
+    out = lookup.nearest_index(df, "t", _axis(spark), "i", "v", origin=0.0, step=0.1, n=10, out="j")
     got = {r.k: r.j for r in out.collect()}
     axis = [i / 10.0 for i in range(10)]
     for k, t in enumerate(targets):
