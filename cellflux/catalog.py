@@ -2,9 +2,10 @@
 
 Each query takes (spark, sf_dir), derives the method's inputs from the
 driver tables (whole tables - see ``sources.fixtures``) and returns a
-DataFrame.  Float outputs are rounded to a fixed number of decimals so
-that results can be compared across engines (sums of floats depend on
-their order); ``cellflux.oracle`` has the matching DuckDB SQL.
+DataFrame.  Aggregated float outputs are published on a fixed binary grid
+(``rounded``) so that results compare exactly across engines (sums of
+floats depend on their order); ``cellflux.oracle`` has the matching
+DuckDB SQL.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux import factors
+from cellflux.functions import geometry as geo
 from cellflux.functions import numeric
 from cellflux.operators import aggregate as agg
 from cellflux.operators import grid as gridops
-from cellflux.operators import lookup, spatial
+from cellflux.operators import fields, lookup, spatial
 from cellflux.plans import evaluate, global_field, inventory, mass, runs, stations
 from cellflux.session import apply_job_defaults, ensure_checkpoint_dir
 from cellflux.sources import fixtures as fx
@@ -180,8 +182,6 @@ def q_points_in_polygons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_polygon_centroid(spark: SparkSession, sf: str) -> DataFrame:
-    from cellflux.functions import geometry as geo
-
     fp = fx.industry_footprints(spark, sf)
     c = geo.polygon_centroid(F.col("rings"))
     out = fp.select("ind_id", c["x"].alias("cx"), c["y"].alias("cy"), geo.polygon_area(F.col("rings")).alias("area"))
@@ -253,10 +253,8 @@ def q_sector_monthly_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_time_axis(spark: SparkSession, sf: str) -> DataFrame:
-    from cellflux.operators.fields import with_time_axis
-
     months = fx.sector_fields(spark, sf).select("month").distinct()
-    return with_time_axis(months).select("month", "time_days", day_text("time"))
+    return fields.with_time_axis(months).select("month", "time_days", day_text("time"))
 
 
 def q_nearest_axis_index(spark: SparkSession, sf: str) -> DataFrame:
