@@ -368,7 +368,8 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
                              ELSE cast(code AS string) END AS code_txt FROM stations)"""),
     "missing_inputs": (["input_files"], """SELECT strftime(t, '%Y%m%d_%H%M') AS stamp,
         concat('gfsanl_3_', strftime(t, '%Y%m%d_%H%M'), '_000.grb') AS expected_name FROM (
-          SELECT unnest(generate_series(to_timestamp(s - s % 10800)::TIMESTAMP, to_timestamp(e - e % 10800)::TIMESTAMP,
+          SELECT unnest(generate_series(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(s - s % 10800),
+                 TIMESTAMP '1970-01-01 00:00:00' + to_seconds(e - e % 10800),
                  INTERVAL 3 HOUR)) AS t FROM (SELECT cast(floor(epoch(min(ts))) AS bigint) AS s,
                  cast(floor(epoch(max(ts))) AS bigint) AS e FROM events))
         WHERE NOT EXISTS (SELECT 1 FROM input_files f WHERE contains(f.path, 'gfsanl')
