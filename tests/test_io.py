@@ -77,7 +77,7 @@ def test_logs_and_run_status(spark):
 
 def test_by_species_split_and_template(spark):
     d = _tmp()
-    files = spark.createDataFrame([("edgar_HTAP_PM10_emi_2010_1.nc",), ("edgar_HTAP_BC_emi_2010_1.nc",)], "path string")
+    files = spark.createDataFrame([("inventory_PM10_emi_2010_1.nc",), ("inventory_BC_emi_2010_1.nc",)], "path string")
     writers.write_by_species(files, f"{d}/by")
     assert sorted(x for x in os.listdir(f"{d}/by") if x.startswith("species=")) == ["species=BC", "species=PM10"]
     with open(f"{d}/t.json", "w") as fh:
