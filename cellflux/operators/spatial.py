@@ -13,8 +13,9 @@ bucket key so Spark can hash-partition them.
   points on their cell; a (point, polygon) candidate then meets the
   polygon's edges on (polygon, row band), and the even-odd crossing count
   with an on-edge test gives the strict ``within``.
-* polygon x cell area (F25): exact convex clip in a vectorised pandas UDF
-  on candidate (polygon, cell) pairs only.
+* polygon x cell area (F25): Sutherland-Hodgman clip against the cell (a
+  convex window, so any subject polygon's clipped area is exact) in an
+  Arrow-batched pandas UDF, on candidate (polygon, cell) pairs only.
 """
 
 from __future__ import annotations
@@ -286,9 +287,8 @@ def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> Data
     """(polygon, cell, clipped area) for every cell the polygon overlaps with area > 0.
 
     Candidate cells come from the polygon's bounding box; only those pairs
-    reach the Python clip.  Polygons must be convex per ring for the clip
-    to be exact against a box (any polygon is exact against a box with
-    Sutherland-Hodgman; the box is the convex clipper).
+    reach the Python clip.  The clip window (the cell) is convex, so the
+    clipped area is exact for any ring, convex or not; holes subtract.
     """
     b = geo.bounds(F.col("rings"))
     ia, ib = grid.col_range(b["xmin"], b["xmax"])
