@@ -15,7 +15,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-DEFAULT = ["count_to_mass", "road_inventory", "bus_inventory", "points_in_polygons",
+DEFAULT = ["count_to_mass", "road_inventory", "bus_inventory", "points_in_polygons", "industry_overlay_area", "total_inventory",
            "residential_inventory", "merge_region_into_field", "model_skill", "run_report"]
 
 KEEP = ("Exchange", "Join", "Scan", "Aggregate", "Window", "Generate", "Filter", "Union",
