@@ -294,7 +294,9 @@ def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> Data
     ia, ib = grid.col_range(b["xmin"], b["xmax"])
     ja, jb = grid.row_range(b["ymin"], b["ymax"])
     cand = polys.withColumn("ix", explode_range(ia, ib)).withColumn("iy", explode_range(ja, jb))
-    area = _clip_area_udf(
+    # asNondeterministic: otherwise Catalyst copies the UDF into the pushed-down
+    # ``cell_area > 0`` filter and runs the Python clip twice per pair
+    area = _clip_area_udf.asNondeterministic()(
         F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["x"]))),
         F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["y"]))),
         F.transform("rings", lambda r: F.size(r)),
