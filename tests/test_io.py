@@ -94,3 +94,20 @@ def test_union_parts_and_stack(spark):
     assert [r.part for r in spatial.explode_parts(layer).collect()] == [0, 1]
     m = fields.stack_months({1: spark.createDataFrame([(1.0,)], "v double"), 2: spark.createDataFrame([(2.0,)], "v double")})
     assert sorted((r.month, r.v) for r in m.collect()) == [(1, 1.0), (2, 2.0)]
+
+
+def test_spread_only_when_the_scan_has_too_few_splits(spark, tmp_path):
+    from cellflux.sources import fixtures as fx
+
+    one = spark.range(0, 1000).coalesce(1)
+    one.write.parquet(str(tmp_path / "one.parquet"))
+    many = spark.range(0, 1000).repartition(6)
+    many.write.parquet(str(tmp_path / "many.parquet"))
+    spread = fx.table(spark, str(tmp_path), "one", spread=True)
+    kept = fx.table(spark, str(tmp_path), "many", spread=True)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    plain = spark.read.parquet(str(tmp_path / "many.parquet")).rdd.getNumPartitions()
+    assert plain >= spark.sparkContext.defaultParallelism
+    assert kept.rdd.getNumPartitions() == plain  # enough splits: left as scanned
+    assert fx.table(spark, str(tmp_path), "one").rdd.getNumPartitions() == 1
+    assert spread.count() == kept.count() == 1000
