@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash
+from cellflux.llm import decontaminate, minhash, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": minhash.op3,
+    "op4_mixing": mixing.op4,
     "op7_decontaminate": decontaminate.op7,
+    "op8_quality": quality.op8,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
+    "op8_quality": quality.ORACLE,
 }
