@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash, mixing, quality
+from cellflux.llm import decontaminate, minhash, mixing, quality, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": minhash.op3,
     "op4_mixing": mixing.op4,
     "op7_decontaminate": decontaminate.op7,
     "op8_quality": quality.op8,
+    "op10_token_shards": tokens.op10,
 }
 
 ORACLES: dict[str, str] = {
