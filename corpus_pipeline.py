@@ -8,8 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash
+from cellflux.llm import decontaminate, minhash, mixing, quality, tokens
 from cellflux.llm.common import materialise, table
+from cellflux.session import scratch_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +28,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed(docs)
+
+
+def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in training order, in shards in the shared folder; returns where each document lies."""
+    return tokens.write_shards(docs, scratch_path(spark, "pipeline-shards"))
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_shards", token_shards),
 ]
 
 #: The stages use sketches, hash orders and tokens that SQL lacks; tests hold each stage against brute force.
