@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash, mixing, quality, tokens
+from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": minhash.op3,
     "op4_mixing": mixing.op4,
+    "op5_repeats": repeats.op5,
     "op7_decontaminate": decontaminate.op7,
     "op8_quality": quality.op8,
     "op10_token_shards": tokens.op10,
