@@ -6,16 +6,17 @@ overlaps count).  Matches never cross documents.
 
 No corpus-wide suffix array: strings meet by anchors.  The anchor of a
 ``length``-byte string is the place of the smallest hash among its
-``GRAM``-byte grams (the first, at a tie), so equal strings have equal anchors at equal offsets.  A
-text has one anchor in about (length - GRAM) / 2 bytes, and the context of
-an anchor (``length`` - GRAM bytes before it, ``length`` bytes from it on,
-cut at the text's ends) holds every string that it can be the anchor of.
+``GRAM``-byte grams (the first, at a tie), so equal strings have equal
+anchors at equal offsets.  A text has an anchor in about (length - GRAM) / 2
+bytes; the context of an anchor is the bytes of all strings whose anchor it
+is.
 
 1. Scan: digest, length and anchors of every text.  Texts with equal
    digests are copies: wholly removed if long enough, and one goes on.
-2. Anchor hashes with two or more occurrences are found by partial
-   aggregates, and a Bloom bitmap of them (16 MB at most) selects contexts
-   in a second scan.
+2. All strings that have their anchor in their right half share a core of
+   over half their length, and so have those with it in the left half.  Core
+   hashes with two or more places are found by partial aggregates, and a
+   Bloom bitmap of them (16 MB at most) selects contexts in a second scan.
 3. Equal contexts at two places are repeats as they stand; one of them goes on.
 4. The distinct contexts of an anchor are indexed together, many anchors to
    a block of bounded size: suffix order, Burrows-Wheeler transform, then
@@ -50,7 +51,7 @@ from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, in_bloom, mat
 
 LENGTH, GRAM = 400, 32
 MOST_CONTEXTS = 512
-BLOCK = 1 << 19  # bytes indexed at once
+BLOCK = 1 << 17  # bytes indexed at once, about
 CELL = 16  # neighbouring offsets of the exact way
 ROLL, ROLL2 = Roller(21), Roller(22)
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -61,42 +62,53 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 # ---------------------------------------------------------------------------
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w consecutive values (block prefix and suffix minima)."""
-    n = len(x)
-    pad = np.full(-n % w, np.iinfo(x.dtype).max, x.dtype)
-    y = np.concatenate([x, pad]).reshape(-1, w)
-    before = np.minimum.accumulate(y, axis=1).reshape(-1)
-    after = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(after[: n - w + 1], before[w - 1 : n])
-
-
-def anchors(prefix: np.ndarray, lo: int, hi: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (from lo) and hashes of the anchors of a text at bytes lo ... hi of a block with this hash prefix."""
-    if hi - lo < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(lo, hi - GRAM + 1)
-    h = ROLL.spans(prefix, at, at + GRAM)
-    w = length - GRAM + 1
-    low = _window_min(h, w)
-    # the first place of each window's minimum: places in order, those that are the minimum of a window they are the first in
-    place = np.flatnonzero(_is_low(h, low, w))
-    first = np.searchsorted(place, np.arange(len(low)))
-    # a window's minimum is the first of its candidates with that value
-    cand = place[np.minimum(first, len(place) - 1)]
-    wrong = np.flatnonzero(h[cand] != low)
-    while len(wrong):
-        first[wrong] += 1
-        cand[wrong] = place[first[wrong]]
-        wrong = wrong[h[cand[wrong]] != low[wrong]]
-    place = np.unique(cand)
-    return place, h[place]
-
-
-def _is_low(h: np.ndarray, low: np.ndarray, w: int) -> np.ndarray:
-    """Places that are the minimum of some window that holds them."""
-    top = np.concatenate([np.zeros(w - 1, h.dtype), low, np.zeros(w - 1, h.dtype)])
-    best = ~_window_min(~top, w)  # the largest of the minima of the windows over a place
-    return best == h
+    """Minimum of every w consecutive values (minima of runs of 2, 4, 8, ... values)."""
+    y, k = x, 1
+    while 2 * k <= w:
+        y = np.minimum(y[:-k], y[k:])
+        k *= 2
+    n = len(x) - w + 1
+    return np.minimum(y[:n], y[w - k : w - k + n])
+
+
+def anchors(prefix: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Of a block of texts: row, place and gram hash of every anchor, and the first and last start of the strings whose anchor it is.
+
+    Places count from the block's first byte.  A text's anchors are those of
+    its own strings only.
+    """
+    none = np.zeros(0, np.int64)
+    n = len(prefix) - 1
+    if n < length:
+        return none, none, none.astype(np.uint64), none, none
+    places = n - GRAM + 1
+    h = mix((prefix[GRAM:] - prefix[:-GRAM]) * ROLL.down[:places])
+    bits = np.uint64(max(20, places.bit_length()))
+    # high part: hash; low part: place, so that the smallest is the first of equal grams
+    low = _window_min((h >> bits << bits) | np.arange(places, dtype=np.uint64), length - GRAM + 1)
+    step = np.zeros(n + 1, np.int8)
+    long = np.flatnonzero(np.diff(bounds) >= length)
+    step[bounds[long]] += 1
+    step[bounds[long + 1] - length + 1] -= 1
+    start = np.flatnonzero(np.cumsum(step[: len(low)], dtype=np.int8))  # of the strings inside one text
+    if not len(start):
+        return none, none, none.astype(np.uint64), none, none
+    at = (low[start] & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    lead = np.flatnonzero(np.diff(at, prepend=-1))
+    at, first, last = at[lead], start[lead], start[np.append(lead[1:], len(start)) - 1]
+    return np.searchsorted(bounds, at, side="right") - 1, at, h[at], first, last
+
+
+def cores(prefix: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor two hashes: of the bytes that all its strings with the anchor in the right half share, and in the left half; and whether it has such strings."""
+    back = length - GRAM
+    half = back // 2
+    out, has = np.zeros((2, len(at)), np.uint64), np.zeros((2, len(at)), bool)
+    for k, (r1, r2) in enumerate(((-back, -half), (1 - half, 0))):
+        has[k] = i = (first <= at + r2) & (last >= at + r1)
+        i = np.flatnonzero(i)
+        out[k, i] = ROLL.spans(prefix, at[i] + r2, at[i] + r1 + length) + np.uint64(k)
+    return out, has
 
 
 # ---------------------------------------------------------------------------
@@ -146,18 +158,17 @@ def shared_runs(t: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(t)
     order = suffix_order(t, length)
     bwt = t[order - 1]
-    lf = np.empty(n, np.int64)
-    lf[np.argsort(bwt, kind="stable")] = np.arange(n)
+    lf = np.empty(n, np.int32)
+    lf[np.argsort(bwt, kind="stable")] = np.arange(n, dtype=np.int32)
     head = t[order]
     cut = np.zeros(n + 1, bool)
     cut[0] = cut[n] = True
-    owner = np.full(n + 1, -1, np.int64)
-    lb, rb = np.array([0]), np.array([n])
+    owner = np.full(n + 1, -1, np.int32)
+    lb, rb = np.array([0], np.int32), np.array([n], np.int32)
     for value in range(length):
         size = rb - lb
-        q = np.repeat(np.arange(len(lb)), size)
-        i = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size) + lb[q]
-        to = lf[i]
+        q = np.repeat(np.arange(len(lb), dtype=np.int32), size)
+        to = lf[np.arange(len(q), dtype=np.int32) + (lb - np.cumsum(size, dtype=np.int32) + size)[q]]
         owner[to] = q
         after = np.minimum(to + 1, n - 1)
         last = (to + 1 == n) | (owner[to + 1] != q) | (head[after] != head[to])
@@ -239,10 +250,12 @@ def scan_rows(docs: DataFrame, length: int) -> DataFrame:
                 prefix = ROLL.prefix(d)
                 texts = [d[lo:hi].tobytes() for lo, hi in zip(o[:-1], o[1:])]
                 digests = [_digest(x) for x in texts]
-                found = [anchors(prefix, lo, hi, length) for lo, hi in zip(o[:-1], o[1:])]
-                off = np.concatenate([[0], np.cumsum([len(p) for p, _ in found])]).astype(np.int32)
-                at = pa.ListArray.from_arrays(off, pa.array(np.concatenate([p for p, _ in found]), pa.int64()))
-                h = pa.ListArray.from_arrays(off, pa.array(np.concatenate([v for _, v in found]).view(np.int64), pa.int64()))
+                row, at, _, first, last = anchors(prefix, o, length)
+                core, has = cores(prefix, at, first, last, length)
+                k = np.flatnonzero(has.T.reshape(-1))  # in the order of rows
+                off = np.searchsorted(row[k >> 1], np.arange(j - i + 1)).astype(np.int32)
+                h = pa.ListArray.from_arrays(off, pa.array(core.T.reshape(-1)[k].view(np.int64), pa.int64()))
+                at = pa.ListArray.from_arrays(off, pa.array((at - o[row])[k >> 1], pa.int64()))
                 part = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("key"), pa.array(_own(part, digests).view(np.int64)), pa.array(digests, pa.binary()), pa.array(np.diff(o), pa.int64()),
@@ -259,14 +272,13 @@ CONTEXT = "h long, c1 long, c2 long, occ long, digest binary, at long, start lon
 
 
 def scan_contexts(docs: DataFrame, chosen, shared, length: int) -> DataFrame:
-    """Contexts of the anchors in the bitmap ``shared``, of the rows in the bitmap ``chosen``.
+    """Contexts of the anchors with a core in the bitmap ``shared``, of the rows in the bitmap ``chosen``.
 
     ``bytes`` is null where the context occurred before in the same block of
     rows: texts that repeat one word have an anchor at every word, all with
     the same context.
     """
     rows = docs.select(F.xxhash64("doc_id").alias("rh"), "text")
-    back = length - GRAM
 
     def run(batches):
         for b in batches:
@@ -275,20 +287,12 @@ def scan_contexts(docs: DataFrame, chosen, shared, length: int) -> DataFrame:
                 prefix, prefix2 = ROLL.prefix(d), ROLL2.prefix(d)
                 digests = [_digest(d[lo:hi].tobytes()) for lo, hi in zip(o[:-1], o[1:])]
                 keep = in_bloom(chosen.value, _own(b.slice(i, j - i), digests))
-                cols = {c: [] for c in ("h", "lo", "hi", "at", "doc")}
-                for r in np.flatnonzero(keep):
-                    lo, hi = int(o[r]), int(o[r + 1])
-                    place, h = anchors(prefix, lo, hi, length)
-                    ok = in_bloom(shared.value, h)
-                    place, h = place[ok], h[ok]
-                    cols["h"].append(h)
-                    cols["at"].append(place)
-                    cols["lo"].append(np.maximum(lo, lo + place - back))
-                    cols["hi"].append(np.minimum(hi, lo + place + length))
-                    cols["doc"].append(np.full(len(h), r))
-                if not cols["h"]:
+                row, at, h, first, last = anchors(prefix, o, length)
+                core, has = cores(prefix, at, first, last, length)
+                ok = keep[row] & ((in_bloom(shared.value, core[0]) & has[0]) | (in_bloom(shared.value, core[1]) & has[1]))
+                if not ok.any():
                     continue
-                c = {k: np.concatenate(v) for k, v in cols.items()}
+                c = {"doc": row[ok], "at": (at - o[row])[ok], "h": h[ok], "lo": first[ok], "hi": last[ok] + length}
                 base = o[c["doc"]]
                 # how far the anchor is from the start is part of what makes contexts equal
                 shift = ((base + c["at"] - c["lo"]).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
