@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, tokens
+from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dedup": minhash.op3,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeats": repeats.op5,
     "op7_decontaminate": decontaminate.op7,
     "op8_quality": quality.op8,
+    "op9_toxicity": toxicity.op9,
     "op10_token_shards": tokens.op10,
 }
 
