@@ -13,10 +13,10 @@ by kind, with arc weights fitted to labels.
 
 Training uses labelled rows with crc32(doc_id as text) mod 4 other than 2
 only, at most ``SAMPLE`` of them (those with the smallest hash of the id; a
-bound on what reaches the driver).  One half gives the stems, by counts of
-documents that hold words with that stem; the other half the arc weights, so
-stems that only fit the first half carry little weight.  Scores depend on
-the text alone.
+bound on what reaches the driver).  Three quarters give the stems, by counts
+of distinct texts that hold words with that stem; the other quarter the arc
+weights, so stems that only fit the first part carry little weight.  Scores
+depend on the text alone.
 
 Defined results: null or empty text has no matches and scores as such; with
 no labels of both kinds every score is the share of toxic ones (0 without
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from cellflux.llm.common import materialise, prepare, table
 
 SAMPLE = 20_000
-STEM, LEAST_DOCS, LEAST_ODDS = range(3, 13), 5, 3.0  # stem lengths; documents and log odds that a stem needs
+STEM, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = range(3, 13), 6, 0.02, 3.0  # stem lengths; toxic documents, share of them, and log odds that a stem needs
 NEGATION_SPAN = 3  # words that a negation reaches
 THRESHOLD = 0.3
 
@@ -48,7 +48,7 @@ TARGETS = ["you", "your", "he", "she", "they", "him", "them", "du", "dich", "euc
 NEGATIONS = ["not", "never", "without", "nicht", "kein", "keine", "nie", "nunca", "jamás", "sin", "jamais", "sans"]
 REPORTS = ["said", "says", "wrote", "called", "quoted", "sagte", "schrieb", "nannte", "dijo", "escribió", "llamó", "disait", "écrit", "appelé"]
 
-KINDS = ["insult", "targeted", "negated", "reported", "threat", "softened"]
+KINDS = ["insult", "targeted", "negated", "reported", "threat", "softened", "density"]  # the last: unsoftened matches in 100 words
 WORD = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 
 
@@ -113,14 +113,17 @@ class Grammar:
         low = (text or "").lower()
         if self.spots(low):
             symbols: list[tuple[str | None, float]] = []
+            n = 0
             for m in WORD.finditer(low + "\n"):
                 word = m.group()
                 if word in ".!?;:\n":
                     for kind, w in self.clause(symbols):
                         total[kind] += w
+                    n += len(symbols)
                     symbols = []
                 else:
                     symbols.append(self.symbol(word))
+            total["density"] = 100 * (total["insult"] + total["targeted"] + total["threat"]) / max(n, 1)
         return [math.log1p(total[k]) for k in KINDS]
 
 
@@ -133,14 +136,15 @@ def held_out() -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """text, toxic, half of at most ``sample`` labelled rows that aren't held out."""
+    """text, toxic, part (0 ... 3) of at most ``sample`` labelled rows that aren't held out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     some = known.withColumn("turn", F.xxhash64(F.col("doc_id").cast("long"))).orderBy("turn", "doc_id").limit(sample)  # so it may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.pmod("turn", F.lit(2)).alias("half"))
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.pmod("turn", F.lit(4)).cast("int").alias("part"))
 
 
 def learn_stems(rows: DataFrame) -> dict[str, float]:
     """Insult stems with their log odds of standing in a toxic document."""
+    rows = rows.dropDuplicates(["text"])
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return {}
@@ -149,7 +153,7 @@ def learn_stems(rows: DataFrame) -> dict[str, float]:
     stem = F.explode(F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEM])).alias("stem")
     per = per.select(stem, "pos", "neg").where("stem IS NOT NULL").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / n[1]) - F.log((F.col("neg") + 0.5) / n[0])
-    found = per.where(F.col("pos") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    found = per.where(F.col("pos") >= max(LEAST_DOCS, LEAST_SHARE * n[1])).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     found = {r["stem"]: (r["pos"], r["odds"]) for r in found.orderBy(F.desc("pos"), "stem").limit(5000).collect()}
     stems: dict[str, float] = {}
     for s in sorted(found, key=len):
@@ -180,14 +184,15 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 60) ->
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Grammar, np.ndarray]:
     """The grammar with learned stems, and the arc weights (bias first)."""
     rows = materialise(training_rows(docs, labels, sample), "toxic-training")
-    grammar = Grammar(learn_stems(rows.where("half = 0")))
-    got = _matched(rows.where("half = 1").select("toxic", "text"), ["toxic"], grammar).collect()  # half of the sample
+    grammar = Grammar(learn_stems(rows.where("part > 0")))
+    got = _matched(rows.where("part = 0").select("toxic", "text"), ["toxic"], grammar).collect()  # a quarter of the sample
     y = np.array([r["toxic"] for r in got], float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         bias = math.log(share / (1 - share)) if 0 < share < 1 else 30.0 if share else -30.0
         return grammar, np.array([bias, *[0.0] * len(KINDS)])
-    return grammar, fit(np.array([r["matches"] for r in got]), y)
+    w = fit(np.array([r["matches"] for r in got]), y)
+    return grammar, np.concatenate([w[:1], np.maximum(w[1:], 0.0)])  # no match makes a text less toxic than none
 
 
 def _matched(rows: DataFrame, keep: list[str], grammar: Grammar) -> DataFrame:
