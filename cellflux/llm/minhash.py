@@ -11,16 +11,24 @@ non-space, A-Z lower-cased); fewer words are one shingle, none is no set.
    (1 - 0.8**5)**32, about 3e-6.
 2. Copies.  Documents with equal sets are one class; only the class's
    smallest doc_id goes on.
-3. Stars.  In a bucket every member is paired with the bucket's smallest id,
-   so a bucket of m members gives m - 1 candidate pairs.
-4. Confirmation on full sets: 100 * intersection >= 80 * union.
+3. Stars.  In a bucket every member is paired with the bucket's centre, so a
+   bucket of m members gives m - 1 candidate pairs.  The centre is the member
+   that meets the most others over all its buckets: in a group of edited
+   copies that is the original, which all copies resemble most.
+4. Confirmation on full sets: 100 * intersection >= 80 * union.  Each
+   confirmation also keeps the member's difference from the centre: its size
+   and a bitmap.
 5. Components by alternating large-star and small-star steps.
-6. A star can miss a link between two members that are both unlike the
-   centre.  Buckets whose members still lie in different components take
-   about 1, 2, 4, ... further members as centres (by a hash of the id), only
-   against members of other components, until each bucket is one component
-   or every member was a centre.  So no link inside a bucket is lost, and
-   groups that are linked already are not paired again.
+6. A star misses a link between two members if one of them isn't linked to
+   the centre.  For sets x, y and centre c, the differences dx = x ^ c and
+   dy = y ^ c (symmetric) satisfy |x ^ y| = |dx| + |dy| - 2 |dx & dy|, and x, y are
+   similar just if |x ^ y| <= (|x| + |y|) / 9.  So members that aren't linked
+   to their centre meet the star's members of other components, and a pair
+   goes on only if the bitmaps allow enough common difference (an upper
+   bound, so nothing is lost).  Edited copies differ from the original in
+   other places each, so hardly any pair goes on; those that do are confirmed
+   on full sets.  So no link inside a bucket is lost, and linked groups are never
+   paired again.
 
 Defined results: texts without words have an empty set and are linked with
 nothing; a null doc_id is linked with nothing, has a null component and is
@@ -138,13 +146,44 @@ def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("set", T.ArrayType(T.LongType()))]))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) whose full sets are similar enough."""
+PAIR = "na long, nb long, inter long, diff long, spare long, bits array<long>"
+DIFF_BITS = 2048
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b): set sizes, intersection, size of the symmetric difference, its bitmap, and by how much the size exceeds the bits set."""
     one = sets.select(F.col("id").alias("b"), F.col("set").alias("sb"))
     two = sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    got = pairs.join(one, "b").join(two, "a").select("a", "b", both.alias("n"), (F.size("sa") + F.size("sb")).alias("m"))
-    return got.where((F.col("n") * 100) >= (F.col("m") - F.col("n")) * SIMILAR).select("a", "b")
+    rows = pairs.select("a", "b").join(one, "b").join(two, "a").select("a", "b", "sa", "sb")
+
+    def run(batches):
+        for batch in batches:
+            got = []
+            flat = []
+            for c in ("sa", "sb"):
+                x = batch.column(c)
+                flat.append((x.flatten().to_numpy(), np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy())])))
+            (va, oa), (vb, ob) = flat
+            for i in range(len(batch)):
+                z = np.concatenate([va[oa[i] : oa[i + 1]], vb[ob[i] : ob[i + 1]]])
+                z.sort()
+                twice = np.zeros(len(z) + 1, bool)
+                twice[1:-1] = z[1:] == z[:-1]
+                diff = z[~(twice[1:] | twice[:-1])]
+                bits = np.zeros(DIFF_BITS, bool)
+                bits[diff & (DIFF_BITS - 1)] = True
+                got.append((oa[i + 1] - oa[i], ob[i + 1] - ob[i], int(twice.sum()), len(diff), len(diff) - int(bits.sum()), np.packbits(bits).view(np.int64)))
+            cols = list(zip(*got)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.list_(pa.int64()))],
+                names=["a", "b", "na", "nb", "inter", "diff", "spare", "bits"])
+
+    ids = rows.schema["a"].dataType.simpleString()
+    return rows.mapInArrow(run, f"a {ids}, b {ids}, {PAIR}")
+
+
+def linked() -> "F.Column":
+    return F.col("inter") * 100 >= (F.col("na") + F.col("nb") - F.col("inter")) * SIMILAR
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -177,36 +216,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     members = reps.select(F.explode("buckets").alias("bucket"), F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
     # buckets of one member go no further
     shared = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    # turn: a place in (0, 1) by which members become centres after the first
-    turn = (F.shiftrightunsigned(F.xxhash64("id"), 12).cast("double") + 0.5) / float(1 << 52)
-    members = materialise(members.join(shared.drop("hi"), "bucket").withColumn("turn", turn), "members")
-
-    centre = members.where("id = lo").select("bucket", F.col("n").alias("na"))
-    pairs = members.where("id <> lo").join(centre, "bucket").where(_sizes("n", "na")).select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()
-    tested = materialise(pairs, "pairs")
-    sets = materialise(sets_of(docs, members.select("id").distinct(), shingle), "sets")
-    comp = components(materialise(confirmed(tested, sets), "edges"))
-
-    most = members.agg(F.max("m")).first()[0] or 0
-    centres = 0  # of each bucket, so many (about) have met all other members, beside its smallest id
-    while centres < most:
-        now = members.where(F.col("id") != F.col("lo")).where(F.col("turn") * F.col("m") >= centres)
-        now = now.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        open_ = now.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("bucket")
-        now = materialise(now.join(open_, "bucket"), "open")
-        if now.isEmpty():
-            break
-        first = now.where(F.col("turn") * F.col("m") < 2 * centres + 1).select(
-            "bucket", F.col("id").alias("ia"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("turn").alias("ta"))
-        new = now.join(first, "bucket").where((F.col("turn") > F.col("ta")) & (F.col("comp") != F.col("ca")) & _sizes("n", "na"))
-        new = new.select(F.least("ia", "id").alias("a"), F.greatest("ia", "id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        new = materialise(new, "pairs")
-        found = materialise(confirmed(new, sets), "edges")
-        if not found.isEmpty():
-            comp = components(comp.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionAll(found))
-        tested = tested.unionAll(new)
-        discard(now)
-        centres = 2 * centres + 1
+    members = materialise(members.join(shared.select("bucket", "m"), "bucket"), "members")
+    # priority: how many others a document meets, then a hash
+    meets = members.groupBy("id").agg((F.shiftleft(F.least(F.sum("m"), F.lit(1 << 30)), 32) + F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1))).alias("rank"))
+    ranked = materialise(members.join(meets, "id").select("bucket", "id", "n", "rank"), "ranked")
+    top = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
+    centre = ranked.join(top, ["bucket", "rank"]).select("bucket", F.col("id").alias("a"), F.col("n").alias("na"))
+    pairs = ranked.join(centre, "bucket").where((F.col("id") != F.col("a")) & _sizes("n", "na")).select("a", F.col("id").alias("b")).distinct()
+    pairs = materialise(pairs, "pairs")
+    sets = materialise(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle), "sets")
+    stars = materialise(compared(pairs, sets), "stars")
+    edges = stars.where(linked()).select("a", "b")
+    comp = components(edges)
+
+    # pairs of a star's members that its centre doesn't join
+    star = stars.join(comp.withColumnRenamed("id", "b"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    side = lambda s: [F.col("b").alias(f"i{s}"), F.col("nb").alias(f"n{s}"), F.col("comp").alias(f"c{s}"), F.col("diff").alias(f"d{s}"), linked().alias(f"l{s}"), F.col("spare").alias(f"s{s}"), F.col("bits").alias(f"b{s}")]
+    star = materialise(star, "open")
+    x = star.where(~linked()).select("a", *side("x"))
+    y = star.select("a", *side("y"))
+    # common differences: one for each common bit at most, and what shares bits in the smaller one
+    both = F.lit(0)
+    for k in range(DIFF_BITS // 64):
+        both = both + F.bit_count(F.col("bx")[k].bitwiseAND(F.col("by")[k]))
+    most = both + F.least("sx", "sy")
+    may = most * 18 >= (F.col("dx") + F.col("dy")) * 9 - (F.col("nx") + F.col("ny"))
+    new = x.join(y, "a").where((F.col("cx") != F.col("cy")) & (F.col("ly") | (F.col("ix") < F.col("iy"))) & _sizes("nx", "ny") & may)
+    new = materialise(new.select(F.least("ix", "iy").alias("a"), F.greatest("ix", "iy").alias("b")).distinct(), "pairs")
+    found = materialise(compared(new, sets).where(linked()).select("a", "b"), "edges")
+    if not found.isEmpty():
+        comp = components(comp.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionAll(found))
 
     whole = classes.join(comp, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
     out = sk.select("doc_id", "key", "n_shingles", "digest").join(whole, "digest", "left")
