@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, tokens, toxicity
+from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": secret_scan.op1,
     "op3_near_dedup": minhash.op3,
     "op4_mixing": mixing.op4,
     "op5_repeats": repeats.op5,
+    "op6_url_rules": urls.op6,
     "op7_decontaminate": decontaminate.op7,
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
@@ -20,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing.ORACLE,
+    "op6_url_rules": urls.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
     "op8_quality": quality.ORACLE,
 }
