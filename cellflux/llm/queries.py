@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
+from cellflux.llm import decontaminate, licenses, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secret_scan.op1,
+    "op2_licenses": licenses.op2,
     "op3_near_dedup": minhash.op3,
     "op4_mixing": mixing.op4,
     "op5_repeats": repeats.op5,
