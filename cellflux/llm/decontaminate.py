@@ -141,8 +141,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a word inside a benchmark window, with all their columns."""
-    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return docs.join(bad, same(F.col("doc_id"), F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+    bad = contamination(docs, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key")).distinct()
+    return docs.join(bad, same(F.col("doc_id"), F.col("__cf_id")) & (text_key() == F.col("__cf_key")), "left_anti")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -261,12 +261,12 @@ def keep_one(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """One document of every class (the smallest doc_id), and all without an id, with their columns; of rows that share a doc_id, one."""
     got = near_duplicates(docs, shingle)
     go = got.where("doc_id IS NOT NULL")
-    per = go.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.min("key").alias("_key"), F.count("*").alias("rows"))
+    per = go.groupBy("doc_id").agg(F.min("component_id").alias("c"), F.min("key").alias("__cf_key"), F.count("*").alias("rows"))
     per = materialise(per, "kept")
     drop = per.where("c <> doc_id").select("doc_id")
-    again = per.where("c = doc_id AND rows > 1").select("doc_id", "_key")
+    again = per.where("c = doc_id AND rows > 1").select("doc_id", "__cf_key")
     rest = docs.join(drop.unionAll(again.select("doc_id")), "doc_id", "left_anti")
-    once = docs.join(again, "doc_id").where(text_key() == F.col("_key")).drop("_key").dropDuplicates(["doc_id"])
+    once = docs.join(again, "doc_id").where(text_key() == F.col("__cf_key")).drop("__cf_key").dropDuplicates(["doc_id"])
     return rest.unionByName(once)
 
 

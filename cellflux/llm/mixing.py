@@ -111,10 +111,11 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns, each as often as the mix takes it."""
-    plan = mix(docs).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("source").alias("_source"), "takes").where("takes > 0").dropDuplicates(["_id", "_hash", "_source"])
-    on = same(F.col("doc_id"), F.col("_id")) & (hash60(F.col("doc_id"), F.col("text")) == F.col("_hash")) & same(F.col("source").cast("string"), F.col("_source"))
+    plan = mix(docs).select(F.col("doc_id").alias("__cf_id"), F.col("hash").alias("__cf_hash"), F.col("source").alias("__cf_source"), F.col("takes").alias("__cf_takes"))
+    plan = plan.where("__cf_takes > 0").dropDuplicates(["__cf_id", "__cf_hash", "__cf_source"])
+    on = same(F.col("doc_id"), F.col("__cf_id")) & (hash60(F.col("doc_id"), F.col("text")) == F.col("__cf_hash")) & same(F.col("source").cast("string"), F.col("__cf_source"))
     cols = docs.columns
-    return docs.join(plan, on).withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("takes")))).select(*cols)
+    return docs.join(plan, on).withColumn("__cf_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__cf_takes")))).select(*cols)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

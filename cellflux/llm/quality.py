@@ -125,8 +125,8 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
     frequent = f.join(of_host.alias("o"), same(F.col("f.host"), F.col("o.host"))).where(F.col("held") > F.col("docs") * share).select(F.col("f.host").alias("fh"), F.col("h").alias("fl"))
     # one row for each distinct (doc_id, key), as equal rows have equal lines
     hit = lines.dropDuplicates(["doc_id", "key", "host", "h"]).join(frequent, same(F.col("host"), F.col("fh")) & (F.col("h") == F.col("fl")))
-    hit = hit.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("host").alias("_host")).agg(F.sum("n").alias("n_frequent"))
-    out = got.drop("lines", "sketch").join(hit, same(F.col("doc_id"), F.col("_id")) & (F.col("key") == F.col("_key")) & same(F.col("host"), F.col("_host")), "left")
+    hit = hit.groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(F.sum("n").alias("n_frequent"))
+    out = got.drop("lines", "sketch").join(hit, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key")) & same(F.col("host"), F.col("__cf_host")), "left")
     out = out.withColumn("n_frequent", F.coalesce("n_frequent", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     kept = ~failed & (F.col("n_frequent") <= F.col("n_words") * depleted)
@@ -135,8 +135,8 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
 
 def accepted(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    bad = verdicts(docs, host).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("host").alias("_host")).distinct()
-    on = same(F.col("doc_id"), F.col("_id")) & (text_key() == F.col("_key")) & same(F.col(host).cast("string"), F.col("_host"))
+    bad = verdicts(docs, host).where("NOT kept").select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).distinct()
+    on = same(F.col("doc_id"), F.col("__cf_id")) & (text_key() == F.col("__cf_key")) & same(F.col(host).cast("string"), F.col("__cf_host"))
     return docs.join(bad, on, "left_anti")
 
 

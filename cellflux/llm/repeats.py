@@ -458,9 +458,9 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def cut(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Of the rows with spans: doc_id, key, n_removed, n_spans, kept (the bytes that stay, concatenated)."""
-    some = found.where(F.col("spans").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans").dropDuplicates(["_id", "_key"])
+    some = found.where(F.col("spans").isNotNull()).select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), "spans").dropDuplicates(["__cf_id", "__cf_key"])
     rows = docs.select("doc_id", text_key().alias("key"), "text")
-    rows = rows.join(some, same(F.col("doc_id"), F.col("_id")) & (F.col("key") == F.col("_key"))).select("doc_id", "key", "text", "spans")
+    rows = rows.join(some, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key"))).select("doc_id", "key", "text", "spans")
 
     def run(batches):
         for b in batches:
@@ -482,9 +482,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = materialise(repeats(docs), "repeats")
     # copies are removed whole, so only other rows are cut
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    parts = cut(docs, found.where(~whole)).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha"))
-    parts = parts.dropDuplicates(["_id", "_key"])
-    out = found.join(parts, same(F.col("doc_id"), F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    parts = cut(docs, found.where(~whole)).select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha"))
+    parts = parts.dropDuplicates(["__cf_id", "__cf_key"])
+    out = found.join(parts, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key")), "left")
     return out.select(
         "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
