@@ -150,8 +150,9 @@ def q_road_overlay_length(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_category_share(spark: SparkSession, sf: str) -> DataFrame:
-    rc = inventory.road_overlay(fx.roads(spark, sf), G)
-    out = agg.category_share(rc, "cat", "length", factors.ROAD_WEIGHTS, computed_totals=True)
+    roads = fx.roads(spark, sf)
+    rc = inventory.road_overlay(roads, G)
+    out = agg.category_share(rc, "cat", "length", factors.ROAD_WEIGHTS, computed_totals=True, pieces=inventory.road_pieces(roads, G))
     return rounded(out.select("road_id", "cat", "gid", "length", "lpc"), {"length": 20, "lpc": 40})
 
 
@@ -209,7 +210,7 @@ def q_bus_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_census_join(spark: SparkSession, sf: str) -> DataFrame:
     out = inventory.census_join(fx.wards(spark, sf), fx.census(spark, sf))
-    return out.select("wrd", "area_name", "tvw", "tru", "no_of_households",
+    return out.select("wrd", "area_name", F.col("tvw").cast("double").alias("tvw"), "tru", F.col("no_of_households").cast("double").alias("no_of_households"),
                       "s1", "s2", "s3", "s4", "s5", "s6", "s7")
 
 
@@ -249,7 +250,7 @@ def q_total_inventory(spark: SparkSession, sf: str) -> DataFrame:
 def q_sector_monthly_total(spark: SparkSession, sf: str) -> DataFrame:
     out = global_field.sector_monthly_fields(fx.sector_fields(spark, sf))
     out = out.select("species", "month", "time_days", day_text("time"), "lat_idx", "lon_idx", "emi_pm")
-    return rounded(out, {"emi_pm": 10})
+    return rounded(out, {"emi_pm": 50})
 
 
 def q_time_axis(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,7 +276,7 @@ def q_merge_region_into_field(spark: SparkSession, sf: str) -> DataFrame:
         fx.LAT_AXIS, fx.LON_AXIS, SPECIES_MAP,
     )
     return rounded(out.select("species", "month", "lat_idx", "lon_idx", "emi_pm", "region_add"),
-                   {"emi_pm": 10, "region_add": 45})
+                   {"emi_pm": 60, "region_add": 60})
 
 
 # ---------------------------------------------------------------------------
@@ -284,7 +285,7 @@ def q_merge_region_into_field(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_observation_window(spark: SparkSession, sf: str) -> DataFrame:
     obs = fx.observations(spark, sf)
-    out = evaluate.observations_in(obs, ["monitor", "model"], EVAL_BEGIN, EVAL_END)
+    out = evaluate.observations_in(obs, ["view", "click"], EVAL_BEGIN, EVAL_END)
     out = out.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "property", "value")
     return rounded(out, {"value": 23})
 
@@ -293,7 +294,7 @@ STAT_DIGITS = {c: 23 for c in ("fac2", "mb", "mge", "nmb", "nmge", "rmse", "r",
 
 
 def q_model_skill(spark: SparkSession, sf: str) -> DataFrame:
-    out = evaluate.evaluate_model(fx.observations(spark, sf), "monitor", "model", by=["day"])
+    out = evaluate.evaluate_model(fx.observations(spark, sf), "view", "click", by=["day"])
     out = out.select(day_text("day"), *[c for c in out.columns if c != "day"])
     return rounded(out, STAT_DIGITS)
 

@@ -64,11 +64,17 @@ def rect_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(F.array(pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1)))
 
 
+def _indices(ring: Column) -> Column:
+    """0 ... n - 1 of a ring's vertices (none for a null or empty ring)."""
+    n = F.coalesce(F.array_size(ring), F.lit(0))
+    return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - F.lit(1))).otherwise(F.array().cast("array<int>"))
+
+
 def ring_edges(ring: Column) -> Column:
     """Edges of a ring as ``array<struct<ax, ay, bx, by>>`` (closing edge included)."""
     n = F.size(ring)
     return F.transform(
-        F.sequence(F.lit(0), n - F.lit(1)),
+        _indices(ring),
         lambda i: F.struct(
             ring[i]["x"].alias("ax"),
             ring[i]["y"].alias("ay"),
@@ -100,18 +106,19 @@ def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
         )
 
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx6"), F.lit(0.0).alias("my6"))
-    return F.aggregate(F.sequence(F.lit(0), n - F.lit(1)), zero, step)
+    return F.aggregate(_indices(r), zero, step)
 
 
 def signed_area(ring: Column) -> Column:
     """Shoelace signed area of one ring (positive when counter-clockwise)."""
-    return _ring_moments(ring, ring[0]["x"], ring[0]["y"])["a2"] / F.lit(2.0)
+    return _ring_moments(ring, F.get(ring, 0)["x"], F.get(ring, 0)["y"])["a2"] / F.lit(2.0)
 
 
 def polygon_area(rings: Column) -> Column:
     """Area of a polygon with holes (|shell| - sum |holes|)."""
-    areas = F.transform(rings, lambda r: F.abs(_ring_moments(r, r[0]["x"], r[0]["y"])["a2"]) / F.lit(2.0))
-    return F.aggregate(F.slice(areas, 2, 1_000_000), areas[0], lambda acc, a: acc - a)
+    areas = F.transform(rings, lambda r: F.abs(_ring_moments(r, F.get(r, 0)["x"], F.get(r, 0)["y"])["a2"]) / F.lit(2.0))
+    shell = F.get(areas, 0)
+    return shell - (F.aggregate(areas, F.lit(0.0), lambda acc, a: acc + a) - shell)
 
 
 def polygon_centroid(rings: Column) -> Column:
@@ -120,7 +127,8 @@ def polygon_centroid(rings: Column) -> Column:
     Moments are taken about the shell's first vertex; each ring is oriented
     by its own area sign, then the shell counts positive and holes negative.
     """
-    ox, oy = rings[0][0]["x"], rings[0][0]["y"]
+    origin = F.get(F.get(rings, 0), 0)
+    ox, oy = origin["x"], origin["y"]
 
     def signed(r, i):
         m = _ring_moments(r, ox, oy)
@@ -143,7 +151,7 @@ def polygon_centroid(rings: Column) -> Column:
 
 def bounds(rings: Column) -> Column:
     """``struct(xmin, ymin, xmax, ymax)`` of a polygon (shell ring)."""
-    shell = rings[0]
+    shell = F.get(rings, 0)
     xs = F.transform(shell, lambda p: p["x"])
     ys = F.transform(shell, lambda p: p["y"])
     return F.struct(

@@ -34,15 +34,15 @@ def signif(col: Column, digits: int = 2) -> Column:
 
 
 def quantize(col: Column, bits: int) -> Column:
-    """Round to the nearest multiple of 2**-bits (half up).
+    """Round to the nearest multiple of 2**-bits (ties to even), in DOUBLE throughout.
 
     Used to publish aggregated floats: unlike decimal rounding, a binary
     grid never puts a decimal input value exactly on a rounding boundary,
-    and every engine computes ``floor(x * 2**bits + 0.5) / 2**bits`` the
-    same way, so results compare exactly across engines.
+    and every engine rounds a double to an integer the same way, so results
+    compare exactly across engines.
     """
     scale = F.lit(float(2 ** bits))
-    return F.floor(col * scale + F.lit(0.5)) / scale
+    return F.rint(col * scale) / scale
 
 
 def band_lookup(col: Column, bands: Sequence[tuple[float, float, float]]) -> Column:

@@ -9,8 +9,9 @@ rows is never gathered into one task:
 * group totals are computed by ``groupBy`` and joined back instead of a
   ``Window.partitionBy`` (a window partition is processed by one task);
   AQE's skew-join handling splits a hot key on the large side of that join;
-* numbering (``serial``) uses a window only for groups of bounded size; a
-  hot group is range-partitioned over many tasks with per-partition offsets.
+* numbering uses a window for groups that fit a task (``serial``); groups of
+  any size are range-partitioned over many tasks with per-partition offsets
+  (``range_serial``).
 """
 
 from __future__ import annotations
@@ -48,46 +49,52 @@ def count_by(df: DataFrame, key: str | Sequence[str], name: str = "n") -> DataFr
     return df.where(_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def keep_last(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
+def _last_rows(df: DataFrame, keys: Sequence[str], order: str, payload: Sequence[str]) -> DataFrame:
+    """The payload of each key's last row: a hash aggregate finds the last order, a join on (key, order) fetches the row.
+
+    (``max_by`` over text or structs would sort all rows before the map-side
+    reduce.)  Rows of one key that tie in ``order`` are reduced to one.
+    """
+    top = df.groupBy(*keys).agg(F.max(order).alias("_cf_top"))
+    a, b = df.select(*keys, F.col(order).alias("_cf_top"), *[F.col(c).alias(f"_cf_p{i}") for i, c in enumerate(payload)]).alias("a"), top.alias("b")
+    on = F.col("a._cf_top") == F.col("b._cf_top")
+    for k in keys:
+        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    got = a.join(b, on, "left_semi").dropDuplicates([*keys, "_cf_top"])
+    return got.select(*keys, *[F.col(f"_cf_p{i}").alias(c) for i, c in enumerate(payload)])
+
+
+def keep_last(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
     """One row per key, the one that is last in ``order``.
 
     ``order`` must be unique within a key (a source row number), as "last"
-    presumes.  ``max_by`` is a partial aggregate, so a hot key is reduced
-    map-side; no window, no self join.
+    presumes.  Partial aggregates reduce a hot key before the shuffle.
     """
     keys = _cols(key)
-    order_cols = _cols(order)
+    fixed = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
     payload = [c for c in df.columns if c not in keys]
-    if len(order_cols) == 1:
-        # one max_by per column: fixed-width values keep the hash aggregate
-        # (a struct value forces a sort-based one); the order is unique per key
-        o = F.col(order_cols[0])
-        return df.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in payload])
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(*order_cols)).alias("_cf_last")
-    )
-    return picked.select(*keys, *[F.col(f"_cf_last.{c}").alias(c) for c in payload])
+    kinds = dict(df.dtypes)
+    if all(kinds[c] in fixed for c in payload):  # fixed-width values keep max_by a hash aggregate
+        return df.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col(order)).alias(c) for c in payload])
+    return _last_rows(df, keys, order, payload)
 
 
 def sum_with_representative(
     df: DataFrame,
     key: str | Sequence[str],
     sums: Mapping[str, str],
-    order: str | Sequence[str],
+    order: str,
     keep: Sequence[str] = (),
     count_name: str | None = None,
 ) -> DataFrame:
-    """Sums per key plus the attributes of the key's last row, in one aggregate."""
+    """Sums per key plus the attributes of the key's last row, in one hash aggregate of fixed-width columns."""
     keys = _cols(key)
     aggs = [F.sum(src).alias(dst) for src, dst in sums.items()]
-    if keep:
-        aggs.append(F.max_by(F.struct(*keep), F.struct(*_cols(order))).alias("_cf_rep"))
+    aggs += [F.max_by(F.col(c), F.col(order)).alias(c) for c in keep]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
     out = df.groupBy(*keys).agg(*aggs)
-    if keep:
-        out = out.select("*", *[F.col(f"_cf_rep.{c}").alias(c) for c in keep]).drop("_cf_rep")
-    return out
+    return out.select(*keys, *sums.values(), *([count_name] if count_name else []), *keep)
 
 
 def with_group_count(df: DataFrame, key: str | Sequence[str], name: str = "group_count") -> DataFrame:
@@ -116,14 +123,17 @@ def category_share(
     weights: Mapping[str, tuple[float, float]],
     computed_totals: bool = False,
     name: str = "lpc",
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """``length / category total * weight``; unknown categories get 0.
 
     With ``computed_totals=False`` the totals come from ``weights`` (as in the
     published method) and the share is one generated CASE expression.  With
-    ``computed_totals=True`` the totals are summed from ``df`` by a partial
-    aggregate over the categories of ``weights`` - the total table has at most
-    ``len(weights)`` rows, so its broadcast is bounded by the factor table.
+    ``computed_totals=True`` the totals are summed over the categories of
+    ``weights`` from ``pieces`` (rows of ``cat`` and ``length`` that add up to
+    ``df``; ``df`` itself if not given) by a partial aggregate - the total
+    table has at most ``len(weights)`` rows, so its broadcast is bounded by
+    the factor table.
     """
     if not computed_totals:
         expr: Column | None = None
@@ -137,7 +147,7 @@ def category_share(
         [(c, float(w)) for c, (_, w) in weights.items()], "_cf_cat string, _cf_w double"
     )
     totals = (
-        df.where(F.col(cat).isin(list(weights)))
+        (df if pieces is None else pieces).where(F.col(cat).isin(list(weights)))
         .groupBy(F.col(cat).alias("_cf_cat"))
         .agg(F.sum(length).alias("_cf_total"))
         .join(F.broadcast(wdf), "_cf_cat")
@@ -150,50 +160,22 @@ def category_share(
     return out.withColumn(name, share).drop("_cf_cat", "_cf_total", "_cf_w")
 
 
-# Groups up to this many rows are numbered by a window (one task per group);
-# larger ("hot") groups are spread over many tasks.  The hot-key list has at
-# most rows / HOT_GROUP_ROWS entries, which bounds its broadcast.
-HOT_GROUP_ROWS = 1_000_000
-
-
 def serial(
     df: DataFrame,
     order: str | Sequence[str],
-    by: str | Sequence[str] = (),
+    by: str | Sequence[str],
     name: str = "sn",
     start: int = 1,
-    max_group_rows: int = HOT_GROUP_ROWS,
-    num_partitions: int | None = None,
 ) -> DataFrame:
     """Dense numbering ``start..`` within ``by`` groups, in ``order``.
 
-    ``row_number().over(Window.partitionBy(by))`` sorts a whole group in one
-    task, which is fine for bounded groups and wrong for a group holding a
-    large share of the data (or for one global sequence).  So groups are
-    first counted (partial aggregate): groups up to ``max_group_rows`` rows
-    get the window; larger groups - and the global case - are numbered by
-    ``range_serial``, which spreads a group over many partitions.  Ties in
+    One window over the groups: a group is sorted in one task, so this is
+    for groups that fit one (the lines of a log file, the stops of a route).
+    ``range_serial`` numbers groups of any size, and whole tables.  Ties in
     ``order`` are numbered in an arbitrary order, as with ``row_number``.
     """
-    by_cols = _cols(by)
-    order_cols = _cols(order)
-    if not by_cols:
-        return range_serial(df, order_cols, by_cols, name, start, num_partitions)
-    counts = df.groupBy(*by_cols).agg(F.count(F.lit(1)).alias("_cf_n"))
-    hot = counts.where(F.col("_cf_n") > F.lit(max_group_rows)).select(*by_cols)
-    w = Window.partitionBy(*by_cols).orderBy(*order_cols)
-
-    def windowed(d: DataFrame) -> DataFrame:
-        return d.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-
-    if hot.isEmpty():  # one small aggregate job; the usual case
-        return windowed(df)
-    tagged = df.join(F.broadcast(hot.withColumn("_cf_hot", F.lit(True))), by_cols, "left")
-    normal = windowed(tagged.where(F.col("_cf_hot").isNull()).drop("_cf_hot"))
-    heavy = range_serial(
-        tagged.where(F.col("_cf_hot")).drop("_cf_hot"), order_cols, by_cols, name, start, num_partitions
-    )
-    return normal.unionByName(heavy)
+    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
+    return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
 
 
 def range_serial(

@@ -64,21 +64,20 @@ def add_region(
     region: DataFrame,
     value: str = "emi_pm",
     add: str = "flux",
-    max_region_rows: int = 1_000_000,
-    region_rows: int | None = None,
+    months: Sequence[int] = tuple(range(1, 13)),
 ) -> DataFrame:
-    """Add a regional field (lat_idx, lon_idx, [species,] flux) to every month.
-
-    Cells hit by several region blocks get their sum (no positional
-    scatter).  Month is not a key of the region, so the same amount lands
-    in each month.  The region is broadcast when its known row bound is
-    small; otherwise both sides shuffle on the cell key.
+    """Add a regional field (species, lat_idx, lon_idx, flux) to every month.
+
+    Returns the field's keys, ``value`` (with the region added) and
+    ``region_add``.  Every region cell appears in every month, also where
+    the field has no row (a dense field holds 0 there).  Cells hit by several
+    region blocks get their sum.  Field rows and region rows x months are one
+    union with one aggregate on the field's keys: a single shuffle, reduced
+    before it.
     """
-    keys = ["lat_idx", "lon_idx"] + (["species"] if "species" in region.columns else [])
-    r = region.groupBy(*keys).agg(F.sum(add).alias("_cf_add"))
-    if region_rows is not None and region_rows <= max_region_rows:
-        r = F.broadcast(r)
-    j = field.join(r, keys, "left")
-    return j.withColumn("region_add", F.coalesce(F.col("_cf_add"), F.lit(0.0))).withColumn(
-        value, F.col(value) + F.col("region_add")
-    ).drop("_cf_add")
+    each = region.groupBy("species", "lat_idx", "lon_idx").agg(F.sum(add).alias("_cf_add"))
+    month = F.explode(F.array(*[F.lit(int(m)) for m in months])).alias("month")
+    extra = each.select("species", month, "lat_idx", "lon_idx", F.lit(0.0).alias("_cf_value"), "_cf_add")
+    rows = field.select("species", F.col("month").cast("int").alias("month"), "lat_idx", "lon_idx", F.col(value).alias("_cf_value"), F.lit(0.0).alias("_cf_add"))
+    both = rows.unionByName(extra).groupBy(*FIELD_KEYS).agg(F.sum("_cf_value").alias("_cf_value"), F.sum("_cf_add").alias("region_add"))
+    return both.select(*FIELD_KEYS, (F.col("_cf_value") + F.col("region_add")).alias(value), "region_add")

@@ -3,9 +3,7 @@
 A grid is a parameter object, not a table: ``gid``, ``ix``, ``iy`` and the
 cell bounds are integer arithmetic on columns, so assigning a feature to a
 cell never needs a join with the grid.  The grid table itself is only
-joined where every cell must appear in the output (``to_grid``); its row
-count ``nx * ny`` is known without running anything, which is what decides
-whether it is broadcast.
+joined where every cell must appear in the output (``to_grid``).
 
 Cell numbering is column-major: ``gid - 1 = ix * ny + iy`` (``ix`` is the
 column, west to east; ``iy`` the row, south to north).
@@ -19,9 +17,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest grid table that may be broadcast (rows); beyond it a shuffle join.
-GRID_BROADCAST_MAX_CELLS = 2_000_000
-
 
 @dataclass(frozen=True)
 class Grid:
@@ -103,9 +98,6 @@ class Grid:
         g = self.cells(spark)
         return g.select("gid", self.cx(F.col("ix")).alias("x"), self.cy(F.col("iy")).alias("y"))
 
-    def small_enough_to_broadcast(self) -> bool:
-        return self.n_cells <= GRID_BROADCAST_MAX_CELLS
-
 
 def explode_range(lo: Column, hi: Column) -> Column:
     """Integers lo..hi as rows; no rows when lo > hi (``sequence`` alone would count down)."""
@@ -134,14 +126,11 @@ def to_grid(
 ) -> DataFrame:
     """Every cell of the grid with the per-cell measures, missing -> 0.
 
-    ``per_cell`` has at most one row per cell, so its size is bounded by the
-    grid's cell count - known before running.  Within the bound it is
-    broadcast to the grid scan (the preserved side of the left join);
-    beyond it both sides shuffle on ``gid``.
+    The measures are the preserved side's partner on ``gid``; Spark picks a
+    broadcast or a shuffle join from their size.
     """
     cells = grid.cells(spark).select(F.col("gid").alias(key))
-    right = F.broadcast(per_cell) if grid.small_enough_to_broadcast() else per_cell
-    return cells.join(right, key, "left").fillna(0, subset=list(cols))
+    return cells.join(per_cell, key, "left").fillna(0, subset=list(cols))
 
 
 def upscale(

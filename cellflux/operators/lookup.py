@@ -26,16 +26,15 @@ def nearest_index(
     The axis is regular (``origin + i*step``, ``n`` values), so the bracketing
     index is arithmetic.  The decision uses the axis table's own values at
     the four indices around the arithmetic guess, so rounding in the guess
-    cannot change the answer.  The axis has at most ``n`` rows; each of the
-    four lookups is a broadcast hash join, and the pick is an in-row CASE
-    fold - no shuffle and no aggregate.  All input columns are kept (``key``
+    cannot change the answer.  An axis is small, so Spark broadcasts each of
+    the four lookups by its size; the pick is an in-row CASE fold.  All input columns are kept (``key``
     is accepted for compatibility), so lookups on several axes chain on one
     lineage instead of being joined back.
     """
     keep = list(targets.columns)
     t = targets.withColumn("_cf_t", F.col(target))
     k = F.floor((F.col("_cf_t") - F.lit(origin)) / F.lit(step)).cast("int")
-    ax = F.broadcast(axis.select(F.col(idx).cast("int").alias("_cf_ai"), F.col(val).alias("_cf_av")))
+    ax = axis.select(F.col(idx).cast("int").alias("_cf_ai"), F.col(val).alias("_cf_av"))
     offsets = (-1, 0, 1, 2)
     for j, off in enumerate(offsets):
         t = t.withColumn(f"_cf_i{j}", F.least(F.greatest(k + F.lit(off), F.lit(0)), F.lit(n - 1)))

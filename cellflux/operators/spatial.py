@@ -13,20 +13,17 @@ bucket key so Spark can hash-partition them.
   points on their cell; a (point, polygon) candidate then meets the
   polygon's edges on (polygon, row band), and the even-odd crossing count
   with an on-edge test gives the strict ``within``.
-* polygon x cell area (F25): Sutherland-Hodgman clip against the cell (a
-  convex window, so any subject polygon's clipped area is exact) in an
-  Arrow-batched pandas UDF, on candidate (polygon, cell) pairs only.
+* polygon x cell (F25, J10): Sutherland-Hodgman clip against the cell (a
+  convex window, so any subject polygon's clipped area is exact), one column
+  expression for each side of the cell, on candidate (polygon, cell) pairs only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cellflux.functions import geometry as geo
 from cellflux.operators.grid import Grid, explode_range
@@ -159,6 +156,20 @@ def points_in_polygons(
     Points on a polygon's boundary are not within it.  Returns
     (point_key, poly_key) for matched points only.
     """
+    inside = _inside(points, polys, bucket, point_key, poly_key, poly_order or poly_key, x, y)
+    best = inside.groupBy("_cf_pt").agg(F.max_by("_cf_poly", "_cf_ord").alias(poly_key))
+    return best.withColumnRenamed("_cf_pt", point_key)
+
+
+def polygons_of_points(points: DataFrame, polys: DataFrame, bucket: Grid, point_key: str = "pt_id", poly_key: str = "poly_id",
+                       x: str = "x", y: str = "y") -> DataFrame:
+    """J13 onto the polygon: each polygon with the point strictly inside it (the last one, if several): (poly_key, point_key)."""
+    inside = _inside(points, polys, bucket, point_key, poly_key, poly_key, x, y)
+    return inside.groupBy(F.col("_cf_poly").alias(poly_key)).agg(F.max("_cf_pt").alias(point_key))
+
+
+def _inside(points: DataFrame, polys: DataFrame, bucket: Grid, point_key: str, poly_key: str, order_col: str, x: str, y: str) -> DataFrame:
+    """(_cf_pt, _cf_poly, _cf_ord): every point strictly inside a polygon."""
     def bx(c):
         return F.least(F.greatest(F.floor(bucket.fx(c)), F.lit(0)), F.lit(bucket.nx - 1)).cast("int")
 
@@ -169,7 +180,6 @@ def points_in_polygons(
         F.col(point_key).alias("_cf_pt"), F.col(x).alias("_cf_px"), F.col(y).alias("_cf_py")
     ).withColumn("_cf_bx", bx(F.col("_cf_px"))).withColumn("_cf_by", by(F.col("_cf_py")))
 
-    order_col = poly_order or poly_key
     pb = polys.select(
         F.col(poly_key).alias("_cf_poly"), F.col(order_col).alias("_cf_ord"), geo.bounds(F.col("rings")).alias("b")
     )
@@ -201,110 +211,98 @@ def points_in_polygons(
         & (px >= F.least(ax, bxx)) & (px <= F.greatest(ax, bxx))
         & (py >= F.least(ay, byy)) & (py <= F.greatest(ay, byy))
     )
-    # Partition once by point: the per-(point, polygon) count and the
-    # per-point pick below both reuse it (a point has few candidate
-    # polygons, so the key is never hot).
-    tested = pe.repartition("_cf_pt").groupBy("_cf_pt", "_cf_poly", "_cf_ord").agg(
+    # (point, edge) rows are summed before they move
+    tested = pe.groupBy("_cf_pt", "_cf_poly", "_cf_ord").agg(
         F.sum(F.when(crosses, 1).otherwise(0)).alias("_cf_cross"),
         F.max(on_edge.cast("int")).alias("_cf_on"),
     )
-    inside = tested.where((F.col("_cf_cross") % 2 == 1) & (F.col("_cf_on") == 0))
-    best = inside.groupBy("_cf_pt").agg(F.max_by("_cf_poly", "_cf_ord").alias(poly_key))
-    return best.withColumnRenamed("_cf_pt", point_key)
+    return tested.where((F.col("_cf_cross") % 2 == 1) & (F.col("_cf_on") == 0)).select("_cf_pt", "_cf_poly", "_cf_ord")
 
 
 # ---------------------------------------------------------------------------
-# polygon x cell clipping (area), vectorised per Arrow batch
+# lines
 # ---------------------------------------------------------------------------
 
-def _ship_by_value() -> None:
-    """Pickle this module's UDF helpers by value, so executors need no install."""
-    try:
-        import sys
+def line_segments(line: Column) -> Column:
+    """Consecutive points of a line (array of structs with x, y) as ``array<struct<x0, y0, x1, y1>>``."""
+    n = F.coalesce(F.array_size(line), F.lit(0))
+    at = F.when(n > 1, F.sequence(F.lit(0), F.greatest(n, F.lit(2)) - 2)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.struct(
+        F.get(line, i)["x"].alias("x0"), F.get(line, i)["y"].alias("y0"), F.get(line, i + 1)["x"].alias("x1"), F.get(line, i + 1)["y"].alias("y1")))
 
-        from pyspark import cloudpickle
 
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # pragma: no cover - older cloudpickle
-        pass
+def polyline_segments(layer: DataFrame, lines: str = "lines") -> DataFrame:
+    """A polyline layer (``lines``: one array of points for each part) as one row per segment: other columns, part, x0, y0, x1, y1."""
+    keep = [c for c in layer.columns if c != lines]
+    parts = layer.select(*keep, F.posexplode(lines).alias("part", "_cf_line"))
+    return parts.select(*keep, "part", F.explode(line_segments(F.col("_cf_line"))).alias("_cf_s")).select(*keep, "part", "_cf_s.*")
 
 
-_ship_by_value()
+# ---------------------------------------------------------------------------
+# polygon x cell clipping (rings and area)
+# ---------------------------------------------------------------------------
 
-def _clip_area(xs: list, ys: list, xmin: float, ymin: float, xmax: float, ymax: float) -> float:
-    """Area of a polygon ring clipped to a box (Sutherland-Hodgman), plain floats.
+def _clip_side(rings: Column, axis: str, bound: Column, keep_ge: bool) -> Column:
+    """Sutherland-Hodgman: every ring clipped to one side of a line parallel to an axis.
 
-    Intersection points are put exactly on the clip line, and the shoelace
-    sum is taken about the first vertex, so an axis-aligned piece has
-    exactly the area ``width * height``.
+    Intersections are put exactly on the line, so axis-aligned pieces keep
+    exact coordinates.
     """
-    pts = list(zip(xs, ys))
-    for axis, bound, keep_ge in ((0, xmin, True), (0, xmax, False), (1, ymin, True), (1, ymax, False)):
-        if not pts:
-            return 0.0
-        out = []
-        prev = pts[-1]
-        pin = prev[axis] >= bound if keep_ge else prev[axis] <= bound
-        for cur in pts:
-            cin = cur[axis] >= bound if keep_ge else cur[axis] <= bound
-            if cin != pin:
-                t = (bound - prev[axis]) / (cur[axis] - prev[axis])
-                o = prev[1 - axis] + t * (cur[1 - axis] - prev[1 - axis])
-                out.append((bound, o) if axis == 0 else (o, bound))
-            if cin:
-                out.append(cur)
-            prev, pin = cur, cin
-        pts = out
-    n = len(pts)
-    if n < 3:
-        return 0.0
-    ox, oy = pts[0]
-    acc = 0.0
-    for i in range(n):
-        ax, ay = pts[i]
-        bx, by = pts[(i + 1) % n]
-        acc += (ax - ox) * (by - oy) - (bx - ox) * (ay - oy)
-    return abs(acc) / 2.0
-
-
-@F.pandas_udf(T.DoubleType())
-def _clip_area_udf(xs: pd.Series, ys: pd.Series, sizes: pd.Series, xmin: pd.Series, ymin: pd.Series,
-                   xmax: pd.Series, ymax: pd.Series) -> pd.Series:
-    """Clipped area per row; rings arrive as flat coordinate arrays + ring sizes."""
-    out = []
-    for x, y, n, a, b, c, d in zip(xs, ys, sizes, xmin.tolist(), ymin.tolist(), xmax.tolist(), ymax.tolist()):
-        x, y = x.tolist(), y.tolist()
-        total, start = 0.0, 0
-        for r, m in enumerate(n.tolist()):
-            part = _clip_area(x[start:start + m], y[start:start + m], a, b, c, d)
-            total = total + part if r == 0 else total - part
-            start += m
-        out.append(total)
-    return pd.Series(out, dtype="float64")
+    other = "y" if axis == "x" else "x"
 
+    def inside(p):
+        return p[axis] >= bound if keep_ge else p[axis] <= bound
 
-def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame:
-    """(polygon, cell, clipped area) for every cell the polygon overlaps with area > 0.
+    def point(along, across):
+        x, y = (bound, across) if axis == "x" else (across, bound)
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def clip(ring):
+        n = F.size(ring)
+
+        def step(i):
+            cur, prev = F.get(ring, i), F.get(ring, (i + n - 1) % n)
+            t = (bound - prev[axis]) / (cur[axis] - prev[axis])
+            cross = F.when(inside(cur) != inside(prev), point(bound, prev[other] + t * (cur[other] - prev[other])))
+            own = F.when(inside(cur), F.struct(cur["x"].alias("x"), cur["y"].alias("y")))
+            return F.filter(F.array(cross, own), lambda p: p.isNotNull())
 
-    Candidate cells come from the polygon's bounding box; only those pairs
-    reach the Python clip.  The clip window (the cell) is convex, so the
-    clipped area is exact for any ring, convex or not; holes subtract.
+        return F.flatten(F.transform(F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>")), step))
+
+    return F.transform(rings, clip)
+
+
+def polygon_cell_pieces(polys: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """(polygon, cell) candidates with the clipped rings (``piece``) and their area (``cell_area``).
+
+    Candidate cells come from the polygon's bounding box.  The window is
+    convex, so the clipped area is exact for any ring, convex or not; holes
+    subtract.  Input columns, ``ix``, ``iy``, ``gid`` are kept.
     """
-    b = geo.bounds(F.col("rings"))
+    keep = polys.columns
+    b = geo.bounds(F.col(rings))
     ia, ib = grid.col_range(b["xmin"], b["xmax"])
     ja, jb = grid.row_range(b["ymin"], b["ymax"])
     cand = polys.withColumn("ix", explode_range(ia, ib)).withColumn("iy", explode_range(ja, jb))
-    # asNondeterministic: otherwise Catalyst copies the UDF into the pushed-down
-    # ``cell_area > 0`` filter and runs the Python clip twice per pair
-    area = _clip_area_udf.asNondeterministic()(
-        F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["x"]))),
-        F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p["y"]))),
-        F.transform("rings", lambda r: F.size(r)),
-        grid.xmin(F.col("ix")), grid.ymin(F.col("iy")), grid.xmax(F.col("ix")), grid.ymax(F.col("iy")),
-    )
-    return (
-        cand.withColumn("cell_area", area)
-        .where(F.col("cell_area") > 0)
-        .withColumn("gid", grid.gid(F.col("ix"), F.col("iy")))
-        .withColumn("poly_area", geo.polygon_area(F.col("rings")))
-    )
+    cand = cand.withColumn("piece", F.transform(F.col(rings), lambda r: F.transform(r, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))))
+    for axis, bound, ge in (("x", grid.xmin(F.col("ix")), True), ("x", grid.xmax(F.col("ix")), False),
+                            ("y", grid.ymin(F.col("iy")), True), ("y", grid.ymax(F.col("iy")), False)):
+        cand = cand.withColumn("piece", _clip_side(F.col("piece"), axis, bound, ge))
+    return cand.select(*keep, "ix", "iy", grid.gid(F.col("ix"), F.col("iy")).alias("gid"), "piece", F.coalesce(geo.polygon_area(F.col("piece")), F.lit(0.0)).alias("cell_area"))
+
+
+def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame:
+    """(polygon, cell, clipped area) for every cell the polygon overlaps with area > 0."""
+    pieces = polygon_cell_pieces(polys, grid).where(F.col("cell_area") > 0)
+    return pieces.withColumn("poly_area", geo.polygon_area(F.col("rings")))
+
+
+def polygons_touching_cells(polys: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
+    """J10 for polygons: every cell whose closed square the polygon meets, with the clipped rings (``piece``).
+
+    They meet if they share area or an edge of a ring meets the cell.
+    """
+    pieces = polygon_cell_pieces(polys, grid, rings)
+    box = [f(F.col(c)) for f, c in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy"))]
+    edge = F.exists(F.flatten(F.transform(F.col(rings), geo.ring_edges)), lambda e: geo.clip_segment(e["ax"], e["ay"], e["bx"], e["by"], *box)["hit"])
+    return pieces.where((F.col("cell_area") > 0) | edge)

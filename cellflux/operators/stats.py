@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 def mod_stats(df: DataFrame, obs: str = "obs", mod: str = "mod", by: Sequence[str] = ()) -> DataFrame:
     keys = list(by)
-    if not keys:  # one overall group: a constant key keeps the join an equi join
+    if not keys:  # one overall group: its mean is one row
         df = df.withColumn("_cf_all", F.lit(0))
         keys = ["_cf_all"]
     pairs = df.where(F.col(obs).isNotNull() & F.col(mod).isNotNull())
@@ -42,6 +42,8 @@ def mod_stats(df: DataFrame, obs: str = "obs", mod: str = "mod", by: Sequence[st
         F.avg(o).alias("_cf_mo"),
     )
     means = first.select(*keys, "_cf_mo")
+    if "_cf_all" in keys:
+        means = F.broadcast(means)  # one row
     spread = pairs.join(means, keys, "inner").groupBy(*keys).agg(
         F.sum(F.abs(o - F.col("_cf_mo"))).alias("_cf_b")
     )

@@ -19,7 +19,7 @@ FIXTURES: dict[str, str] = {
     "readings": """SELECT event_id AS sno, user_id AS station_id, ts,
         concat(substr(cast(ts AS string),1,10),'T',substr(cast(ts AS string),12,5)) AS time,
         cast(floor(value*100e0) AS bigint) AS pm05, cast(floor(value*10e0) AS bigint) AS pm25 FROM events""",
-    "weather": """SELECT DISTINCT cast(ts AS date) AS date, cast((dayofmonth(ts)*37)%101 AS int) AS hum
+    "weather": """SELECT DISTINCT cast(ts AS date) AS date, cast((dayofmonth(ts)*37)%101 AS double) + CASE WHEN dayofmonth(ts)%3=2 THEN 0.5e0 ELSE 0e0 END AS hum
         FROM events WHERE dayofmonth(ts)<=27""",
     "grid": """SELECT cast(gid AS int) AS gid, cast(floor((gid-1)/50) AS int) AS ix, cast((gid-1)%50 AS int) AS iy
         FROM range(1,3001) AS t(gid)""",
@@ -34,26 +34,39 @@ FIXTURES: dict[str, str] = {
              WHEN 4 THEN 'residential' ELSE 'path' END AS cat FROM lineitem""",
     "wards": """SELECT n_nationkey AS wrd, n_name AS area_name, 12e0*(n_nationkey%5) AS x0, 10e0*floor(n_nationkey/5) AS y0,
         12e0*(n_nationkey%5)+12e0 AS x1, 10e0*floor(n_nationkey/5)+10e0 AS y1 FROM nation""",
-    "census": """SELECT c_nationkey AS tvw, CASE WHEN c_nationkey%2=0 THEN 'Rural' ELSE 'Urban' END AS tru,
+    "census": """SELECT CASE WHEN c_nationkey%8=7 THEN c_nationkey+1000 ELSE c_nationkey END AS tvw, CASE WHEN c_nationkey%2=0 THEN 'Rural' ELSE 'Urban' END AS tru,
         cast(count(*)*37 AS bigint) AS no_of_households, 5e0+c_nationkey%3 AS s1, 10e0 AS s2, 15e0 AS s3, 25e0 AS s4,
         20e0-c_nationkey%3 AS s5, 15e0 AS s6, 10e0 AS s7 FROM customer GROUP BY c_nationkey""",
     "sector_fields": """SELECT l_returnflag AS species, l_linenumber AS sector, cast(month(l_shipdate) AS int) AS month,
-        cast(l_suppkey%18 AS int) AS lat_idx, cast(l_partkey%36 AS int) AS lon_idx, l_extendedprice AS emi FROM lineitem""",
+        cast(l_suppkey%18 AS int) AS lat_idx, cast(l_partkey%36 AS int) AS lon_idx, l_extendedprice/1099511627776e0 AS emi FROM lineitem""",
     "lat_axis": "SELECT cast(i AS int) AS lat_idx, 10.05e0+i/10e0 AS lat FROM range(0,18) AS t(i)",
     "lon_axis": "SELECT cast(i AS int) AS lon_idx, 76.05e0+i/10e0 AS lon FROM range(0,36) AS t(i)",
     "stops": """SELECT p_partkey AS stop_id, concat('stop ',cast(p_partkey AS string)) AS stop,
-        (p_partkey*7919%60000)/1000e0 AS x, (p_partkey*104729%50000)/1000e0 AS y FROM part""",
-    "route_stops": """SELECT o_orderkey AS route, o_custkey%20 AS total_sing,
-        cast(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS int) AS pos,
-        concat('stop',cast(l_partkey AS string)) AS stop_key FROM orders JOIN lineitem ON o_orderkey=l_orderkey""",
-    "observations": """SELECT cast(date_trunc('hour',ts) AS timestamp) AS time,
-        CASE event_type WHEN 'view' THEN 'monitor' ELSE 'model' END AS property, avg(value) AS value
-        FROM events WHERE event_type IN ('view','click') GROUP BY 1,2""",
+        (p_partkey*7919%60000)/1000e0 AS x, (p_partkey*104729%50000)/1000e0 AS y FROM part
+        UNION ALL SELECT p_partkey + 10000000, concat('stop ',cast(p_partkey AS string)),
+        (p_partkey*6007%60000)/1000e0, (p_partkey*7001%50000)/1000e0 FROM part WHERE p_partkey%97=0""",
+    "route_stops": """SELECT route, total_sing, cast(CASE WHEN route%50=0 AND rn>1 THEN rn+1 ELSE rn END AS int) AS pos, stop_key FROM (
+        SELECT o_orderkey AS route, o_custkey%20 AS total_sing,
+        row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS rn,
+        concat('stop',cast(l_partkey AS string)) AS stop_key FROM orders JOIN lineitem ON o_orderkey=l_orderkey)
+        UNION ALL SELECT o_orderkey, o_custkey%20, 2, 'nosuchstop' FROM orders WHERE o_orderkey%50=0
+          AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey=o_orderkey)""",
+    "observations": """SELECT cast(date_trunc('hour',ts) AS timestamp) AS time, event_type AS property, avg(value) AS value
+        FROM events GROUP BY 1,2""",
     "stations": """SELECT cast(s_suppkey AS double) AS code, s_name AS name, 11e0+(s_suppkey%50)/100e0 AS lat,
         76e0+(s_suppkey%60)/100e0 AS lon, cast(400+s_suppkey%90 AS double) AS elevation FROM supplier""",
-    "input_files": """SELECT DISTINCT concat('gfsanl_3_',replace(substr(cast(ts AS string),1,10),'-',''),'_',
-        substr(cast(ts AS string),12,2),'00_000.grb') AS path FROM events WHERE event_type='error' AND hour(ts)%3=0""",
-    "run_log": "SELECT user_id AS run_id, event_id AS line_no, event_type AS stage, ts FROM events",
+    "input_files": """SELECT DISTINCT concat(CASE WHEN event_type='error' THEN 'gfsanl_3_' ELSE 'namanl_218_' END,
+        replace(substr(cast(ts AS string),1,10),'-',''),'_',substr(cast(ts AS string),12,2),'00_000.grb') AS path FROM events""",
+    "run_log": """SELECT user_id AS run_id, event_id AS line_no,
+        CASE WHEN event_id%7=0 THEN 'wrf: Successful completion' ELSE event_type END AS stage, ts FROM events""",
+    "sites": """SELECT ind_id, pm10_emiss, pm25_emiss, x, y, size/25e0 AS a, size/40e0 AS b, x AS hx0, y - size/200e0 AS hy0,
+        x + size/100e0 AS hx1, y + size/200e0 AS hy1 FROM industry""",
+    "urban": """SELECT s_suppkey AS urban_id, (s_suppkey*7919%60000)/1000e0 AS ux, (s_suppkey*104729%50000)/1000e0 AS uy,
+        1.5e0 + (s_suppkey%7)/7e0 AS ua FROM supplier""",
+    "pca": """SELECT cast(c_nationkey%3*8 AS int) AS town_village, c_nationkey AS ward, CASE WHEN c_nationkey%2=0 THEN 'Rural' ELSE 'Urban' END AS tru,
+        cast(count(*)*37 AS bigint) AS no_of_households FROM customer GROUP BY c_nationkey""",
+    "hl": """SELECT DISTINCT cast(c_nationkey%3*8 AS int) AS town_village, c_nationkey AS ward, 5e0+c_nationkey%3 AS s1, 10e0 AS s2, 15e0 AS s3,
+        25e0 AS s4, 20e0-c_nationkey%3 AS s5, 15e0 AS s6, 10e0 AS s7 FROM customer WHERE c_nationkey%4<>3""",
 }
 
 # derived building blocks shared by several queries
@@ -71,17 +84,17 @@ DERIVED: dict[str, str] = {
         coalesce(s.a, 0e0)*365e0/1e6 AS pm10_tpy, coalesce(s.b, 0e0)*365e0/1e6 AS pm25_tpy
         FROM grid g LEFT JOIN (SELECT gid, sum(pm10_emiss) AS a, sum(pm25_emiss) AS b FROM ind_cells GROUP BY gid) s USING (gid)""",
     # E3 / E5 ---------------------------------------------------------------
-    "road_clip": """SELECT r.road_id, r.cat, g.gid,
+    "road_clip": """SELECT r.road_id, r.cat, r.gid,
         r.x1 - r.x0 AS dx, r.y1 - r.y0 AS dy,
-        CASE WHEN r.x1 = r.x0 THEN 0e0 ELSE least((g.ix - r.x0)/(r.x1 - r.x0), (g.ix + 1 - r.x0)/(r.x1 - r.x0)) END AS ex,
-        CASE WHEN r.x1 = r.x0 THEN 1e0 ELSE greatest((g.ix - r.x0)/(r.x1 - r.x0), (g.ix + 1 - r.x0)/(r.x1 - r.x0)) END AS lx,
-        CASE WHEN r.y1 = r.y0 THEN 0e0 ELSE least((g.iy - r.y0)/(r.y1 - r.y0), (g.iy + 1 - r.y0)/(r.y1 - r.y0)) END AS ey,
-        CASE WHEN r.y1 = r.y0 THEN 1e0 ELSE greatest((g.iy - r.y0)/(r.y1 - r.y0), (g.iy + 1 - r.y0)/(r.y1 - r.y0)) END AS ly,
-        (r.x1 = r.x0 AND (r.x0 < g.ix OR r.x0 > g.ix + 1)) AS mx,
-        (r.y1 = r.y0 AND (r.y0 < g.iy OR r.y0 > g.iy + 1)) AS my
-        FROM roads r JOIN grid g
-        ON g.ix BETWEEN floor(least(r.x0, r.x1)) - 1 AND floor(greatest(r.x0, r.x1))
-       AND g.iy BETWEEN floor(least(r.y0, r.y1)) - 1 AND floor(greatest(r.y0, r.y1))""",
+        CASE WHEN r.x1 = r.x0 THEN 0e0 ELSE least((r.ix - r.x0)/(r.x1 - r.x0), (r.ix + 1 - r.x0)/(r.x1 - r.x0)) END AS ex,
+        CASE WHEN r.x1 = r.x0 THEN 1e0 ELSE greatest((r.ix - r.x0)/(r.x1 - r.x0), (r.ix + 1 - r.x0)/(r.x1 - r.x0)) END AS lx,
+        CASE WHEN r.y1 = r.y0 THEN 0e0 ELSE least((r.iy - r.y0)/(r.y1 - r.y0), (r.iy + 1 - r.y0)/(r.y1 - r.y0)) END AS ey,
+        CASE WHEN r.y1 = r.y0 THEN 1e0 ELSE greatest((r.iy - r.y0)/(r.y1 - r.y0), (r.iy + 1 - r.y0)/(r.y1 - r.y0)) END AS ly,
+        (r.x1 = r.x0 AND (r.x0 < r.ix OR r.x0 > r.ix + 1)) AS mx,
+        (r.y1 = r.y0 AND (r.y0 < r.iy OR r.y0 > r.iy + 1)) AS my
+        FROM (SELECT *, cast(ix*50 + iy + 1 AS int) AS gid FROM (
+          SELECT *, unnest(range(greatest(0, cast(floor(least(y0, y1)) AS bigint) - 1), least(49, cast(floor(greatest(y0, y1)) AS bigint)) + 1)) AS iy FROM (
+          SELECT *, unnest(range(greatest(0, cast(floor(least(x0, x1)) AS bigint) - 1), least(59, cast(floor(greatest(x0, x1)) AS bigint)) + 1)) AS ix FROM roads))) r""",
     "road_pieces": """SELECT road_id, cat, gid,
         (least(1e0, lx, ly) - greatest(0e0, ex, ey)) * sqrt(dx*dx + dy*dy) * 100e0 AS length
         FROM road_clip WHERE NOT mx AND NOT my AND greatest(0e0, ex, ey) <= least(1e0, lx, ly)""",
@@ -98,8 +111,8 @@ DERIVED: dict[str, str] = {
         FROM stops GROUP BY 1""",
     "resolved": """SELECT rs.route, rs.total_sing, rs.pos, rs.stop_key, d.x, d.y, d.stop_key IS NOT NULL AS resolved
         FROM route_stops rs LEFT JOIN stop_dict d ON rs.stop_key = d.stop_key""",
-    "route_segs": """SELECT a.route, a.total_sing, a.x AS x0, a.y AS y0, b.x AS x1, b.y AS y1
-        FROM resolved a JOIN resolved b ON a.route = b.route AND b.pos = a.pos + 1 WHERE a.resolved AND b.resolved""",
+    "route_segs": """SELECT * FROM (SELECT route, total_sing, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1
+        FROM resolved WHERE resolved WINDOW w AS (PARTITION BY route ORDER BY pos)) WHERE x1 IS NOT NULL""",
     "route_cell_pairs": """SELECT DISTINCT s.route, s.total_sing, g.gid FROM route_segs s JOIN grid g
         ON g.ix BETWEEN floor(least(s.x0, s.x1)) - 1 AND floor(greatest(s.x0, s.x1))
        AND g.iy BETWEEN floor(least(s.y0, s.y1)) - 1 AND floor(greatest(s.y0, s.y1))
@@ -149,14 +162,14 @@ DERIVED: dict[str, str] = {
     # E9 --------------------------------------------------------------------
     "pairs": """SELECT o.time, cast(o.time AS date) AS day, o.value AS obs, m.value AS mod
         FROM observations o JOIN observations m ON o.time = m.time
-        WHERE o.property = 'monitor' AND m.property = 'model' AND o.value IS NOT NULL AND m.value IS NOT NULL""",
+        WHERE o.property = 'view' AND m.property = 'click' AND o.value IS NOT NULL AND m.value IS NOT NULL""",
 }
 
 
 def Q(expr: str, bits: int) -> str:
-    """SQL of ``numeric.quantize``: nearest multiple of 2**-bits, half up."""
+    """SQL of ``numeric.quantize``: nearest multiple of 2**-bits, ties to even."""
     scale = f"{2 ** bits}e0"
-    return f"(floor(({expr})*{scale} + 0.5e0)/{scale})"
+    return f"(round_even(({expr})*{scale}, 0)/{scale})"
 
 
 def _num(v: float) -> str:
@@ -206,13 +219,16 @@ def _render(body: str) -> str:
     )
 
 
+# computed once, however often a statement reads them
+_ONCE = {"road_cells", "resolved", "total_inv", "centre_wards", "pairs"}
+
 # dependency order of every CTE
 _ORDER = list(FIXTURES) + list(DERIVED)
 _DEPS = {
-    "footprints": ["industry"],
+    "footprints": ["industry"], "sites": ["industry"],
     "mass_raw": ["readings", "weather"], "mass": ["mass_raw"],
     "ind_cells": ["industry", "grid"], "industry_inv": ["ind_cells", "grid"],
-    "road_clip": ["roads", "grid"], "road_pieces": ["road_clip"], "road_cells": ["road_pieces"],
+    "road_clip": ["roads"], "road_pieces": ["road_clip"], "road_cells": ["road_pieces"],
     "road_lpc": ["road_cells"], "road_inv": ["road_lpc", "grid"], "dust_inv": ["road_lpc", "grid"],
     "stop_dict": ["stops"], "resolved": ["route_stops", "stop_dict"], "route_segs": ["resolved"],
     "route_cell_pairs": ["route_segs", "grid"], "bus_inv": ["route_cell_pairs", "grid"],
@@ -243,7 +259,7 @@ def _closure(names: list[str]) -> list[str]:
 
 def with_ctes(uses: list[str], final: str) -> str:
     bodies = {**FIXTURES, **DERIVED}
-    ctes = ",\n".join(f"{n} AS ({_render(bodies[n])})" for n in _closure(uses))
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}({_render(bodies[n])})" for n in _closure(uses))
     return f"WITH {ctes}\n{final}"
 
 
@@ -331,7 +347,7 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
     "resolve_stops": (["resolved"], "SELECT route, pos, stop_key, x, y, resolved FROM resolved"),
     "route_cells": (["route_cell_pairs"], "SELECT route, gid FROM route_cell_pairs"),
     "bus_inventory": (["bus_inv"], "SELECT gid, ts, pm25_tpy, pm10_tpy FROM bus_inv"),
-    "census_join": (["wards", "census"], """SELECT w.wrd, w.area_name, c.tvw, c.tru, c.no_of_households,
+    "census_join": (["wards", "census"], """SELECT w.wrd, w.area_name, cast(c.tvw AS double) AS tvw, c.tru, cast(c.no_of_households AS double) AS no_of_households,
         c.s1, c.s2, c.s3, c.s4, c.s5, c.s6, c.s7 FROM wards w LEFT JOIN census c ON w.wrd = c.tvw"""),
     "equal_share": (["industry", "wards"], """SELECT ind_id, wrd, grid_count, 1e0/grid_count AS wrd_prop FROM (
         SELECT i.ind_id, w.wrd, count(*) OVER (PARTITION BY w.wrd) AS grid_count FROM industry i JOIN wards w
@@ -340,7 +356,7 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
         {Q('pm10_tpy', 28)} AS pm10_tpy, {Q('pm25_tpy', 28)} AS pm25_tpy FROM res_inv"""),
     "total_inventory": (["total_inv"], f"SELECT gid, {Q('pm10_tot', 14)} AS pm10_tot, {Q('pm25_tot', 14)} AS pm25_tot FROM total_inv"),
     "sector_monthly_total": (["field"], f"""SELECT species, month, time_days,
-        strftime(DATE '1970-01-01' + time_days, '%Y-%m-%d') AS time, lat_idx, lon_idx, {Q('emi_pm', 10)} AS emi_pm FROM field"""),
+        strftime(DATE '1970-01-01' + time_days, '%Y-%m-%d') AS time, lat_idx, lon_idx, {Q('emi_pm', 50)} AS emi_pm FROM field"""),
     "time_axis": (["sector_fields"], """SELECT month, time_days, strftime(DATE '1970-01-01' + time_days, '%Y-%m-%d') AS time FROM (
         SELECT DISTINCT month, cast(date_diff('day', DATE '1970-01-01', make_date(2010, month, 1)) AS int) AS time_days
         FROM sector_fields)"""),
@@ -351,12 +367,14 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
            ORDER BY abs(l.lon - (76e0 + i.x*0.01e0)), l.lon_idx DESC) AS rn FROM industry i, lon_axis l) WHERE rn = 1) o
         USING (ind_id)"""),
     "merge_region_into_field": (["field", "region_long"], f"""SELECT species, month, lat_idx, lon_idx,
-        {Q('emi_pm + region_add', 10)} AS emi_pm, {Q('region_add', 45)} AS region_add FROM (
-        SELECT f.species, f.month, f.lat_idx, f.lon_idx, f.emi_pm, coalesce(r.add, 0e0) AS region_add
-        FROM field f LEFT JOIN (SELECT species, lat_idx, lon_idx, sum(flux) AS add FROM region_long GROUP BY 1, 2, 3) r
-        USING (species, lat_idx, lon_idx))"""),
+        {Q('emi_pm + region_add', 60)} AS emi_pm, {Q('region_add', 60)} AS region_add FROM (
+        SELECT coalesce(f.species, r.species) AS species, coalesce(f.month, r.month) AS month, coalesce(f.lat_idx, r.lat_idx) AS lat_idx,
+          coalesce(f.lon_idx, r.lon_idx) AS lon_idx, coalesce(f.emi_pm, 0e0) AS emi_pm, coalesce(r.add, 0e0) AS region_add
+        FROM field f FULL JOIN (SELECT species, cast(m AS int) AS month, lat_idx, lon_idx, sum(flux) AS add
+          FROM region_long, range(1, 13) AS t(m) GROUP BY 1, 2, 3, 4) r
+        ON f.species = r.species AND f.month = r.month AND f.lat_idx = r.lat_idx AND f.lon_idx = r.lon_idx)"""),
     "observation_window": (["observations"], f"""SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, property, {Q('value', 23)} AS value FROM observations
-        WHERE property IN ('monitor', 'model') AND time >= TIMESTAMP '2024-01-14 00:00:00' AND time <= TIMESTAMP '2024-01-19 00:00:00'"""),
+        WHERE property IN ('view', 'click') AND time >= TIMESTAMP '2024-01-14 00:00:00' AND time <= TIMESTAMP '2024-01-19 00:00:00'"""),
     "model_skill": (["pairs"], _STAT),
     "station_documents": (["stations"], """SELECT code_txt AS code, json_object(
         'description', name,

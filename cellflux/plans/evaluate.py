@@ -24,7 +24,7 @@ def observations_in(
         cond = cond & (F.col("time") >= F.to_timestamp(F.lit(begin)))
     if end is not None:
         cond = cond & (F.col("time") <= F.to_timestamp(F.lit(end)))
-    if offering is not None and "offering" in obs.columns:
+    if offering is not None:  # a table without the column is an error, not "any offering"
         cond = cond & (F.col("offering") == offering)
     return obs.where(cond)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellflux import factors
 from cellflux.functions import numeric
 from cellflux.operators import fields, lookup
-from cellflux.operators.grid import Grid, coarse, upscale
+from cellflux.operators.grid import Grid, upscale
 
 
 def sector_monthly_fields(
@@ -83,9 +83,7 @@ def merge_regional_into_global(
     """Regional totals -> kg/m2/s -> blocks -> nearest global cells -> added to each month.
 
     ``species_map`` says which regional pollutant ("pm10"/"pm25") is added
-    to which field species; species not in it pass through unchanged.  The
-    region has at most ``coarse(geo_grid, block).n_cells`` rows per
-    pollutant - a bound known before running, which decides the broadcast.
+    to which field species; species not in it pass through unchanged.
     """
     blocks = upscale_region(regional_fluxes(totals, compat), geo_grid, block, how)
     placed = region_on_axes(blocks, lat_axis, lon_axis, lat_spec, lon_spec)
@@ -98,5 +96,4 @@ def merge_regional_into_global(
     ).select("lat_idx", "lon_idx", "p.pollutant", "p.flux")
     smap = spark.createDataFrame(list(species_map.items()), "species string, pollutant string")
     region = long.join(F.broadcast(smap), "pollutant").drop("pollutant")
-    n_region = coarse(geo_grid, block).n_cells * max(1, len(species_map))
-    return fields.add_region(field, region, value="emi_pm", add="flux", region_rows=n_region)
+    return fields.with_attrs(fields.with_time_axis(fields.add_region(field, region, value="emi_pm", add="flux")))

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux import factors
+from cellflux.functions import geometry as geo
 from cellflux.functions import numeric, text
 from cellflux.operators import aggregate as agg
 from cellflux.operators import lookup, spatial
 from cellflux.operators.grid import Grid, points_touching_cells, to_grid
+from cellflux.session import written_once
 
 
 def _tpy(col: str, days: float | None) -> F.Column:
@@ -27,7 +29,13 @@ def _tpy(col: str, days: float | None) -> F.Column:
 # ---------------------------------------------------------------------------
 
 def industry_cells(features: DataFrame, grid: Grid) -> DataFrame:
-    """(feature, cell) for every cell a point feature touches (closed cells)."""
+    """(feature, cell) for every cell a feature touches (closed cells): polygons, lines or points."""
+    if "rings" in features.columns:
+        return spatial.polygons_touching_cells(features, grid)
+    if "line" in features.columns:
+        keep = [c for c in features.columns if c != "line"]
+        segs = features.select(*keep, F.explode(spatial.line_segments(F.col("line"))).alias("_cf_s")).select(*keep, "_cf_s.*")
+        return spatial.cells_touched(segs, grid, keep)
     return points_touching_cells(features, grid)
 
 
@@ -41,8 +49,9 @@ def industry_inventory(
     """Industry emission per cell, ``TPY = sum(emission) * days / 1e6``.
 
     ``prorate=None`` (as published): a feature counts fully in every cell
-    it touches.  ``prorate="area"``: polygon features (``rings`` column)
-    are split by the area share falling in each cell.
+    it touches - points (``x``, ``y``), lines (``line``) or polygons
+    (``rings``).  ``prorate="area"``: polygon features are split by the area
+    share falling in each cell.
     """
     if prorate == "area":
         pieces = spatial.polygon_cell_areas(features, grid, ["ind_id"])
@@ -164,10 +173,16 @@ def stop_dictionary(stops: DataFrame, name: str = "stop", order: str = "stop_id"
     return agg.keep_last(keyed, "stop_key", "_cf_ord").drop("_cf_ord")
 
 
-def resolve_stops(route_stops: DataFrame, stops: DataFrame, strict: bool = False) -> DataFrame:
-    """Each route stop with its point; ``resolved`` false when the name is unknown."""
+def route_stops(routes: DataFrame, stops_col: str = "stops", key: Sequence[str] = ("route", "total_sing")) -> DataFrame:
+    """F7 + A10: routes with a list literal of stop names -> (route, total_sing, pos, stop_key), pos from 1."""
+    names = F.posexplode(text.parse_list_literal(F.col(stops_col))).alias("_cf_at", "_cf_name")
+    return routes.select(*key, names).select(*key, (F.col("_cf_at") + 1).cast("int").alias("pos"), text.no_spaces(F.col("_cf_name")).alias("stop_key"))
+
+
+def resolve_stops(stops_of_routes: DataFrame, stops: DataFrame, strict: bool = False) -> DataFrame:
+    """Each route stop with its point; ``resolved`` false when the name is unknown (``strict``: the job fails)."""
     d = stop_dictionary(stops)
-    out = lookup.resolve(route_stops, "stop_key", d, "stop_key", ["x", "y"])
+    out = lookup.resolve(stops_of_routes, "stop_key", d, "stop_key", ["x", "y"])
     if strict:
         out = out.withColumn(
             "resolved",
@@ -178,39 +193,47 @@ def resolve_stops(route_stops: DataFrame, stops: DataFrame, strict: bool = False
     return out
 
 
+def stop_rejects(stops_of_routes: DataFrame, stops: DataFrame) -> DataFrame:
+    """(route, pos, stop_key) of the stops whose name the dictionary lacks."""
+    return resolve_stops(stops_of_routes, stops).where(~F.col("resolved")).select("route", "pos", "stop_key")
+
+
 def route_segments(resolved: DataFrame, key: Sequence[str] = ("route", "total_sing")) -> DataFrame:
-    """A10: consecutive resolved stops of a route as segments (pos -> pos + 1).
+    """A10: a route's resolved stops, in order, as segments.
 
-    Built by pairing each stop with the one numbered ``pos + 1`` in one
-    aggregate (``with_next``), not by collecting a route's stops into one
-    row, so a route with very many stops stays distributed.
+    An unknown stop is left out (``stop_rejects`` lists it) and the line goes
+    from the stop before it to the one after.  A route is one row of the
+    input, so its points are put back together in one row, after one
+    shuffle by route, and its segments are made inside that row.
     """
-    pts = resolved.where(F.col("resolved")).select(*key, "pos", "x", "y")
-    return agg.with_next(pts, "pos", by=list(key), cols=["x", "y"]).where(F.col("next_x").isNotNull()).select(
-        *key, "pos", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("next_x").alias("x1"), F.col("next_y").alias("y1")
-    )
+    at = F.struct(F.col("pos"), F.col("x"), F.col("y"))
+    line = resolved.where(F.col("resolved")).groupBy(*key).agg(F.sort_array(F.collect_list(at)).alias("_cf_line"))
+    seg = spatial.line_segments(F.col("_cf_line"))
+    return line.select(*key, F.posexplode(seg).alias("pos", "_cf_s")).select(*key, (F.col("pos") + 1).alias("pos"), "_cf_s.*")
 
 
-def route_cells(route_stops: DataFrame, stops: DataFrame, grid: Grid) -> DataFrame:
+def route_cells(stops_of_routes: DataFrame, stops: DataFrame, grid: Grid, strict: bool = False) -> DataFrame:
     """Distinct (route, cell) pairs a route line meets."""
-    segs = route_segments(resolve_stops(route_stops, stops))
+    segs = route_segments(resolve_stops(stops_of_routes, stops, strict))
     return spatial.cells_touched(segs, grid, ["route", "total_sing"])
 
 
 def bus_inventory(
     spark: SparkSession,
-    route_stops: DataFrame,
+    stops_of_routes: DataFrame,
     stops: DataFrame,
     grid: Grid,
     factor: float = factors.BUS_FACTOR,
     days: int = factors.BUS_DAYS,
     split: Mapping[str, float] = factors.BUS_SPLIT,
+    strict: bool = False,
 ) -> DataFrame:
     """Sum of route trip counts over the cells each route touches.
 
     ``PM = sum(ts) * factor``, ``PMPY = PM * days``, ``TPY = PMPY * split / 1e6``.
+    With ``strict`` an unknown stop fails the job, as the published script does.
     """
-    rc = route_cells(route_stops, stops, grid)
+    rc = route_cells(stops_of_routes, stops, grid, strict)
     per_cell = agg.sum_by(rc, "gid", {"total_sing": "ts"})
     pm = F.col("ts") * F.lit(factor) * F.lit(float(days))
     per_cell = per_cell.select(
@@ -228,7 +251,8 @@ def bus_inventory(
 def ward_points(points: DataFrame, wards: DataFrame, bucket: Grid, point_key: str = "gid") -> DataFrame:
     """J13 + W1: points strictly inside a ward, with the ward's point count and share."""
     pw = spatial.points_in_polygons(points, wards, bucket, point_key=point_key, poly_key="wrd")
-    return agg.equal_share(pw, "wrd", count_name="grid_count", share_name="wrd_prop")
+    # the pairs are read twice (rows and counts): written once, not joined twice
+    return agg.equal_share(written_once(pw, "ward-points"), "wrd", count_name="grid_count", share_name="wrd_prop")
 
 
 def join_census(
@@ -239,16 +263,19 @@ def join_census(
     hl_town: str = "town_village",
     pca_ward: str = "ward",
     hl_ward: str = "ward",
+    towns: Sequence[int] | None = None,
 ) -> DataFrame:
-    """J2 + P6: population sheet left join house-listing sheet on ward, within one town.
+    """J2 + P6 + U1: population sheet left join house-listing sheet on ward, within one town or several.
 
-    The town filters are on columns and reach the scans; with ``town=None``
-    every town is kept and the join is on (town, ward).
+    The town filters are on columns and reach the scans; with no town every
+    town is kept.  The join is on (town, ward), so the sheets of several
+    towns come out concatenated.
     """
     p, h = pca, hl
-    if town is not None:
-        p = p.where(F.col(pca_town) == town)
-        h = h.where(F.col(hl_town) == town)
+    only = [town] if town is not None else list(towns) if towns is not None else None
+    if only is not None:
+        p = p.where(F.col(pca_town).isin(only))
+        h = h.where(F.col(hl_town).isin(only))
     h = h.withColumnRenamed(hl_ward, "_cf_ward").withColumnRenamed(hl_town, "_cf_town")
     cond = (F.col(pca_ward) == F.col("_cf_ward")) & (F.col(pca_town) == F.col("_cf_town"))
     return p.join(h, cond, "left").drop("_cf_ward", "_cf_town")
@@ -279,12 +306,22 @@ def fuel_use(rate_rural: float, rate_urban: float, fix_size7: bool = False, per_
     return total
 
 
+def urban_points(urban: DataFrame, centres: DataFrame, bucket: Grid, key: str = "urban_id") -> DataFrame:
+    """J13 the other way, and A13: every urban polygon with a cell centre inside takes that cell's id (the last
+    one, if several) and becomes its own centroid: (gid, x, y).
+    """
+    inside = spatial.polygons_of_points(centres, urban, bucket, point_key="gid", poly_key=key)
+    c = geo.polygon_centroid(F.col("rings"))
+    return inside.join(urban.select(key, c["x"].alias("x"), c["y"].alias("y")), key).select(key, "gid", "x", "y")
+
+
 def residential_inventory(
     spark: SparkSession,
     census: DataFrame,
     wards: DataFrame,
     grid: Grid,
     points: DataFrame | None = None,
+    point_key: str = "gid",
     rates: Mapping[str, tuple[float, float]] = factors.FUEL_RATES,
     fuel_factors: Mapping[str, Mapping[str, float]] = factors.FUEL_FACTORS,
     fix_size7: bool = False,
@@ -298,7 +335,10 @@ def residential_inventory(
     cell even when several points share a cell).
     """
     pts = points if points is not None else grid.centroids(spark)
-    wp = ward_points(pts, wards, grid)
+    if point_key != "gid":  # several points may share a cell
+        wp = ward_points(pts, wards, grid, point_key).join(pts.select(point_key, "gid"), point_key)
+    else:
+        wp = ward_points(pts, wards, grid)
     j = wp.join(census, wp["wrd"] == census["tvw"], "inner")
     j = j.withColumn("noh", numeric.round_half_even(F.col("no_of_households") / F.col("grid_count")))
     for k in range(1, 8):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellflux import factors
 from cellflux.functions import numeric, text, timefmt
+from cellflux.operators.aggregate import keep_last
 
 
 def with_reading_parts(readings: DataFrame, time: str = "time") -> DataFrame:
@@ -82,18 +83,14 @@ def reading_store(readings: DataFrame) -> DataFrame:
 def latest_reading(store: DataFrame, by: Sequence[str] = ("station_id",), order: str = "sno") -> DataFrame:
     """Newest stored reading (by serial) per station, with its fields 1 and 2.
 
-    ``max_by`` is a partial aggregate: each partition keeps only its newest
-    row per station before the shuffle.  With ``by=()`` it is the single
-    newest row (``ORDER BY sno DESC LIMIT 1`` as a top-1 aggregate).
+    Each partition keeps only its newest serial per station before the
+    shuffle; the row is then fetched by (station, serial).  With ``by=()`` it
+    is the single newest row (``ORDER BY sno DESC LIMIT 1``).
     """
     keys = list(by)
-    g = store.groupBy(*keys) if keys else store.groupBy()
-    newest = g.agg(F.max_by(F.struct(order, "text"), F.col(order)).alias("_cf_new"))
-    line = text.clean_line(F.col("_cf_new.text"))
-    return newest.select(
-        *keys,
-        F.col(f"_cf_new.{order}").alias(order),
-        F.col("_cf_new.text").alias("text"),
-        text.field(line, 1).alias("field1"),
-        text.field(line, 2).alias("field2"),
-    )
+    if keys:
+        newest = keep_last(store.select(*keys, order, "text"), keys, order)
+    else:
+        newest = store.select(order, "text").orderBy(F.col(order).desc()).limit(1)
+    line = text.clean_line(F.col("text"))
+    return newest.select(*keys, order, "text", text.field(line, 1).alias("field1"), text.field(line, 2).alias("field2"))

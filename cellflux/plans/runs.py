@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellflux import factors
 from cellflux.functions import timefmt
-from cellflux.operators import aggregate as agg
 from cellflux.operators.lookup import missing
 
 
@@ -46,23 +45,23 @@ def missing_inputs(inventory: DataFrame, bounds: DataFrame, source: str = "gfs",
 def run_report(lines: DataFrame) -> DataFrame:
     """Per run and stage, time spent until the next line; run total and status.
 
-    Lines are numbered per run with the skew-safe ``serial`` and paired with
-    their successor by an equi join (no per-run window).  Status: the last
-    line of the run contains the success text.
+    One window per run (a run's log is one file, which fits a task) gives
+    each line its successor's time and the run's last line; everything else
+    is summed from it on the same partitioning.  Status: the last line of the
+    run contains the success text.
     """
-    l2 = lines.withColumn("_cf_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    numbered = agg.serial(l2, order=["_cf_us", "line_no"], by="run_id", name="_cf_sn")
-    paired = agg.with_next(numbered, "_cf_sn", by="run_id", cols=["_cf_us"])
-    gap = F.coalesce(F.col("next__cf_us") - F.col("_cf_us"), F.lit(0))
-    per_stage = paired.groupBy("run_id", "stage").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(gap).alias("_cf_gap")
+    l2 = lines.select("run_id", "stage", "line_no", F.unix_micros(F.col("ts").cast("timestamp")).alias("_cf_us"))
+    w = Window.partitionBy("run_id").orderBy("_cf_us", "line_no")
+    after = F.lead("_cf_us").over(w)
+    l2 = l2.withColumn("_cf_next", after)
+    per_stage = l2.groupBy("run_id", "stage").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.coalesce(F.col("_cf_next") - F.col("_cf_us"), F.lit(0))).alias("_cf_gap"),
+        F.min("_cf_us").alias("_cf_t0"), F.max("_cf_us").alias("_cf_t1"), F.max(F.when(F.col("_cf_next").isNull(), F.col("stage"))).alias("_cf_last"),
     )
-    per_run = lines.groupBy("run_id").agg(
-        F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("_cf_t0"),
-        F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("_cf_t1"),
-        F.max_by(F.col("stage"), F.struct(F.unix_micros(F.col("ts").cast("timestamp")), F.col("line_no"))).alias("last_stage"),
-    )
-    out = per_stage.join(per_run, "run_id")
+    # a run has few stages
+    run = Window.partitionBy("run_id")
+    out = per_stage.withColumns({
+        "_cf_t0": F.min("_cf_t0").over(run), "_cf_t1": F.max("_cf_t1").over(run), "last_stage": F.max("_cf_last").over(run)})
     return out.select(
         "run_id", "stage", "n_lines",
         (F.col("_cf_gap") / F.lit(1e6)).alias("stage_seconds"),

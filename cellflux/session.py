@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job needs for correct results (UTC, ANSI-safe operators are
 # used throughout) and for scale (AQE re-plans joins, splits skewed
@@ -52,26 +52,36 @@ def apply_job_defaults(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, choosing a local one only if unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # pragma: no cover - sessions without a SparkContext
-        sc = None
-    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if sc and not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="cellflux-ckpt-")
-    if sc:
-        sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    """The shared checkpoint folder of the session.
+
+    On a local master without one, a temporary folder is chosen.  On a
+    cluster a machine's own folder would be lost to the other executors, so
+    a session without ``spark.checkpoint.dir`` is refused.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="cellflux-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir (stream sinks, state)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    # The checkpoint dir of a SparkContext gets a uuid sub folder; place
-    # our own outputs beside it so they are on the same shared storage.
-    return f"{base}/cellflux-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint dir (stream sinks, state, tables read twice)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/cellflux-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once however often it is used."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path, on the driver."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p

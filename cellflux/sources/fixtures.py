@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from cellflux.functions import geometry as geo
 from cellflux.functions import timefmt
-from cellflux.operators.aggregate import serial
 from cellflux.operators.grid import Grid
 
 # The 1 km inventory grid in its own units (cells are unit squares) and the
@@ -22,30 +21,14 @@ from cellflux.operators.grid import Grid
 INVENTORY_GRID = Grid(nx=60, ny=50, x0=0.0, y0=0.0, dx=1.0, dy=1.0)
 GEO_GRID = Grid(nx=60, ny=50, x0=76.0, y0=10.0, dx=0.01, dy=0.01)
 # global field axes of the fixture (18 x 36 cells stand in for 1800 x 3600)
+EMISSION_SCALE = float(2 ** 40)
 LAT_AXIS = {"origin": 10.05, "step": 0.1, "n": 18}
 LON_AXIS = {"origin": 76.05, "step": 0.1, "n": 36}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.
-
-    ``spread=True`` is for tables whose rows go straight into expansive
-    per-row work (segment walks, polygon clips) with no shuffle in between:
-    a Parquet file with one row group is read by one task however large that
-    work is, so a plain scan with fewer partitions than the default
-    parallelism is spread round-robin first (checking the count plans the
-    scan; it runs no job).  On a real cluster the scan already has thousands
-    of splits and this is a no-op.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < target:
-                df = df.repartition(target)
-        except Exception:  # pragma: no cover - sessions without an RDD view
-            pass
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table (one file, or a folder of part files)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +45,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily mean humidity; days 28-31 are absent on purpose."""
+    """Daily mean humidity; days 28-31 are absent on purpose, and days 2, 5, 8 lie between two bands."""
     e = table(spark, sf_dir, "events")
     return (
         e.where(F.dayofmonth("ts") <= 27)
         .select(
             F.col("ts").cast("date").alias("date"),
-            ((F.dayofmonth("ts") * 37) % 101).cast("int").alias("hum"),
+            ((F.dayofmonth("ts") * 37) % 101 + F.when(F.dayofmonth("ts") % 3 == 2, 0.5).otherwise(0.0)).alias("hum"),
         )
         .distinct()
     )
@@ -80,7 +63,7 @@ def grid(spark: SparkSession) -> DataFrame:
 
 def industry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Industry points with daily PM10/PM2.5 emission."""
-    p = table(spark, sf_dir, "part", spread=True)
+    p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").alias("ind_id"),
         ((F.col("p_partkey") * 7919) % 60000 / F.lit(1000.0)).alias("x"),
@@ -108,7 +91,7 @@ def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     Geometry depends only on (order, part, supplier), so repeated line items
     are repeated identical segments (no synthetic row number needed).
     """
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem")
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     x0 = (ok * 7919) % 57000 / F.lit(1000.0)
     y0 = (pk * 104729) % 47000 / F.lit(1000.0)
@@ -146,7 +129,7 @@ def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("_n"))
     k = F.col("c_nationkey")
     return g.select(
-        k.alias("tvw"),
+        F.when(k % 8 == 7, k + 1000).otherwise(k).alias("tvw"),  # some wards have no census
         F.when(k % 2 == 0, "Rural").otherwise("Urban").alias("tru"),
         (F.col("_n") * 37).cast("bigint").alias("no_of_households"),
         (F.lit(5.0) + k % 3).alias("s1"),
@@ -168,7 +151,8 @@ def sector_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.month("l_shipdate").cast("int").alias("month"),
         (F.col("l_suppkey") % 18).cast("int").alias("lat_idx"),
         (F.col("l_partkey") % 36).cast("int").alias("lon_idx"),
-        F.col("l_extendedprice").alias("emi"),
+        # kg/m2/s are small numbers; a power of two keeps the price's digits
+        (F.col("l_extendedprice") / F.lit(EMISSION_SCALE)).alias("emi"),
     )
 
 
@@ -189,45 +173,106 @@ def lon_axis(spark: SparkSession) -> DataFrame:
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bus stops: a name with a space, and a point."""
+    """Bus stops: a name with a space, and a point; every 97th name is listed again later, at another point."""
     p = table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").alias("stop_id"),
-        F.concat(F.lit("stop "), F.col("p_partkey").cast("string")).alias("stop"),
-        ((F.col("p_partkey") * 7919) % 60000 / F.lit(1000.0)).alias("x"),
-        ((F.col("p_partkey") * 104729) % 50000 / F.lit(1000.0)).alias("y"),
-    )
+    k = F.col("p_partkey")
+
+    def points(df, shift, fx, fy):
+        return df.select(
+            (k + shift).alias("stop_id"),
+            F.concat(F.lit("stop "), k.cast("string")).alias("stop"),
+            (k * fx % 60000 / F.lit(1000.0)).alias("x"),
+            (k * fy % 50000 / F.lit(1000.0)).alias("y"),
+        )
 
+    return points(p, 0, 7919, 104729).unionAll(points(p.where(k % 97 == 0), 10_000_000, 6007, 7001))
 
-def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bus routes exploded to (route, total_sing, pos, stop_key); one route per order.
 
-    ``pos`` numbers a route's stops in line-item order with the
-    skew-safe ``serial`` (a route with many stops is not one task).
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bus routes as published: (route, total_sing, stops), the stops a list literal of names.
+
+    One route per order, its stops in line-item order; every 50th route names
+    a stop that does not exist, after its first one.
     """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
     j = o.join(li, o["o_orderkey"] == li["l_orderkey"])
-    j = j.select(
-        F.col("o_orderkey").alias("route"),
-        (F.col("o_custkey") % 20).alias("total_sing"),
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        F.concat(F.lit("stop"), F.col("l_partkey").cast("string")).alias("stop_key"),
-    )
-    numbered = serial(
-        j, order=["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], by="route", name="pos"
-    )
-    return numbered.select("route", "total_sing", F.col("pos").cast("int").alias("pos"), "stop_key")
+    one = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    g = j.groupBy(F.col("o_orderkey").alias("route"), (F.col("o_custkey") % 20).alias("total_sing")).agg(F.sort_array(F.collect_list(one)).alias("_l"))
+    names = F.transform("_l", lambda s: F.concat(F.lit("'stop "), s["l_partkey"].cast("string"), F.lit("'")))
+    names = F.when(F.col("route") % 50 == 0, F.concat(F.slice(names, 1, 1), F.array(F.lit("'no such stop'")), F.slice(names, F.lit(2), F.size(names)))).otherwise(names)
+    return g.select("route", "total_sing", F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")).alias("stops"))
+
+
+def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routes' stops: (route, total_sing, pos, stop_key)."""
+    from cellflux.plans.inventory import route_stops as explode
+
+    return explode(routes(spark, sf_dir))
+
+
+def diamond(x: F.Column, y: F.Column, a: F.Column, b: F.Column) -> F.Column:
+    """A ring with corners a to the left and right of (x, y) and b below and above it."""
+    def pt(u, v):
+        return F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
+
+    return F.array(pt(x - a, y), pt(x, y - b), pt(x + a, y), pt(x, y + b))
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Industry sites as diamonds (half diagonals size/25 and size/40 cells) with a rectangular hole right of the centre."""
+    ind = industry(spark, sf_dir)
+    x, y, s = F.col("x"), F.col("y"), F.col("size")
+    hole = F.get(geo.rect_ring(x, y - s / 200.0, x + s / 100.0, y + s / 200.0), 0)
+    rings = F.array(diamond(x, y, s / 25.0, s / 40.0), hole)
+    return ind.select("ind_id", "pm10_emiss", "pm25_emiss", "x", "y", "size", rings.alias("rings"))
+
+
+def urban_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urban polygons: diamonds around points spread by supplier (half diagonals 1.5 and 1 cells, and a seventh more)."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    x, y = k * 7919 % 60000 / F.lit(1000.0), k * 104729 % 50000 / F.lit(1000.0)
+    a = F.lit(1.5) + (k % 7) / F.lit(7.0)
+    return s.select(k.alias("urban_id"), x.alias("ux"), y.alias("uy"), a.alias("ua"), F.array(diamond(x, y, a, F.lit(1.0))).alias("rings"))
+
+
+def road_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roads as a polyline layer: (road_id, lines), a line of three points for each order."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+
+    def pt(u, v):
+        return F.struct(u.cast("double").alias("x"), v.cast("double").alias("y"))
+
+    x, y = k * 7919 % 57000 / F.lit(1000.0), c * 104729 % 47000 / F.lit(1000.0)
+    line = F.array(pt(x, y), pt(x + (c % 30) / F.lit(10.0), y + (k % 20) / F.lit(10.0)), pt(x + (c % 30) / F.lit(10.0), y + F.lit(2.5)))
+    return o.select(k.alias("road_id"), F.array(line).alias("lines"))
+
+
+def census_sheets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A population sheet (town, ward, tru, households) and a house-listing sheet (town, ward, s1 ... s7), by nation.
+
+    The town is 8 * (nation mod 3); the ward is the nation.  Nations of 3 mod 4 have no house listing.
+    """
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_nationkey")
+    town = (k % 3 * 8).cast("int").alias("town_village")
+    pca = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("_n")).select(
+        town, k.alias("ward"), F.when(k % 2 == 0, "Rural").otherwise("Urban").alias("tru"), (F.col("_n") * 37).cast("bigint").alias("no_of_households"))
+    hl = c.select("c_nationkey").distinct().where(k % 4 != 3).select(
+        town, k.alias("ward"), (F.lit(5.0) + k % 3).alias("s1"), F.lit(10.0).alias("s2"), F.lit(15.0).alias("s3"), F.lit(25.0).alias("s4"),
+        (F.lit(20.0) - k % 3).alias("s5"), F.lit(15.0).alias("s6"), F.lit(10.0).alias("s7"))
+    return pca, hl
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly series by property ('monitor', 'model')."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
+    """Hourly series by property: every event type is one ('view' the monitor, 'click' the model)."""
+    e = table(spark, sf_dir, "events")
     return e.groupBy(
-        F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("time"),
-        F.when(F.col("event_type") == "view", "monitor").otherwise("model").alias("property"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp").alias("time"), F.col("event_type").alias("property"),
     ).agg(F.avg("value").alias("value"))
 
 
@@ -244,17 +289,19 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def input_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inventory of initialisation files present (one per 3-hourly error event hour)."""
-    e = table(spark, sf_dir, "events").where((F.col("event_type") == "error") & (F.hour("ts") % 3 == 0))
+    """Inventory of initialisation files present: one per event hour, of the first source for error events, else the second."""
+    e = table(spark, sf_dir, "events")
+    name = F.when(F.col("event_type") == "error", F.lit("gfsanl_3_")).otherwise(F.lit("namanl_218_"))
     return e.select(
-        F.concat(F.lit("gfsanl_3_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
-                 F.date_format("ts", "HH"), F.lit("00_000.grb")).alias("path")
+        F.concat(name, F.date_format("ts", "yyyyMMdd"), F.lit("_"), F.date_format("ts", "HH"), F.lit("00_000.grb")).alias("path")
     ).distinct()
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run logs: one run per user, a line per event; every seventh line reports success."""
     e = table(spark, sf_dir, "events")
+    done = F.when(F.col("event_id") % 7 == 0, F.lit("wrf: Successful completion"))
     return e.select(
         F.col("user_id").alias("run_id"), F.col("event_id").alias("line_no"),
-        F.col("event_type").alias("stage"), "ts",
+        F.coalesce(done, F.col("event_type")).alias("stage"), "ts",
     )

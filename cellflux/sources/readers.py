@@ -1,4 +1,4 @@
-"""Sources (SC1-SC9).  Schemas are always explicit - never inferred."""
+"""Sources (SC1-SC9).  Text sources take their schema from the caller; Parquet and the JSON template carry their own."""
 
 from __future__ import annotations
 
@@ -85,7 +85,7 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_line_numbers(lines: DataFrame, start: int = 0) -> DataFrame:
-    """Dense line numbers per file (windowed for ordinary files, spread for huge ones)."""
+    """Dense line numbers per file (one window per file)."""
     from cellflux.operators.aggregate import serial
 
     flat = lines.select("*", F.col("line_order.block").alias("_cf_b"), F.col("line_order.pos").alias("_cf_p"))
@@ -93,9 +93,11 @@ def with_line_numbers(lines: DataFrame, start: int = 0) -> DataFrame:
 
 
 def read_sensor_stream(spark: SparkSession, path: str, fmt: str = "text", schema: T.StructType | None = None,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """SC9: sensor lines (or parquet readings) arriving as files in a folder."""
+                       max_files_per_trigger: int | None = None, only: str | None = None) -> DataFrame:
+    """SC9: sensor lines (or parquet readings) arriving as files in a folder (``only``: files of this name)."""
     r = spark.readStream
+    if only:
+        r = r.option("pathGlobFilter", only)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":

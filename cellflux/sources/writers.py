@@ -24,18 +24,19 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_field(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SK3: a gridded field with attributes, partitioned by species and month.
 
-    ``repartition`` on the partition columns first so each task writes
-    whole (species, month) folders instead of every task a file in each.
+    A rebalance on the partition columns keeps a task from writing a file in
+    each folder; unlike a repartition, Spark splits a large (species, month)
+    over several tasks.
     """
     out = with_attrs(df)
     parts = [c for c in ("species", "month") if c in out.columns]
-    out.repartition(*parts).write.mode(mode).partitionBy(*parts).parquet(path)
+    out.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def write_by_species(files: DataFrame, path: str, pattern: str = r"_([A-Za-z0-9.]+)_emi_", mode: str = "overwrite") -> None:
     """SK4: split an inventory by the species named in each file name."""
     out = files.withColumn("species", F.regexp_extract(F.col("path"), pattern, 1))
-    out.repartition("species").write.mode(mode).partitionBy("species").parquet(path)
+    out.hint("rebalance", "species").write.mode(mode).partitionBy("species").parquet(path)
 
 
 def station_json_lines(docs: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,14 +9,14 @@ against the static weather table, and a windowed mean feeds evaluation.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellflux.plans import mass
-from cellflux.session import scratch_path
+from cellflux.session import file_system, scratch_path, written_once
+from cellflux.sources.readers import read_sensor_stream
 
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """``"YYYY-MM-DDTHH:MM,pm05,pm25"`` lines -> (time, ts, pm05, pm25).
@@ -51,14 +51,14 @@ def readings_from_events(events: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The events table as a file stream (schema taken from the table, not inferred per file)."""
-    folder = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    # a file source watches a folder; the glob keeps it to the events files
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(folder)
+    """The events table (one file, or a folder of part files) as a file stream with the table's schema."""
+    folder, name = sf_dir.rstrip("/"), "events.parquet"
+    schema = spark.read.parquet(f"{folder}/{name}").schema
+    fs, path = file_system(spark, f"{folder}/{name}")
+    if fs.getFileStatus(path).isDirectory():
+        return read_sensor_stream(spark, f"{folder}/{name}", "parquet", schema, max_files_per_trigger)
+    # a file source watches a folder: the one of this file, and no other file in it
+    return read_sensor_stream(spark, folder, "parquet", schema, max_files_per_trigger, only=name)
 
 
 def mass_stream(readings: DataFrame, weather: DataFrame) -> DataFrame:
@@ -73,12 +73,29 @@ def append_readings(stream: DataFrame, path: str, checkpoint: str, available_now
     return w.start(path)
 
 
+DONE = "_DONE"  # marks a whole version; readers of a folder skip names with _
+
+
+def versions(spark: SparkSession, target: str) -> dict[int, str]:
+    """The whole versions of a table kept by ``publish_latest``: epoch -> path.
+
+    Only a missing folder means "none yet"; any other failure is an error.
+    """
+    fs, root = file_system(spark, target)
+    if not fs.exists(root):
+        return {}
+    out = {}
+    for st in fs.listStatus(root):
+        p = st.getPath()
+        if p.getName().startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, DONE)):
+            out[int(p.getName()[1:])] = p.toString()
+    return out
+
+
 def latest_version(spark: SparkSession, target: str) -> str | None:
-    """Path of the current version of a table kept by ``publish_latest``."""
-    try:
-        return spark.read.text(f"{target}/_latest").first()[0]
-    except Exception:
-        return None
+    """Path of the newest whole version."""
+    have = versions(spark, target)
+    return have[max(have)] if have else None
 
 
 def _merge_latest(spark: SparkSession, target: str, by: Sequence[str]):
@@ -86,17 +103,18 @@ def _merge_latest(spark: SparkSession, target: str, by: Sequence[str]):
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         newest = mass.latest_reading(mass.reading_store(batch), by=keys)
-        prev = latest_version(spark, target)
-        both = newest if prev is None else spark.read.parquet(prev).unionByName(newest)
-        payload = [c for c in both.columns if c not in keys]
-        merged = both.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col("sno")).alias("r"))
-        # a new version folder per attempt, then the pointer moves: readers
-        # never see a half-written table, and a replayed epoch (after a lost
-        # executor or driver) merges the same batch again - idempotent under
-        # max_by - without reading and overwriting one folder
-        version = f"{target}/v{epoch_id:012d}-{uuid.uuid4().hex[:8]}"
-        merged.select(*keys, "r.*").write.mode("overwrite").parquet(version)
-        spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/_latest")
+        have = versions(spark, target)
+        before = [e for e in have if e < epoch_id]
+        both = newest if not before else spark.read.parquet(have[max(before)]).unionByName(newest)
+        # One folder per epoch, marked when it is whole.  A replayed epoch
+        # (after a lost executor or driver) merges the same batch with the same
+        # earlier version again, so nothing is lost and nothing counts twice.
+        version = f"{target}/v{epoch_id:012d}"
+        mass.latest_reading(both.select(*keys, "sno", "text"), by=keys).write.mode("overwrite").parquet(version)
+        fs, done = file_system(spark, f"{version}/{DONE}")
+        fs.create(done, True).close()
+        for e in sorted(before)[:-1]:  # the one before stays for readers that are still on it
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(have[e]), True)
 
     return merge
 
@@ -104,8 +122,8 @@ def _merge_latest(spark: SparkSession, target: str, by: Sequence[str]):
 def publish_latest(stream: DataFrame, target: str, checkpoint: str, by: Sequence[str] = ("station_id",)):
     """S3/SK7: keep a table with the newest reading per station.
 
-    Each micro-batch is reduced to its newest row per station (partial
-    ``max_by``) and merged with the table; the table has one row per
+    Each micro-batch is reduced to its newest row per station and merged
+    with the newest whole version before its epoch; the table has one row per
     station, so the merge never grows with the stream.
     """
     spark = stream.sparkSession
@@ -135,31 +153,39 @@ def windowed_mass(masses: DataFrame, window: str = "1 hour", watermark: str = "2
 
 # -- run-to-completion helpers used by the query catalog ----------------------
 
+def _run(stream: DataFrame, name: str) -> DataFrame:
+    """Append a stream to a table until its input is used up; the table (empty, with its schema, without input)."""
+    spark = stream.sparkSession
+    out = scratch_path(spark, name)
+    append_readings(stream, out, out + "-ckpt").awaitTermination()
+    fs, path = file_system(spark, out)
+    return spark.read.schema(stream.schema).parquet(out) if fs.exists(path) else spark.createDataFrame([], stream.schema)
+
+
 def run_mass_stream(spark: SparkSession, sf_dir: str, weather: DataFrame, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S1+S4+S2 over the events table to completion; return the appended table."""
-    out = scratch_path(spark, "mass")
     src = event_stream(spark, sf_dir, max_files_per_trigger)
-    q = append_readings(mass_stream(readings_from_events(src), weather), out, out + "-ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return _run(mass_stream(readings_from_events(src), written_once(weather, "weather")), "mass")
 
 
 def run_latest_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S3 over the events table to completion; return the newest-per-station table."""
     out = scratch_path(spark, "latest")
-    q = publish_latest(readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger)), out, out + "-ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(latest_version(spark, out))
+    stream = readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger))
+    publish_latest(stream, out, out + "-ckpt").awaitTermination()
+    version = latest_version(spark, out)
+    empty = mass.latest_reading(mass.reading_store(spark.createDataFrame([], stream.schema)))
+    return empty if version is None else spark.read.parquet(version)
 
 
 def run_hourly_stream(spark: SparkSession, sf_dir: str, weather: DataFrame,
                       window: str = "1 hour", watermark: str = "2 hours",
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Run S5 to completion in append mode: only windows closed by the watermark are emitted."""
-    out = scratch_path(spark, "hourly")
-    masses = mass_stream(readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger)), weather)
-    q = append_readings(windowed_mass(masses, window, watermark), out, out + "-ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    masses = mass_stream(readings_from_events(event_stream(spark, sf_dir, max_files_per_trigger)), written_once(weather, "weather"))
+    return _run(windowed_mass(masses, window, watermark), "hourly")
 
 
+def run_line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run S1 over a folder of text lines to completion; return the parsed readings."""
+    return _run(parse_lines(read_sensor_stream(spark, folder, max_files_per_trigger=max_files_per_trigger)), "lines")

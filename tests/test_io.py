@@ -94,17 +94,3 @@ def test_union_parts_and_stack(spark):
     assert [r.part for r in spatial.explode_parts(layer).collect()] == [0, 1]
     m = fields.stack_months({1: spark.createDataFrame([(1.0,)], "v double"), 2: spark.createDataFrame([(2.0,)], "v double")})
     assert sorted((r.month, r.v) for r in m.collect()) == [(1, 1.0), (2, 2.0)]
-
-
-def test_spread_only_when_the_scan_has_too_few_splits(spark, tmp_path):
-    from cellflux.sources import fixtures as fx
-
-    spark.range(0, 1000).coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
-    spark.range(0, 1000).repartition(12).write.parquet(str(tmp_path / "many.parquet"))
-    target = spark.sparkContext.defaultParallelism
-    for name in ("one", "many"):
-        plain = spark.read.parquet(str(tmp_path / f"{name}.parquet")).rdd.getNumPartitions()
-        spread = fx.table(spark, str(tmp_path), name, spread=True)
-        assert spread.rdd.getNumPartitions() == (target if plain < target else plain)
-        assert spread.count() == 1000
-    assert spark.read.parquet(str(tmp_path / "one.parquet")).rdd.getNumPartitions() == 1

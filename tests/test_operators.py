@@ -8,19 +8,18 @@ from cellflux.operators import fields, lookup
 from cellflux.operators.grid import Grid, to_grid, upscale
 
 
-def test_serial_window_and_hot_groups(spark):
+def test_serial_and_range_serial_agree(spark):
     rows = [(g, k) for g in ("a", "b") for k in range(50)] + [("c", k) for k in range(5)]
     df = spark.createDataFrame(rows, "g string, k int")
-    for limit in (10_000, 20):  # window path, then "a"/"b" as hot groups
-        out = agg.serial(df, order="k", by="g", name="sn", max_group_rows=limit, num_partitions=4)
+    for out in (agg.serial(df, order="k", by="g", name="sn"), agg.range_serial(df, ["k"], ["g"], name="sn", num_partitions=4)):
         got = {(r.g, r.k): r.sn for r in out.collect()}
         assert len(got) == len(rows)
         assert all(got[(g, k)] == k + 1 for g, k in rows)
 
 
-def test_serial_global(spark):
+def test_range_serial_of_a_whole_table(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    out = agg.serial(df, order="k", name="sn", num_partitions=5)
+    out = agg.range_serial(df, ["k"], name="sn", num_partitions=5)
     assert sorted((r.k, r.sn) for r in out.collect()) == [(k, k + 1) for k in range(1000)]
 
 
@@ -88,13 +87,27 @@ def test_add_region_to_every_month(spark):
         "species string, month int, lat_idx int, lon_idx int, emi_pm double",
     )
     region = spark.createDataFrame([(0, 0, "A", 0.25), (0, 0, "A", 0.25)], "lat_idx int, lon_idx int, species string, flux double")
-    out = fields.add_region(field, region, region_rows=2)
+    out = fields.add_region(field, region)
     before = field.agg(F.sum("emi_pm")).first()[0]
     after = out.agg(F.sum("emi_pm")).first()[0]
     assert abs(after - (before + 12 * 0.5)) < 1e-12
     assert out.count() == field.count()
 
 
+def test_add_region_where_the_field_has_no_row(spark):
+    field = spark.createDataFrame([("A", 2, 0, 0, 1.0), ("B", 3, 5, 5, 4.0)], "species string, month int, lat_idx int, lon_idx int, emi_pm double")
+    region = spark.createDataFrame([(0, 0, "A", 0.25), (7, 7, "A", 0.5)], "lat_idx int, lon_idx int, species string, flux double")
+    got = {(r.species, r.month, r.lat_idx): (r.emi_pm, r.region_add) for r in fields.add_region(field, region).collect()}
+    assert len(got) == 12 + 12 + 1
+    assert got["A", 2, 0] == (1.25, 0.25) and got["A", 1, 0] == (0.25, 0.25) and got["A", 12, 7] == (0.5, 0.5) and got["B", 3, 5] == (4.0, 0.0)
+    assert abs(sum(v[0] for v in got.values()) - (5.0 + 12 * 0.75)) < 1e-12
+
+
+def test_keep_last_fetches_text_by_key_and_order(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 9, "b"), (None, 3, "c"), (None, 4, None)], "gid int, ord int, v string")
+    assert {r.gid: (r.ord, r.v) for r in agg.keep_last(df, "gid", "ord").collect()} == {1: (9, "b"), None: (4, None)}
+
+
 def test_sector_total_and_time_axis(spark):
     f = spark.createDataFrame([("A", 1, 2, 0, 0, 1.0), ("A", 2, 2, 0, 0, 2.0), ("A", 5, 2, 0, 0, 4.0)],
                               "species string, sector int, month int, lat_idx int, lon_idx int, emi double")

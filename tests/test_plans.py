@@ -69,6 +69,20 @@ def test_unknown_stop_is_flagged_and_strict_fails(spark):
     assert cells == {1, 3, 5}  # cells (0,0), (1,0), (2,0)
     bus = {r.gid: r.ts for r in inventory.bus_inventory(spark, rs, stops, Grid(nx=4, ny=2)).collect()}
     assert bus[1] == 3 and bus[2] == 0 and len(bus) == 8
+    with pytest.raises(Exception):
+        inventory.bus_inventory(spark, rs, stops, Grid(nx=4, ny=2), strict=True).collect()
+
+
+def test_unknown_stop_between_known_ones_keeps_the_line(spark):
+    stops = spark.createDataFrame([(1, "stop 1", 0.5, 0.5), (2, "stop 2", 2.5, 0.5), (3, "stop 2", 3.5, 0.5)], "stop_id long, stop string, x double, y double")
+    routes = spark.createDataFrame([(9, 3, "['stop 1', 'nowhere', 'stop 2']"), (8, 1, "[]"), (7, 1, None)], "route long, total_sing long, stops string")
+    rs = inventory.route_stops(routes)
+    assert [(r.pos, r.stop_key) for r in rs.orderBy("pos").collect()] == [(1, "stop1"), (2, "nowhere"), (3, "stop2")]
+    assert [tuple(r) for r in inventory.stop_rejects(rs, stops).collect()] == [(9, 2, "nowhere")]
+    seg = inventory.route_segments(inventory.resolve_stops(rs, stops)).collect()
+    assert [(r.x0, r.x1) for r in seg] == [(0.5, 3.5)]  # the later of the two points named "stop 2"
+    bus = {r.gid: r.ts for r in inventory.bus_inventory(spark, rs, stops, Grid(nx=4, ny=2)).collect()}
+    assert [bus[g] for g in (1, 3, 5, 7)] == [3, 3, 3, 3]
 
 
 def test_station_documents_json(spark):

@@ -52,9 +52,10 @@ def test_streams_over_several_micro_batches(spark, tmp_path):
     events = pq.read_table(f"{SF_SMALL}/events.parquet").to_pandas().sort_values("ts")
     cuts = [0, len(events) // 3, 2 * len(events) // 3, len(events)]
     chunks = [events.iloc[a:b] for a, b in zip(cuts, cuts[1:])]
-    names = ["events.parquet", "events_1.parquet", "events_2.parquet"]
-    for name, chunk in zip(names, chunks):
-        chunk.to_parquet(tmp_path / name, index=False)
+    (tmp_path / "events.parquet").mkdir()  # a table stored as a folder of part files
+    for k, chunk in enumerate(chunks):
+        chunk.to_parquet(tmp_path / "events.parquet" / f"part-{k}.parquet", index=False)
+    chunks[0].to_parquet(tmp_path / "events_other.parquet", index=False)  # another table
     folder = str(tmp_path)
     weather = fx.weather(spark, SF_SMALL)
 
@@ -70,3 +71,53 @@ def test_streams_over_several_micro_batches(spark, tmp_path):
     hourly = sensor.run_hourly_stream(spark, folder, weather, max_files_per_trigger=1)
     assert hourly.count() > 0
     assert hourly.agg(F.sum("n")).first()[0] <= batch.count()
+
+
+def test_no_input_gives_an_empty_table(spark, tmp_path):
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").where("false").write.parquet(str(tmp_path / "events.parquet"))
+    weather = fx.weather(spark, SF_SMALL)
+    for got in (sensor.run_mass_stream(spark, str(tmp_path), weather), sensor.run_latest_stream(spark, str(tmp_path)), sensor.run_hourly_stream(spark, str(tmp_path), weather)):
+        assert got.count() == 0 and "station_id" in got.columns
+
+
+def test_latest_survives_a_lost_version_and_replays(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "latest")
+    rows = lambda *r: spark.createDataFrame([(s, k, f"t{s}", 1, 2) for s, k in r], "sno long, station_id long, time string, pm05 long, pm25 long")
+    merge = sensor._merge_latest(spark, target, ["station_id"])
+    merge(rows((1, 10), (2, 11)), 0)
+    # epoch 1 writes its folder and dies before the mark: readers stay on epoch 0
+    real = sensor.file_system
+    monkeypatch.setattr(sensor, "file_system", lambda sp, p: (_ for _ in ()).throw(IOError("lost")) if p.endswith(sensor.DONE) else real(sp, p))
+    try:
+        merge(rows((3, 10)), 1)
+        raise AssertionError("the failure must show")
+    except IOError:
+        pass
+    monkeypatch.setattr(sensor, "file_system", real)
+    read = lambda: sorted((r.station_id, r.sno) for r in spark.read.parquet(sensor.latest_version(spark, target)).collect())
+    assert read() == [(10, 1), (11, 2)]
+    for _ in range(2):  # the replay, and one more
+        merge(rows((3, 10)), 1)
+        assert read() == [(10, 3), (11, 2)]
+    merge(rows((4, 12)), 2)
+    assert read() == [(10, 3), (11, 2), (12, 4)]
+    assert sorted(sensor.versions(spark, target)) == [1, 2]  # older ones are gone
+
+
+def test_read_errors_are_not_taken_for_a_new_table(spark, tmp_path, monkeypatch):
+    def broken(sp, p):
+        raise IOError("store is away")
+
+    monkeypatch.setattr(sensor, "file_system", broken)
+    try:
+        sensor.latest_version(spark, str(tmp_path))
+        raise AssertionError("must raise")
+    except IOError:
+        pass
+
+
+def test_text_lines_as_a_stream(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"f{k}.txt").write_text(f"2014-06-05T10:0{k},12{k},8\n\nbroken line\n")
+    got = sensor.run_line_stream(spark, str(tmp_path), max_files_per_trigger=1)
+    assert sorted((r.time, r.pm05, r.pm25) for r in got.collect()) == [(f"2014-06-05T10:0{k}", 120 + k, 8) for k in range(3)]
