@@ -391,4 +391,6 @@ def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _wrap(v) for k, v in QUERIES.items()}
+    from cellflux import catalog_extra
+
+    return {k: _wrap(v) for k, v in {**QUERIES, **catalog_extra.QUERIES}.items()}

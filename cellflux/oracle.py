@@ -414,4 +414,6 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(uses, final) for name, (uses, final) in QUERIES_SQL.items()}
+    from cellflux import catalog_extra
+
+    return {name: with_ctes(uses, final) for name, (uses, final) in QUERIES_SQL.items()} | catalog_extra.SQL

@@ -56,12 +56,12 @@ def run_report(lines: DataFrame) -> DataFrame:
     l2 = l2.withColumn("_cf_next", after)
     per_stage = l2.groupBy("run_id", "stage").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.coalesce(F.col("_cf_next") - F.col("_cf_us"), F.lit(0))).alias("_cf_gap"),
-        F.min("_cf_us").alias("_cf_t0"), F.max("_cf_us").alias("_cf_t1"), F.max(F.when(F.col("_cf_next").isNull(), F.col("stage"))).alias("_cf_last"),
+        F.min("_cf_us").alias("_cf_t0"), F.max("_cf_us").alias("_cf_t1"), F.max(F.col("_cf_next").isNull()).alias("_cf_last"),
     )
     # a run has few stages
     run = Window.partitionBy("run_id")
     out = per_stage.withColumns({
-        "_cf_t0": F.min("_cf_t0").over(run), "_cf_t1": F.max("_cf_t1").over(run), "last_stage": F.max("_cf_last").over(run)})
+        "_cf_t0": F.min("_cf_t0").over(run), "_cf_t1": F.max("_cf_t1").over(run), "last_stage": F.max(F.when(F.col("_cf_last"), F.col("stage"))).over(run)})
     return out.select(
         "run_id", "stage", "n_lines",
         (F.col("_cf_gap") / F.lit(1e6)).alias("stage_seconds"),

@@ -46,8 +46,13 @@ def _merge(template: Mapping[str, Any], values: Mapping[str, Any]) -> Column:
     return F.struct(*fields)
 
 
-def station_documents(stations: DataFrame, template: Mapping[str, Any] | str | None = None) -> DataFrame:
-    """(code, json) per station; coordinates are ``[lon, lat, elevation]`` as text."""
+def station_documents(stations: DataFrame, template: Mapping[str, Any] | str | DataFrame | None = None) -> DataFrame:
+    """(code, json) per station; coordinates are ``[lon, lat, elevation]`` as text.
+
+    ``template``: a dict, JSON text, or the one-row table of ``read_template``.
+    """
+    if isinstance(template, DataFrame):
+        template = template.select(F.to_json(F.struct("*"))).first()[0]  # one row
     tpl = json.loads(template) if isinstance(template, str) else (template or DEFAULT_TEMPLATE)
     code = text.number_text(F.col("code"))
     values = {

@@ -76,3 +76,9 @@ def test_text_helpers(spark):
         text.join_list(text.parse_list_literal(F.col("j"))),
     ).first()
     assert tuple(r) == ("1200", "85", "stop12a", "a,b")
+
+
+def test_quantize_keeps_large_values(spark):
+    df = spark.createDataFrame([(1e12,), (-3.25,), (0.1,)], "v double")
+    got = [r[0] for r in df.select(numeric.quantize(F.col("v"), 27)).collect()]
+    assert got[0] == 1e12 and got[1] == -3.25 and abs(got[2] - 0.1) < 2 ** -27

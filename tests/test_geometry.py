@@ -160,3 +160,35 @@ def test_clip_segment_expression(spark):
     assert got[0] == (0.25, 0.75, True)
     assert got[1][2] is False
     assert got[2] == (0.0, 1.0, True)  # along the cell's left edge: touching counts
+
+
+def test_area_subtracts_every_hole_and_empty_rings_have_none(spark):
+    def square(x, y, a):
+        return [{"x": x, "y": y}, {"x": x + a, "y": y}, {"x": x + a, "y": y + a}, {"x": x, "y": y + a}]
+
+    many = [square(0.0, 0.0, 100.0), *[square(float(i % 90), float(i // 90), 0.5) for i in range(5000)]]
+    rows = [(1, many), (2, [[]]), (3, []), (4, None), (5, [square(0.0, 0.0, 2.0), []])]
+    df = spark.createDataFrame(rows, "k int, rings array<array<struct<x: double, y: double>>>")
+    got = {r.k: r.a for r in df.select("k", geo.polygon_area(F.col("rings")).alias("a")).collect()}
+    assert got[1] == 10000.0 - 5000 * 0.25 and got[5] == 4.0
+    assert not got[2] and not got[3] and not got[4]
+    df.select(geo.polygon_centroid(F.col("rings")), geo.bounds(F.col("rings")), F.transform("rings", geo.ring_edges)).collect()
+
+
+def test_clipped_rings_of_any_polygon(spark):
+    """Areas of the pieces add up, and each piece lies in its cell."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    star = [{"x": 5 + rng.uniform(1, 4) * math.cos(t / 20 * 6.283), "y": 5 + rng.uniform(1, 4) * math.sin(t / 20 * 6.283)} for t in range(20)]
+    hole = [{"x": 4.7, "y": 4.7}, {"x": 5.3, "y": 4.8}, {"x": 5.1, "y": 5.2}]
+    df = spark.createDataFrame([(1, [star, hole])], "k int, rings array<array<struct<x: double, y: double>>>")
+    g = Grid(nx=10, ny=10)
+    rows = spatial.polygon_cell_areas(df, g, ["k"]).collect()
+    assert abs(sum(r.cell_area for r in rows) - rows[0].poly_area) < 1e-9
+    for r in rows:
+        for p in r.piece[0]:
+            assert r.ix <= p.x <= r.ix + 1 and r.iy <= p.y <= r.iy + 1
+    touched = {r.gid for r in spatial.polygons_touching_cells(df, g).collect()}
+    assert {r.gid for r in rows} <= touched

@@ -6,9 +6,10 @@ from conftest import SF_SMALL
 from parity import compare, duck
 
 import __spark_entry__ as entry
+from cellflux import catalog, oracle
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,26 +1,23 @@
 """The executed plans keep the shape the design relies on.
 
-Each query runs once (noop sink) so ``explain`` shows the final adaptive plan.
+Each query is collected, and the plan is read from that execution: the final
+adaptive plan.
 """
 
-import contextlib
-import io
-
 import pytest
 
-import __spark_entry__ as entry
+from cellflux import catalog
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 
 
 def executed_plan(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
-    df.write.format("noop").mode("overwrite").save()
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "AdaptiveSparkPlan" not in plan or "isFinalPlan=true" in plan
+    return plan
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -46,9 +43,30 @@ def test_nearest_index_needs_no_hash_shuffle(spark):
     assert plan.count("BroadcastHashJoin") >= 8  # four lookups per axis
 
 
-def test_point_in_polygon_shuffles_once_by_point(spark):
+def test_point_in_polygon_sums_edges_before_it_shuffles(spark):
     plan = executed_plan(spark, "points_in_polygons")
-    assert plan.count("Exchange hashpartitioning(_cf_pt") == 1
+    assert "REPARTITION_BY" not in plan and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("name", ["industry_overlay_area", "site_overlay_area", "site_cells"])
+def test_polygon_clip_stays_in_the_jvm(spark, name):
+    plan = executed_plan(spark, name)
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["sum_with_representative", "run_report"])
+def test_no_sort_aggregate(spark, name):
+    assert "SortAggregate" not in executed_plan(spark, name)
+
+
+def test_newest_row_is_found_by_a_hash_aggregate(spark):
+    plan = executed_plan(spark, "latest_reading")
+    assert "max_by" not in plan and "partial_max" in plan and "LeftSemi" in plan
+
+
+def test_merge_has_one_aggregate_on_the_field_keys(spark):
+    plan = executed_plan(spark, "merge_region_into_field")
+    assert "Union" in plan and "SortMergeJoin" not in plan
 
 
 def test_observation_filters_reach_the_scan(spark):
