@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # small tables still give every core a split
+        .config("spark.sql.files.openCostInBytes", str(128 << 10))
     )
     for k, v in JOB_DEFAULTS.items():
         b = b.config(k, v)

@@ -1,8 +1,8 @@
 """Write the final physical plans of selected queries to PLANS.md.
 
 Usage: python tools/plans.py [sf_dir] [query ...]
-Each query is run once (noop sink) so the adaptive plan is final; the plan
-is condensed to its operators, join strategies, scans (columns read and
+Each query is run once and the plan is read from that run, so the adaptive
+plan is final; it is condensed to its operators, join strategies, scans (columns read and
 filters pushed) and exchanges.
 """
 
@@ -16,7 +16,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 DEFAULT = ["count_to_mass", "road_inventory", "bus_inventory", "points_in_polygons", "industry_overlay_area", "total_inventory",
-           "residential_inventory", "merge_region_into_field", "model_skill", "run_report"]
+           "residential_inventory", "merge_region_into_field", "model_skill", "run_report", "category_share", "latest_reading",
+           "site_overlay_area", "residential_from_sheets"]
 
 KEEP = ("Exchange", "Join", "Scan", "Aggregate", "Window", "Generate", "Filter", "Union",
         "ArrowEvalPython", "BroadcastExchange", "Sort ", "TakeOrdered", "AQEShuffleRead")
@@ -47,15 +48,20 @@ def main(argv: list[str]) -> None:
     qs = queries()
     parts = [
         "# Final physical plans\n",
-        f"Generated by `tools/plans.py` at `{sf_dir}` on local[*] with AQE on. Each query ran once "
-        "(noop sink), so these are the adaptive plans as executed, condensed to scans "
+        f"Generated by `tools/plans.py` at `{sf_dir}` on local[*] with AQE on. Each plan is read "
+        "from the run itself (`isFinalPlan=true`), condensed to scans "
         "(columns read, filters pushed), joins, aggregates (partial/final), windows, generators "
         "and exchanges.\n",
     ]
     for name in names:
         df = qs[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        # run the frame's own execution, so that its plan is the final one
+        run = df._jdf.queryExecution()
+        run.toRdd().count()
+        plan = run.executedPlan().toString()
+        if "AdaptiveSparkPlan" in plan and "isFinalPlan=true" not in plan:
+            raise RuntimeError(f"{name}: the plan is not final")
+        plan = plan.split("== Initial Plan ==")[0]
         parts.append(f"## {name}\n\n```\n{condense(plan)}\n```\n")
     with open(os.path.join(ROOT, "PLANS.md"), "w") as fh:
         fh.write("\n".join(parts))
