@@ -51,7 +51,7 @@ from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, in_bloom, mat
 
 LENGTH, GRAM = 400, 32
 MOST_CONTEXTS = 512
-BLOCK = 1 << 17  # bytes indexed at once, about
+BLOCK = 1 << 16  # bytes indexed at once, about
 CELL = 16  # neighbouring offsets of the exact way
 ROLL, ROLL2 = Roller(21), Roller(22)
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -115,8 +115,9 @@ def cores(prefix: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarra
 # Burrows-Wheeler index of a block
 # ---------------------------------------------------------------------------
 
-def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
-    """Rotations of t sorted by their first ``depth`` symbols at least (prefix doubling from 8 symbols)."""
+def suffix_order(t: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rotations of t sorted by their first ``depth`` symbols at least (prefix doubling from 8 symbols); the common
+    prefix of each with the one before, where it is below 8 (else 8; -1 for the first)."""
     n = len(t)
     key = np.zeros(n, np.uint64)
     ring = np.concatenate([t, t[:8]]) if n >= 8 else np.resize(t, n + 8)
@@ -125,7 +126,12 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
     rank = np.zeros(n, np.int64)
     order = np.argsort(key)
     k = key[order]
-    new = np.concatenate([[True], k[1:] != k[:-1]])
+    differ = k[1:] ^ k[:-1]
+    common = (differ == 0).astype(np.int8)
+    for j in range(1, 8):
+        common += differ < np.uint64(1 << (64 - 8 * j))
+    common = np.concatenate([np.array([-1], np.int8), common])
+    new = common < 8
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     step = 8
     while step < depth:
@@ -142,7 +148,7 @@ def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
         new[tied] |= differs
         rank[at] = np.maximum.accumulate(np.where(differs, tied, 0))
         step *= 2
-    return order
+    return order, common
 
 
 def shared_runs(t: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,19 +159,24 @@ def shared_runs(t: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     suffix one symbol longer to the left; the elements with one preceding
     symbol form the interval of the longer string.  Where that interval ends
     at a place without a value yet, the value is l, and the interval is
-    extended in the next round.
+    extended in the next round.  Values below 8 are read off the sort keys.
     """
     n = len(t)
-    order = suffix_order(t, length)
+    order, common = suffix_order(t, length)
     bwt = t[order - 1]
     lf = np.empty(n, np.int32)
     lf[np.argsort(bwt, kind="stable")] = np.arange(n, dtype=np.int32)
     head = t[order]
-    cut = np.zeros(n + 1, bool)
-    cut[0] = cut[n] = True
+    cut = np.append(common < min(8, length), True)
     owner = np.full(n + 1, -1, np.int32)
-    lb, rb = np.array([0], np.int32), np.array([n], np.int32)
-    for value in range(length):
+    # the strings of 8 symbols whose interval ends at a value of 7
+    heads = np.flatnonzero(common < 8).astype(np.int32)
+    lb, rb = heads, np.append(heads[1:], np.int32(n))
+    fresh = (rb < n) & (common[np.minimum(rb, n - 1)] == 7)
+    lb, rb = lb[fresh], rb[fresh]
+    for _ in range(8, length):
+        if not len(lb):
+            break
         size = rb - lb
         q = np.repeat(np.arange(len(lb), dtype=np.int32), size)
         to = lf[np.arange(len(q), dtype=np.int32) + (lb - np.cumsum(size, dtype=np.int32) + size)[q]]
@@ -178,8 +189,6 @@ def shared_runs(t: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         fresh = ~cut[ends]
         cut[ends[fresh]] = True
         lb, rb = starts[fresh], ends[fresh]
-        if not len(lb):
-            break
     return order, cut[:n]
 
 
