@@ -1,31 +1,27 @@
 """Token ids in training order: fixed-stride binary shards.
 
-1. Count.  Every input partition is a token stream: its documents in order,
-   each followed by the end-of-text id.  A first pass writes per document
-   its token count and its place in its partition's stream; a stream is cut
-   into sequences of ``seq_len`` ids, the last one padded.
+1. Encode.  Every input partition is a token stream: its documents in order,
+   each followed by the end-of-text id, cut into sequences of ``seq_len`` ids
+   (the last one padded).  Sequences are written once, compressed, in blocks
+   of a fixed number, with the place of every document that ends in a block.
 2. Number.  Sequence counts per partition (one row each) give every
    partition its first sequence number, so sequences are numbered 0 ... n - 1.
 3. Permute.  A keyed Feistel network on the next even number of bits,
    cycle-walked into [0, n), gives each sequence its global slot.
-4. Write.  A second pass makes the sequences and deals them to shards of
-   ``shard_slots`` slots by their slot, one task a shard; a shard is sorted
-   and written in order.  Every record takes ``seq_len`` little-endian
-   uint16 ids and a newline byte, so slot s starts at byte
-   (s mod shard_slots) * (2 * seq_len + 1) of shard s div shard_slots: reads
-   are sequential, and a reader resumes at any slot by a seek.
-
-The passes must see the same partitions, so the input must be a table in
-files (a frame of another kind is written first), the split settings are
-held while both run, and each task of the second pass checks its count
-against the first.  Tokens are never stored in between: making them twice
-is cheaper than a second copy on disk.  Shards go through Spark's writer, so
-a lost executor's tasks are simply run again.
-
-Tokens: byte-level BPE from a public vocabulary (path is a parameter). A
-text is cut at single spaces between non-spaces, where the vocabulary's own
-word pattern always breaks, so pieces can be looked up in a cache; a text in
-which a space touches another white space is encoded as a whole.
+4. Write.  Sequences are dealt to shards of ``shard_slots`` slots by their
+   slot, one task a shard; a shard is sorted and written in order.  Every
+   record takes ``seq_len`` little-endian uint16 ids and a newline byte, so
+   slot s starts at byte (s mod shard_slots) * (2 * seq_len + 1) of shard
+   s div shard_slots: reads are sequential, and a reader resumes at any slot
+   by a seek.
+
+Texts are read and encoded once.  Between the steps sequences are kept
+compressed (zstd), which keeps disk and shuffle below the size of the texts.
+The blocks are a committed table, so numbers never depend on how partitions
+would be cut again; shards go through Spark's writer, so a lost executor's
+tasks are simply run again.
+
+Tokens: byte-level BPE from a public vocabulary (path is a parameter).
 
 Defined results: null or empty text is the end-of-text id alone; an empty
 table gives no shards and no rows; rows that repeat are written as often;
@@ -34,26 +30,22 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflux.llm.common import materialise, prepare, table
+from cellflux.llm.common import discard, materialise, prepare, table
 from cellflux.session import scratch_path
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the word pattern that belongs to this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SEQ_LEN, SHARD_SLOTS = 1024, 4096
+SEQ_LEN, SHARD_SLOTS = 2048, 2048
+BLOCK_SEQUENCES = 128  # sequences compressed together
 KEY = 0x5EED_0F_0DE5
 ROUNDS = 6
-CACHE_ENTRIES = 400_000  # a worker's cache of pieces starts anew beyond this; results don't depend on it
-SPLITS = "spark.sql.files.minPartitionNum"
 
 
 # ---------------------------------------------------------------------------
@@ -86,7 +78,7 @@ def permute(x: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 class Encoder:
-    """Text to little-endian uint16 ids; the end-of-text id is the vocabulary's first free one."""
+    """Texts to ids; the end-of-text id is the vocabulary's first free one."""
 
     def __init__(self, vocabulary: str):
         import base64
@@ -95,27 +87,9 @@ class Encoder:
 
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.end = np.array([len(ranks)], "<u2").tobytes()
-        self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        bpe = self.bpe
-
-        class Pieces(dict):
-            def __missing__(self, piece):
-                if len(self) >= CACHE_ENTRIES:
-                    self.clear()
-                got = self[piece] = np.array(bpe.encode_ordinary(" " + piece), "<u2").tobytes()
-                return got
-
-        self.pieces = Pieces()
-        self.touching = re.compile(r"\s | \s|^ | $")
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.touching.search(text):
-            return np.array(self.bpe.encode_ordinary(text), "<u2").tobytes()
-        head, *rest = text.split(" ")
-        return np.array(self.bpe.encode_ordinary(head), "<u2").tobytes() + b"".join(map(self.pieces.__getitem__, rest))
+        self.end = len(ranks)
+        bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ids = lambda text: bpe.encode_ordinary(text) if text else []
 
 
 def _part() -> int:
@@ -124,51 +98,81 @@ def _part() -> int:
     return TaskContext.get().partitionId()
 
 
-def counted(rows: DataFrame, vocabulary: str) -> DataFrame:
-    """Per row of ``rows`` (doc_id, text): doc_id, part, at (first token in the part's stream), n_tokens (with the end)."""
+BLOCKS = "part int, block long, n_sequences int, payload binary, docs array<struct<doc_id: {}, at: long, n_tokens: long>>"
+
+
+def encoded(rows: DataFrame, vocabulary: str, seq_len: int) -> DataFrame:
+    """Blocks of whole sequences of ``rows`` (doc_id, text): part, block, n_sequences, payload (compressed ids), docs.
+
+    docs: the documents that end in the block, with their first token's place in the part's stream and their tokens (with the end).
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        enc, at = Encoder(vocabulary), 0
-        for b in batches:
-            n = [len(enc.ids(t)) // 2 + 1 for t in b.column("text").to_pylist()]
-            first = at + np.cumsum([0, *n[:-1]]) if n else []
-            at += sum(n)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([_part()] * len(n), pa.int32()), pa.array(first, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "part", "at", "n_tokens"])
+        import zstandard
 
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType()), T.StructField("n_tokens", T.LongType())])
-    return rows.mapInArrow(run, schema)
+        part, enc, pack = _part(), Encoder(vocabulary), zstandard.ZstdCompressor(level=3)
+        held, docs, at, block = bytearray(), [], 0, 0
+        full = 2 * seq_len * BLOCK_SEQUENCES
+        doc_type = None
 
+        def out(raw, ended):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([len(raw) // (2 * seq_len)], pa.int32()), pa.array([pack.compress(raw)], pa.binary()),
+                 pa.array([ended], pa.list_(pa.struct([("doc_id", doc_type), ("at", pa.int64()), ("n_tokens", pa.int64())])))],
+                names=["part", "block", "n_sequences", "payload", "docs"])
 
-def sequences(rows: DataFrame, vocabulary: str, seq_len: int, first: dict[int, tuple[int, int]], n: int, key: int) -> DataFrame:
-    """slot, ids (2 * seq_len bytes).  first: of each part, its first sequence number and its token count."""
-    starts = rows.sparkSession.sparkContext.broadcast(first)  # two numbers for each input partition
+        for b in batches:
+            doc_type = b.column("doc_id").type
+            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                ids = np.array([*enc.ids(t), enc.end], "<u2")
+                held += ids.tobytes()
+                docs.append({"doc_id": d, "at": at, "n_tokens": len(ids)})
+                at += len(ids)
+                while len(held) >= full:
+                    yield out(bytes(held[:full]), docs)
+                    held, docs, block = held[full:], [], block + 1
+        if held or docs:
+            pad = -(len(held) // 2) % seq_len
+            yield out(bytes(held) + np.full(pad, enc.end, "<u2").tobytes(), docs)
+
+    return rows.mapInArrow(run, BLOCKS.format(kind))
+
+
+def sequences(blocks: DataFrame, seq_len: int, first: dict[int, int], n: int, key: int) -> DataFrame:
+    """slot, packed (the compressed ids of one sequence).  first: of each part, its first sequence number."""
+    starts = blocks.sparkSession.sparkContext.broadcast(first)  # a number for each input partition
 
     def run(batches):
-        part, enc, left, seen, made = _part(), Encoder(vocabulary), bytearray(), 0, 0
-        base, tokens = starts.value.get(part, (0, 0))
+        import zstandard
+
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         stride = 2 * seq_len
+        for b in batches:
+            for part, block, payload in zip(*(b.column(c).to_pylist() for c in ("part", "block", "payload"))):
+                raw = unpack.decompress(payload)
+                k = len(raw) // stride
+                numbers = starts.value[part] + block * BLOCK_SEQUENCES + np.arange(k)
+                packed = [pack.compress(raw[i * stride : (i + 1) * stride]) for i in range(k)]
+                yield pa.RecordBatch.from_arrays([pa.array(permute(numbers, n, key), pa.int64()), pa.array(packed, pa.binary())], names=["slot", "packed"])
 
-        def out(k):
-            nonlocal left, made
-            numbers = np.arange(base + made, base + made + k)
-            ids = [bytes(left[i * stride : (i + 1) * stride]) for i in range(k)]
-            left, made = left[k * stride :], made + k
-            return pa.RecordBatch.from_arrays([pa.array(permute(numbers, n, key), pa.int64()), pa.array(ids, pa.binary())], names=["slot", "ids"])
+    return blocks.select("part", "block", "payload").mapInArrow(run, "slot long, packed binary")
+
+
+def unpacked(dealt: DataFrame) -> DataFrame:
+    """shard, slot, ids of dealt sequences."""
+
+    def run(batches):
+        import zstandard
 
+        unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for t in b.column("text").to_pylist():
-                left += enc.ids(t) + enc.end
-                if len(left) >= 256 * stride:
-                    seen += len(left) // stride * seq_len
-                    yield out(len(left) // stride)
-        seen += len(left) // 2
-        if seen != tokens:
-            raise RuntimeError(f"input partition {part} has {seen} tokens; the first pass had {tokens}")
-        if left:
-            left += enc.end * (-(len(left) // 2) % seq_len)
-            yield out(len(left) // stride)
+            for i in range(0, len(b), 256):
+                part = b.slice(i, 256)
+                ids = pa.array([unpack.decompress(x) for x in part.column("packed").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("shard"), part.column("slot"), ids], names=["shard", "slot", "ids"])
 
-    return rows.mapInArrow(run, "slot long, ids binary")
+    return dealt.select("shard", "slot", "packed").mapInArrow(run, "shard int, slot long, ids binary")
 
 
 # ---------------------------------------------------------------------------
@@ -185,26 +189,19 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, seq_l
     """
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select("doc_id", "text")
-    if not docs.inputFiles():
-        rows = materialise(rows, "token-input")
-    held = spark.conf.get(SPLITS, None)
-    spark.conf.set(SPLITS, held or str(spark.sparkContext.defaultParallelism))
-    try:
-        index = materialise(counted(rows, vocabulary), "token-counts")
-        parts = index.groupBy("part").agg(F.sum("n_tokens").alias("tokens")).withColumn("seqs", F.ceil(F.col("tokens") / seq_len).cast("long"))
-        of = {r["part"]: (r["seqs"], r["tokens"]) for r in parts.collect()}  # one row for each input partition
-        first, n = {}, 0
-        for p in sorted(of):
-            first[p], n = (n, of[p][1]), n + of[p][0]
-        if n:
-            seqs = sequences(rows, vocabulary, seq_len, first, n, key)
-            shard = F.floor(F.col("slot") / shard_slots).cast("int")
-            dealt = seqs.withColumn("shard", shard).repartitionById(-(-n // shard_slots), F.col("shard")).sortWithinPartitions("shard", "slot")
-            dealt.select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").text(path)
-    finally:
-        spark.conf.unset(SPLITS) if held is None else spark.conf.set(SPLITS, held)
-    starts = spark.createDataFrame([(p, v[0]) for p, v in first.items()], "part int, first long")
+    blocks = materialise(encoded(docs.select("doc_id", "text"), vocabulary, seq_len), "token-blocks")
+    of = {r["part"]: r["n"] for r in blocks.groupBy("part").agg(F.sum("n_sequences").alias("n")).collect()}  # one row for each input partition
+    first, n = {}, 0
+    for p in sorted(of):
+        first[p], n = n, n + of[p]
+    index = materialise(blocks.select("part", F.explode("docs").alias("d")).select("part", "d.*"), "token-index")
+    if n:
+        shard = F.floor(F.col("slot") / shard_slots).cast("int")
+        dealt = sequences(blocks, seq_len, first, n, key).withColumn("shard", shard).repartitionById(-(-n // shard_slots), F.col("shard"))
+        raw = unpacked(dealt).sortWithinPartitions("shard", "slot")
+        raw.select("shard", F.col("ids").cast("string").alias("value")).write.partitionBy("shard").text(path)
+    discard(blocks)
+    starts = spark.createDataFrame(list(first.items()), "part int, first long")
     out = index.join(starts, "part").withColumn("seq", F.col("first") + F.floor(F.col("at") / seq_len))
 
     def slots(batches):
