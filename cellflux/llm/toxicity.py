@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflux.llm.common import materialise, prepare, table
+from cellflux.llm.common import materialise, prepare, smallest, table
 
 SAMPLE = 20_000
 STEM, LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = range(3, 13), 6, 0.02, 3.0  # stem lengths; toxic documents, share of them, and log odds that a stem needs
@@ -138,7 +138,8 @@ def held_out() -> F.Column:
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """text, toxic, part (0 ... 3) of at most ``sample`` labelled rows that aren't held out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    some = known.withColumn("turn", F.xxhash64(F.col("doc_id").cast("long"))).orderBy("turn", "doc_id").limit(sample)  # so it may be broadcast
+    known = materialise(known.withColumn("turn", F.xxhash64(F.col("doc_id").cast("long"))), "toxic-labels")
+    some = smallest(known, F.col("turn"), sample, "doc_id")  # so it may be broadcast
     return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic", F.pmod("turn", F.lit(4)).cast("int").alias("part"))
 
 
