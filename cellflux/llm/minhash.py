@@ -42,12 +42,11 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellflux.llm.common import (
-    LOWER, NOT_SPACE, Roller, blocks, bloom, bloom_bits, discard, grams, in_bloom, materialise, mix, prepare, same, table, text_bytes, text_key, words,
+    LOWER, NOT_SPACE, Roller, blocks, bloom, bloom_bits, discard, grams, in_bloom, materialise, mix, prepare, table, text_bytes, text_key, words,
 )
 
 BANDS, ROWS = 32, 5
@@ -55,7 +54,7 @@ BINS = BANDS * ROWS
 SIMILAR = 80  # per cent
 ROLL = Roller(3)
 #: Random probes of each bin for densification, then its right neighbours in turn (so that the search always ends).
-PROBES = np.concatenate([np.random.default_rng(11).integers(0, BINS, (48, BINS)), (np.arange(1, BINS)[:, None] + np.arange(BINS)) % BINS])
+PROBES = np.concatenate([np.random.default_rng(11).integers(0, BINS, (48, BINS)), (np.arange(1, BINS)[:, None] + np.arange(BINS)) % BINS]).astype(np.int16)
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> list[np.ndarray]:
@@ -212,17 +211,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     prepare(docs.sparkSession)
     sk = materialise(sketches(docs, shingle), "sketches")
     classes = materialise(sk.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sk.join(classes, (sk.digest == classes.digest) & (sk.doc_id == classes.rep)).select("rep", "n_shingles", "buckets")
-    members = reps.select(F.explode("buckets").alias("bucket"), F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
+    reps = sk.join(classes, (sk.digest == classes.digest) & (sk.doc_id == classes.rep)).select("rep", "buckets")
+    members = reps.select(F.explode("buckets").alias("bucket"), F.col("rep").alias("id"))
     # buckets of one member go no further
     shared = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
     members = materialise(members.join(shared.select("bucket", "m"), "bucket"), "members")
     # priority: how many others a document meets, then a hash
     meets = members.groupBy("id").agg((F.shiftleft(F.least(F.sum("m"), F.lit(1 << 30)), 32) + F.xxhash64("id").bitwiseAND(F.lit((1 << 32) - 1))).alias("rank"))
-    ranked = materialise(members.join(meets, "id").select("bucket", "id", "n", "rank"), "ranked")
+    ranked = materialise(members.join(meets, "id").select("bucket", "id", "rank"), "ranked")
     top = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
-    centre = ranked.join(top, ["bucket", "rank"]).select("bucket", F.col("id").alias("a"), F.col("n").alias("na"))
-    pairs = ranked.join(centre, "bucket").where((F.col("id") != F.col("a")) & _sizes("n", "na")).select("a", F.col("id").alias("b")).distinct()
+    centre = ranked.join(top, ["bucket", "rank"]).select("bucket", F.col("id").alias("a"))
+    # also where the sizes rule out a link with the centre: the member may be linked with another
+    pairs = ranked.join(centre, "bucket").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
     pairs = materialise(pairs, "pairs")
     sets = materialise(sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), shingle), "sets")
     stars = materialise(compared(pairs, sets), "stars")
@@ -247,6 +247,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     if not found.isEmpty():
         comp = components(comp.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionAll(found))
 
+    for done in (members, ranked, pairs, sets, stars, star, new, found):
+        discard(done)
     whole = classes.join(comp, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
     out = sk.select("doc_id", "key", "n_shingles", "digest").join(whole, "digest", "left")
     return out.select("doc_id", "key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, in_bloom, materialise, mix, prepare, same, table, text_bytes, text_key
+from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, discard, in_bloom, materialise, mix, prepare, same, table, text_bytes, text_key
 
 LENGTH, GRAM = 400, 32
 MOST_CONTEXTS = 512
@@ -452,7 +452,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CON
     spans = spans.distinct().groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # of one text
     out = rows.drop("h", "at", "own").join(per.drop("own"), "digest").join(spans, "digest", "left")
     every = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n_bytes").alias("b")))
-    return out.withColumn("spans", F.when((F.col("copies") > 1) & (F.col("n_bytes") >= length), every).otherwise(F.col("spans")))
+    out = out.withColumn("spans", F.when((F.col("copies") > 1) & (F.col("n_bytes") >= length), every).otherwise(F.col("spans")))
+    out = materialise(out, "repeats")
+    for done in (rows, per, shared, ctx, kinds, one):
+        discard(done)
+    return out
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -488,7 +492,7 @@ def cut(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = materialise(repeats(docs), "repeats")
+    found = repeats(docs)
     # copies are removed whole, so only other rows are cut
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     parts = cut(docs, found.where(~whole)).select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha"))

@@ -47,6 +47,10 @@ def families():
                 t[i] = rng.choice(vocabulary)
             ids.append(n + rng.randrange(10**6))
             rows.append((ids[-1], " ".join(t)))
+    # a text that grows by tenths: its ends are too far apart in size to be linked with one centre
+    base = [rng.choice(vocabulary) for _ in range(400)]
+    for i in range(12):
+        rows.append((5000 + i, " ".join(base[: int(100 * 1.09**i)])))
     rows += [(10**7 + i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 9)))) for i in range(60)]
     rng.shuffle(rows)
     return rows
