@@ -43,7 +43,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the word pattern that belongs to this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEQ_LEN, SHARD_SLOTS = 2048, 2048
-BLOCK_SEQUENCES = 128  # sequences compressed together
+BLOCK_SEQUENCES, LEVEL = 256, 6  # sequences compressed together; zstd level
 KEY = 0x5EED_0F_0DE5
 ROUNDS = 6
 
@@ -111,7 +111,7 @@ def encoded(rows: DataFrame, vocabulary: str, seq_len: int) -> DataFrame:
     def run(batches):
         import zstandard
 
-        part, enc, pack = _part(), Encoder(vocabulary), zstandard.ZstdCompressor(level=3)
+        part, enc, pack = _part(), Encoder(vocabulary), zstandard.ZstdCompressor(level=LEVEL)
         held, docs, at, block = bytearray(), [], 0, 0
         full = 2 * seq_len * BLOCK_SEQUENCES
         doc_type = None
@@ -146,7 +146,7 @@ def sequences(blocks: DataFrame, seq_len: int, first: dict[int, int], n: int, ke
     def run(batches):
         import zstandard
 
-        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
         stride = 2 * seq_len
         for b in batches:
             for part, block, payload in zip(*(b.column(c).to_pylist() for c in ("part", "block", "payload"))):
