@@ -79,12 +79,13 @@ def species_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_status(spark: SparkSession, sf: str) -> DataFrame:
-    """SC8, O4, F4: run logs as text files, one per run; the last line of each and whether it reports success."""
+    """SC8, O4, F4: daily logs as text files; the last line of each and whether it reports success."""
     path = scratch_path(spark, "logs")
-    lines = fx.run_log(spark, sf).select("run_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "line_no", F.concat(F.lit("  "), F.col("stage"), F.lit(" ")).alias("value"))
-    lines.repartition("run_id").sortWithinPartitions("run_id", "us", "line_no").select("run_id", "value").write.partitionBy("run_id").text(path)
-    got = runs.run_status(readers.read_logs(spark, f"{path}/run_id=*"))
-    return got.select(F.regexp_extract("file", r"run_id=(\d+)/", 1).cast("long").alias("run_id"), text.clean_line(F.col("last_line")).alias("last_line"), "success")
+    at = F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
+    lines = fx.run_log(spark, sf).select(F.dayofyear("ts").alias("day"), at, "line_no", F.concat(F.lit("  "), F.col("stage"), F.lit(" ")).alias("value"))
+    lines.repartition("day").sortWithinPartitions("day", "us", "line_no").select("day", "value").write.partitionBy("day").text(path)
+    got = runs.run_status(readers.read_logs(spark, f"{path}/day=*"))
+    return got.select(F.regexp_extract("file", r"day=(\d+)/", 1).cast("long").alias("day"), text.clean_line(F.col("last_line")).alias("last_line"), "success")
 
 
 def stored_readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,8 +318,8 @@ SQL: dict[str, str] = {
     "field_round_trip": with_ctes(["sector_fields"], f"""SELECT species, month, lat_idx, lon_idx, {Q('emi', 50)} AS emi_pm, '{factors.FIELD_ATTRS["emi_pm"]["units"]}' AS units FROM (
         SELECT species, month, lat_idx, lon_idx, sum(emi) AS emi FROM sector_fields WHERE sector IN (1, 2, 3) AND species = 'A' GROUP BY ALL)"""),
     "species_files": "SELECT event_type AS species, count(DISTINCT cast(ts AS date)) AS n FROM events WHERE year(ts) = 2024 GROUP BY 1",
-    "log_status": with_ctes(["run_log"], """SELECT run_id, stage AS last_line, contains(stage, 'Successful completion') AS success FROM (
-        SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY epoch_us(ts) DESC, line_no DESC) AS rn FROM run_log) WHERE rn = 1"""),
+    "log_status": with_ctes(["run_log"], """SELECT dayofyear(ts) AS day, stage AS last_line, contains(stage, 'Successful completion') AS success FROM (
+        SELECT *, row_number() OVER (PARTITION BY dayofyear(ts) ORDER BY epoch_us(ts) DESC, line_no DESC) AS rn FROM run_log) WHERE rn = 1"""),
     "stored_readings": "SELECT user_id AS station_id, count(*) AS n, max(event_id) AS last FROM events GROUP BY 1",
     "sensor_line_stream": with_ctes(["readings"], "SELECT time, count(*) AS n, cast(sum(pm05) AS bigint) AS pm05, cast(sum(pm25) AS bigint) AS pm25 FROM readings GROUP BY 1"),
     "station_template": with_ctes(["stations"], """SELECT code_txt AS code, json_object(

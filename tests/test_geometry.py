@@ -187,8 +187,10 @@ def test_clipped_rings_of_any_polygon(spark):
     g = Grid(nx=10, ny=10)
     rows = spatial.polygon_cell_areas(df, g, ["k"]).collect()
     assert abs(sum(r.cell_area for r in rows) - rows[0].poly_area) < 1e-9
+    pieces = {r.gid: r for r in spatial.polygon_cell_pieces(df, g).collect()}
     for r in rows:
-        for p in r.piece[0]:
+        assert abs(pieces[r.gid].cell_area - r.cell_area) < 1e-12
+        for p in pieces[r.gid].piece[0]:
             assert r.ix <= p.x <= r.ix + 1 and r.iy <= p.y <= r.iy + 1
     touched = {r.gid for r in spatial.polygons_touching_cells(df, g).collect()}
     assert {r.gid for r in rows} <= touched
