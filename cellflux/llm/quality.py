@@ -4,8 +4,7 @@ A line (split at newline) is normalised: A-Z lower-cased, runs of ASCII
 space made one, ends trimmed; lines without a word don't count.  For every
 (host, line) the distinct documents that hold it are counted.  Copies must
 not make a line look like boilerplate, so documents are told apart by a
-sketch: the smallest hash of their lines, which copies (and most near
-copies) share.  A line is frequent in a host if at least ``MIN_DOCS``
+digest of their whole normalised text, which copies share.  A line is frequent in a host if at least ``MIN_DOCS``
 distinct documents and more than ``SHARE`` of the host's hold it.  A
 document that would lose more than ``DEPLETED`` of its words with its
 frequent lines is rejected; one whose own counts fail is rejected anyway.
@@ -51,7 +50,7 @@ def line_hash(line: bytes) -> int:
 
 
 def counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray | list]:
-    """Per row: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and its distinct lines (hash, words) and sketch."""
+    """Per row: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and its distinct lines (hash, words) and the digest of all of them in order."""
     rows = len(bounds) - 1
     start, end, first = words(data, bounds, NOT_SPACE)
     n_words = np.diff(first)
@@ -79,25 +78,26 @@ def counts(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray | list]
     in_line = np.diff(np.searchsorted(start, np.append(ls, len(data))))
     full = in_line > 0
     raw = ROLL.spans(prefix, ls, le)
-    n_dup, lines, sketch = [], [], []
+    n_dup, lines, digest = [], [], []
     for r in range(rows):
         own = np.arange(lfirst[r], lfirst[r + 1])[full[lfirst[r] : lfirst[r + 1]]]
         n_dup.append(len(own) - len(set(raw[own].tolist())))
         got: dict[int, int] = {}
+        whole = hashlib.md5()
         for i in own:
             h = line_hash(data[ls[i] : le[i]].tobytes())
+            whole.update(h.to_bytes(8, "big"))
             got[h] = got.get(h, 0) + int(in_line[i])
         lines.append([{"h": h - (1 << 64) if h >> 63 else h, "n": n} for h, n in got.items()])
-        low = min(got, default=None)
-        sketch.append(low if low is None else low - (1 << 64) if low >> 63 else low)
-    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": np.array(n_dup, np.int64), "n_repeat_words": n_repeat, "lines": lines, "sketch": sketch}
+        digest.append(int.from_bytes(whole.digest()[:8], "big", signed=True) if got else None)
+    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": np.array(n_dup, np.int64), "n_repeat_words": n_repeat, "lines": lines, "digest": digest}
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def measured(docs: DataFrame, host: str) -> DataFrame:
-    """Per row: doc_id, key, host, the counts, lines, sketch."""
+    """Per row: doc_id, key, host, the counts, lines, digest (null without lines)."""
     rows = docs.select("doc_id", text_key().alias("key"), F.col(host).cast("string").alias("host"), "text")
     keep = ["doc_id", "key", "host"]
 
@@ -107,10 +107,10 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
             for i, j, d, o in blocks(data, bounds):
                 got = counts(d, o)
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c).slice(i, j - i) for c in keep), *(pa.array(got[c], pa.int64()) for c in COUNTS), pa.array(got["lines"], LINE_ARROW), pa.array(got["sketch"], pa.int64())],
-                    names=[*keep, *COUNTS, "lines", "sketch"])
+                    [*(b.column(c).slice(i, j - i) for c in keep), *(pa.array(got[c], pa.int64()) for c in COUNTS), pa.array(got["lines"], LINE_ARROW), pa.array(got["digest"], pa.int64())],
+                    names=[*keep, *COUNTS, "lines", "digest"])
 
-    schema = T.StructType([*(rows.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("lines", LINE), T.StructField("sketch", T.LongType())])
+    schema = T.StructType([*(rows.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("lines", LINE), T.StructField("digest", T.LongType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -118,15 +118,15 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
     """Per row: doc_id, key, the counts, n_frequent (words in its frequent lines), base_failed, kept."""
     prepare(docs.sparkSession)
     got = materialise(measured(docs, host), "quality")
-    lines = got.select("doc_id", "key", "host", "sketch", F.explode("lines").alias("l")).select("doc_id", "key", "host", "sketch", "l.h", "l.n")
-    of_host = got.where("sketch IS NOT NULL").select("host", "sketch").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    of_line = lines.select("host", "h", "sketch").distinct().groupBy("host", "h").agg(F.count("*").alias("held"))
+    lines = got.select("doc_id", "key", "host", "digest", F.explode("lines").alias("l")).select("doc_id", "key", "host", "digest", "l.h", "l.n")
+    of_host = got.where("digest IS NOT NULL").select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    of_line = lines.select("host", "h", "digest").distinct().groupBy("host", "h").agg(F.count("*").alias("held"))
     f = of_line.where(F.col("held") >= min_docs).alias("f")
     frequent = f.join(of_host.alias("o"), same(F.col("f.host"), F.col("o.host"))).where(F.col("held") > F.col("docs") * share).select(F.col("f.host").alias("fh"), F.col("h").alias("fl"))
     # one row for each distinct (doc_id, key), as equal rows have equal lines
     hit = lines.dropDuplicates(["doc_id", "key", "host", "h"]).join(frequent, same(F.col("host"), F.col("fh")) & (F.col("h") == F.col("fl")))
     hit = hit.groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(F.sum("n").alias("n_frequent"))
-    out = got.drop("lines", "sketch").join(hit, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key")) & same(F.col("host"), F.col("__cf_host")), "left")
+    out = got.drop("lines", "digest").join(hit, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key")) & same(F.col("host"), F.col("__cf_host")), "left")
     out = out.withColumn("n_frequent", F.coalesce("n_frequent", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     kept = ~failed & (F.col("n_frequent") <= F.col("n_words") * depleted)

@@ -57,3 +57,13 @@ def test_lines_of_a_host(spark):
 
 def test_empty_table(spark):
     assert quality.verdicts(documents(spark, ROWS).where("false")).count() == 0
+
+
+def test_distinct_texts_that_share_their_smallest_line(spark):
+    """The line with the smallest hash stands in every text; 30 texts that differ, and 30 copies of one but for case and spaces."""
+    low = min((f"{MENU} {k}" for k in range(3000)), key=lambda x: quality.line_hash(x.encode()))
+    rows = [(i, f"{low}\n" + " ".join(f"y{i}x{k}" for k in range(30)), "h") for i in range(30)]
+    rows += [(100 + i, (f"{low}\n{good(5)}" + " " * i).title() if i % 2 else f"{low}\n{good(5)}", "copies") for i in range(30)]
+    got = {r.doc_id: (r.kept, r.n_frequent) for r in quality.verdicts(documents(spark, rows)).collect()}
+    assert all(got[i] == (False, 73) for i in range(30))
+    assert all(got[100 + i] == (True, 0) for i in range(30))
