@@ -8,6 +8,8 @@ digest of their whole normalised text, which copies share.  A line is frequent i
 distinct documents and more than ``SHARE`` of the host's hold it.  A
 document that would lose more than ``DEPLETED`` of its words with its
 frequent lines is rejected; one whose own counts fail is rejected anyway.
+``accepted`` returns the kept documents with their frequent lines cut from
+the text; the counts are those of the text before.
 
 The texts are read once; (host, line) counts shuffle one row per document
 and distinct line, reduced before the shuffle, so a host with a third of
@@ -116,6 +118,11 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
 
 def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
     """Per row: doc_id, key, the counts, n_frequent (words in its frequent lines), base_failed, kept."""
+    return judged(docs, host, min_docs, share, depleted).drop("cut")
+
+
+def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+    """``verdicts``, and cut: the hashes of the row's frequent lines (null: none)."""
     prepare(docs.sparkSession)
     got = materialise(measured(docs, host), "quality")
     lines = got.select("doc_id", "key", "host", "digest", F.explode("lines").alias("l")).select("doc_id", "key", "host", "digest", "l.h", "l.n")
@@ -125,19 +132,36 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, sh
     frequent = f.join(of_host.alias("o"), same(F.col("f.host"), F.col("o.host"))).where(F.col("held") > F.col("docs") * share).select(F.col("f.host").alias("fh"), F.col("h").alias("fl"))
     # one row for each distinct (doc_id, key), as equal rows have equal lines
     hit = lines.dropDuplicates(["doc_id", "key", "host", "h"]).join(frequent, same(F.col("host"), F.col("fh")) & (F.col("h") == F.col("fl")))
-    hit = hit.groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(F.sum("n").alias("n_frequent"))
+    hit = hit.groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(F.sum("n").alias("n_frequent"), F.collect_list("h").alias("cut"))
     out = got.drop("lines", "digest").join(hit, same(F.col("doc_id"), F.col("__cf_id")) & (F.col("key") == F.col("__cf_key")) & same(F.col("host"), F.col("__cf_host")), "left")
     out = out.withColumn("n_frequent", F.coalesce("n_frequent", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
     kept = ~failed & (F.col("n_frequent") <= F.col("n_words") * depleted)
-    return out.select("doc_id", "key", "host", *COUNTS, "n_frequent", failed.alias("base_failed"), kept.alias("kept"))
+    return out.select("doc_id", "key", "host", *COUNTS, "n_frequent", failed.alias("base_failed"), kept.alias("kept"), "cut")
+
+
+def without(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+    """Each text without the lines whose hashes are in its cut; the others stay in order, as they are."""
+    out = []
+    for t, cut in zip(texts.to_pylist(), cuts.to_pylist()):
+        if t is not None and cut:
+            gone = {h & ((1 << 64) - 1) for h in cut}
+            t = b"\n".join(x for x in t.encode().split(b"\n") if not x.strip() or line_hash(x) not in gone).decode()
+        out.append(t)
+    return pa.array(out, pa.string())
 
 
 def accepted(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    bad = verdicts(docs, host).where("NOT kept").select(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).distinct()
+    """The documents that the rules keep, with all their columns; their texts without the frequent lines of their host."""
+    # rows equal in doc_id, key and host have equal verdicts and lines
+    touched = judged(docs, host).where("NOT kept OR cut IS NOT NULL").groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(
+        F.first("kept").alias("__cf_kept"), F.first(F.when(F.col("kept"), F.col("cut"))).alias("__cf_cut"))
     on = same(F.col("doc_id"), F.col("__cf_id")) & (text_key() == F.col("__cf_key")) & same(F.col(host).cast("string"), F.col("__cf_host"))
-    return docs.join(bad, on, "left_anti")
+    rows = docs.join(touched, on, "left").where(F.coalesce("__cf_kept", F.lit(True)))
+    cut = F.col("__cf_cut")
+    # only texts that lose a line go to Python
+    shorter = F.arrow_udf(without, T.StringType())(F.when(cut.isNotNull(), F.col("text")), cut)
+    return rows.withColumn("text", F.when(cut.isNull(), F.col("text")).otherwise(shorter)).select(*docs.columns)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from cellflux.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; the others lose the frequent lines of their host."""
     return quality.accepted(docs)
 
 

@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import corpus_pipeline
 from cellflux.llm import quality
 from corpora import ODD, documents
 
@@ -67,3 +68,19 @@ def test_distinct_texts_that_share_their_smallest_line(spark):
     got = {r.doc_id: (r.kept, r.n_frequent) for r in quality.verdicts(documents(spark, rows)).collect()}
     assert all(got[i] == (False, 73) for i in range(30))
     assert all(got[100 + i] == (True, 0) for i in range(30))
+
+
+def test_frequent_lines_are_cut(spark):
+    """Kept texts lose their host's frequent lines, in any case and spacing and wherever they stand, and nothing else."""
+    menu, rows, want = "Home | Share this", [], []
+    for i in range(30):
+        rows += [(i, f"{menu}\n{good(i)}\n\n  {menu.upper()} \n \t\n{good(100 + i)}\r\n{menu}", "h")] * (2 if i == 3 else 1)
+        want += [(i, f"{good(i)}\n\n \t\n{good(100 + i)}\r")] * (2 if i == 3 else 1)
+    rows += [(50, f"{menu}\n{good(50)}\n{good(51)}", "other"), (None, f"{menu}\n{good(52)}\n{good(53)}\né ñ 日本", "h"), (None, good(54), None), (3, good(55), "h"), (56, f"{menu}\nfew", "h")]
+    want += [(50, rows[-5][1]), (None, f"{good(52)}\n{good(53)}\né ñ 日本"), (None, good(54)), (3, good(55))]
+    docs = documents(spark, rows)
+    got = quality.accepted(docs)
+    assert got.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted(want, key=str)
+    staged = corpus_pipeline.quality_rules(spark, docs, "")
+    assert sorted([(r.doc_id, r.text) for r in staged.collect()], key=str) == sorted(want, key=str)
