@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, fim, licenses, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
+from cellflux.llm import decontaminate, divergence, fim, licenses, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secret_scan.op1,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity.op9,
     "op10_token_shards": tokens.op10,
     "op12_fill_in_middle": fim.op12,
+    "op13_source_divergence": divergence.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLES: dict[str, str] = {
     "op6_url_rules": urls.ORACLE,
     "op7_decontaminate": decontaminate.ORACLE,
     "op8_quality": quality.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
