@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellflux.llm import decontaminate, divergence, fim, licenses, minhash, mixing, quality, repeats, secret_scan, tokens, toxicity, urls
+from cellflux.llm import decontaminate, divergence, fim, licenses, minhash, mixing, packing, quality, repeats, secret_scan, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": secret_scan.op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8,
     "op9_toxicity": toxicity.op9,
     "op10_token_shards": tokens.op10,
+    "op11_packing": packing.op11,
     "op12_fill_in_middle": fim.op12,
     "op13_source_divergence": divergence.op13,
 }
