@@ -1,8 +1,8 @@
 """Source divergence audit: which terms a source says more often than its language, and how far sources are apart.
 
 1. Count.  Tasks count every text's terms (numpy, one row for each term of a
-   group and batch); the counts are dealt by (lang, term) once and summed for
-   (lang, source, term) and for (lang, term) in the same partitions.  Terms in
+   group and batch); the counts are dealt by (lang, term) once, summed for (lang, term,
+   source), and those sums for (lang, term) in the same partitions.  Terms in
    fewer than ``MIN_DOCS`` documents of their language go.
 2. Shares.  p = 1 + floor(10^9 (count + 5) / (N + 5 V)) by long division in
    64-bit steps: exact for up to 9 * 10^15 words.
@@ -35,14 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellflux.llm.common import LOWER, byte_class, discard, materialise, prepare, table, text_bytes, words
+from cellflux.llm.common import LOWER, byte_class, materialise, prepare, table, text_bytes, words
 
 MIN_DOCS, TOP, PRIOR = 30, 50, 5
 BLOCK_TERMS, TILE_SOURCES = 512, 128
 SLICES = 16  # of a group's terms when skybands are merged
 HELD = 1 << 18  # rows a task holds before it prunes its skybands
 COMPARED = 512  # rows compared with a skyband at once
-BATCH_BYTES = 1 << 23
 
 TERM = byte_class(bytes([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
@@ -206,10 +205,10 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block_terms
     """lang, source, part, item, value, rank: ``pair`` has every other source of the language, ``term`` the group's ``top`` terms."""
     prepare(docs.sparkSession)
     docs = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    dealt = counted(docs).repartition("lang", "term")
-    by_group = dealt.groupBy("lang", "term", "source").agg(F.sum("count").alias("count"))
-    by_lang = dealt.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
-    kept = materialise(by_group.join(by_lang, ["lang", "term"]), "kept-terms")
+    by_group = counted(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "term")  # at most one row a source, already in one place
+    kept = by_group.withColumn("lang_count", F.sum("count").over(of_term)).withColumn("docs", F.sum("docs").over(of_term)).where(F.col("docs") >= min_docs).drop("docs")
+    kept = materialise(kept, "kept-terms")
 
     of_lang = kept.groupBy("lang", "term").agg(F.max("lang_count").alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("lang_total"))
     of_group = kept.groupBy("lang", "source").agg(F.sum("count").alias("total"))
