@@ -15,7 +15,7 @@
 
 Tokens come from a public vocabulary of the ``tokenizers`` library (path is a
 parameter).  Words with the white space before them are encoded on their own,
-each distinct one once a block, with a cache over blocks; see ``Encoder`` for
+each distinct one once a block, with a cache over blocks and tasks; see ``Encoder`` for
 why the ids are those of the whole text.
 
 Memory: a task holds one Arrow batch of texts with its ids and less than one
@@ -46,7 +46,7 @@ from cellflux.llm.common import LOWER, NOT_SPACE, Roller, blocks, materialise, p
 SEQ_LEN, END = 2048, 1
 BUCKETS, DIMS, BITS = 1024, 4, 12
 SEED = 11
-CACHED = 1 << 19  # distinct words a task remembers; the cache starts anew beyond it
+CACHED = 1 << 20  # distinct words a worker remembers (about 40 MB); the cache starts anew beyond it
 TEXT_BYTES = 1 << 22  # text that is encoded at once
 PART_BITS = 40  # sequence number: partition above, place in the partition below
 
@@ -193,6 +193,21 @@ class Encoder:
         return out, np.diff(upto) + 1
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, with the words it has met in earlier tasks.
+
+    Spark reuses its workers, but functions reach them by value, with new
+    module globals in every task; a module object of its own holds the encoder.
+    """
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_cellflux_encoders", types.ModuleType("_cellflux_encoders")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 # ---------------------------------------------------------------------------
 # sequences
 # ---------------------------------------------------------------------------
@@ -245,7 +260,7 @@ def pack(docs: DataFrame, path: str | None = None, seq_len: int = SEQ_LEN, seed:
     def run(batches):
         from pyspark import TaskContext
 
-        base, encode, at, held = TaskContext.get().partitionId() << PART_BITS, Encoder(path), 0, []
+        base, encode, at, held = TaskContext.get().partitionId() << PART_BITS, worker_encoder(path), 0, []
         for b in batches:
             if not len(b):
                 continue
