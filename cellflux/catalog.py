@@ -391,6 +391,6 @@ def _wrap(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from cellflux import catalog_extra
+    from cellflux import catalog_extra, catalog_joins
 
-    return {k: _wrap(v) for k, v in {**QUERIES, **catalog_extra.QUERIES}.items()}
+    return {k: _wrap(v) for k, v in {**QUERIES, **catalog_extra.QUERIES, **catalog_joins.QUERIES}.items()}

@@ -414,6 +414,6 @@ QUERIES_SQL: dict[str, tuple[list[str], str]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from cellflux import catalog_extra
+    from cellflux import catalog_extra, catalog_joins
 
-    return {name: with_ctes(uses, final) for name, (uses, final) in QUERIES_SQL.items()} | catalog_extra.SQL
+    return {name: with_ctes(uses, final) for name, (uses, final) in QUERIES_SQL.items()} | catalog_extra.SQL | catalog_joins.SQL

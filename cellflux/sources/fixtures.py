@@ -305,3 +305,34 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("run_id"), F.col("event_id").alias("line_no"),
         F.coalesce(done, F.col("event_type")).alias("stage"), "ts",
     )
+
+
+def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heights of an uneven vertical axis for each of three layers, in no order: (layer, height)."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select((k % 3).alias("layer"), (k * 7919 % 6000 / F.lit(2.0)).alias("height"))
+
+
+def soundings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heights to look up (sounding, layer, asked): a third of them one height; layer 3 has no axis."""
+    li = table(spark, sf_dir, "lineitem")
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    at = F.when(p % 3 == 0, 100.25).otherwise((p * 104729 + s * 31) % 14000 / F.lit(4.0) - 250.0)
+    return li.select(F.col("l_orderkey").alias("sounding"), (s % 4).alias("layer"), at.alias("asked"))
+
+
+def band_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correction bands of four stations (station, band, lo, hi, cf): some share an end, some leave gaps, some are wide or a point."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    lo = F.floor(k / 4) * F.lit(8.0)
+    width = F.when(k % 7 == 0, 100.0).when(k % 11 == 0, 0.0).otherwise(F.lit(5.0) + F.floor(k / 4) % 4)
+    return s.select((k % 4).alias("station"), k.alias("band"), lo.alias("lo"), (lo + width).alias("hi"), (F.lit(1.0) + k / F.lit(128.0)).alias("cf"))
+
+
+def banded_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of five stations (event_id, station, level), a third of them at one level."""
+    e = table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    return e.select("event_id", (F.col("user_id") % 5).alias("station"), F.when(i % 3 == 0, 16.0).otherwise(i * 7919 % 2400 / F.lit(4.0) - 20.0).alias("level"))
