@@ -11,7 +11,8 @@ rows is never gathered into one task:
   AQE's skew-join handling splits a hot key on the large side of that join;
 * numbering uses a window for groups that fit a task (``serial``); groups of
   any size are range-partitioned over many tasks with per-partition offsets
-  (``range_serial``).
+  (``range_serial``), as are rows that need their successor
+  (``with_successor``).
 """
 
 from __future__ import annotations
@@ -249,9 +250,37 @@ def with_next(
     return paired.where(F.col("_cf_me") == 1).drop("_cf_me")
 
 
-def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """P10: nulls to 0 in the given measure columns."""
-    return df.fillna(0, subset=list(cols))
+def with_successor(
+    df: DataFrame, order: Sequence[str], by: Sequence[str] = (), cols: Sequence[str] = (), prefix: str = "next_", num_partitions: int | None = None
+) -> DataFrame:
+    """``lead`` for groups of any size: each row gets ``cols`` of the row after it in its group, in ``order`` (unique in a group).
+
+    Rows are range-partitioned on (by, order), so a large group spans many
+    slices.  Inside a slice the row after is a window over the slice; the last
+    row of a slice gets the first row of the next one, of which there is one
+    for each slice.  The last row of a group gets nulls.
+    """
+    spark = df.sparkSession
+    keys, order_cols = list(by), list(order)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    along = [*keys, *order_cols]
+    # fixed slices: both reads below see the same ones, also after an executor is lost
+    fixed = df.repartitionByRange(n, *along).sortWithinPartitions(*along).checkpoint(eager=True).withColumn("_cf_pid", F.spark_partition_id())
+    head = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(along)], *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    first = {r["_cf_pid"]: r["h"] for r in fixed.groupBy("_cf_pid").agg(F.min_by(head, F.struct(*along)).alias("h")).collect()}  # one row a slice
+    rows, after = [], None
+    for p in reversed(range(fixed.rdd.getNumPartitions())):
+        rows.append((p, after))
+        after = first.get(p, after)
+    kind = fixed.select(head.alias("h")).schema["h"].dataType.simpleString()
+    borders = spark.createDataFrame(rows, f"_cf_pid int, _cf_border {kind}")
+    slice_ = Window.partitionBy("_cf_pid").orderBy(*along)
+    out = fixed.withColumn("_cf_lead", F.lead(head).over(slice_)).join(F.broadcast(borders), "_cf_pid", "left")
+    out = out.withColumn("_cf_lead", F.coalesce("_cf_lead", "_cf_border"))
+    mine = F.col("_cf_lead").isNotNull()
+    for i, k in enumerate(keys):
+        mine = mine & F.col(k).eqNullSafe(F.col(f"_cf_lead.o{i}"))
+    return out.select(*df.columns, *[F.when(mine, F.col(f"_cf_lead.c{i}")).alias(prefix + c) for i, c in enumerate(cols)])
 
 
 def union_all(dfs: Sequence[DataFrame]) -> DataFrame:

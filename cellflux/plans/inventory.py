@@ -202,14 +202,12 @@ def route_segments(resolved: DataFrame, key: Sequence[str] = ("route", "total_si
     """A10: a route's resolved stops, in order, as segments.
 
     An unknown stop is left out (``stop_rejects`` lists it) and the line goes
-    from the stop before it to the one after.  A route is one row of the
-    input, so its points are put back together in one row, after one
-    shuffle by route, and its segments are made inside that row.
+    from the stop before it to the one after.  Each stop meets the next one
+    across range slices of (route, pos): no route is gathered.
     """
-    at = F.struct(F.col("pos"), F.col("x"), F.col("y"))
-    line = resolved.where(F.col("resolved")).groupBy(*key).agg(F.sort_array(F.collect_list(at)).alias("_cf_line"))
-    seg = spatial.line_segments(F.col("_cf_line"))
-    return line.select(*key, F.posexplode(seg).alias("pos", "_cf_s")).select(*key, (F.col("pos") + 1).alias("pos"), "_cf_s.*")
+    known = resolved.where(F.col("resolved")).select(*key, "pos", "x", "y")
+    both = agg.with_successor(known, ["pos"], list(key), ["x", "y"]).where(F.col("next_x").isNotNull())
+    return both.select(*key, "pos", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("next_x").alias("x1"), F.col("next_y").alias("y1"))
 
 
 def route_cells(stops_of_routes: DataFrame, stops: DataFrame, grid: Grid, strict: bool = False) -> DataFrame:

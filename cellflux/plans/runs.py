@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellflux import factors
 from cellflux.functions import timefmt
+from cellflux.operators.aggregate import with_successor
 from cellflux.operators.lookup import missing
+from cellflux.session import written_once
 
 
 def required_times(bounds: DataFrame, start: str = "start", end: str = "end", step_hours: int = 3) -> DataFrame:
@@ -45,27 +47,25 @@ def missing_inputs(inventory: DataFrame, bounds: DataFrame, source: str = "gfs",
 def run_report(lines: DataFrame) -> DataFrame:
     """Per run and stage, time spent until the next line; run total and status.
 
-    One window per run (a run's log is one file, which fits a task) gives
-    each line its successor's time and the run's last line; everything else
-    is summed from it on the same partitioning.  Status: the last line of the
-    run contains the success text.
+    Lines meet their successors in range slices, so a run of any length is
+    many tasks' work; what remains is sums by (run, stage), reduced before
+    they move, and a run's few stages joined with its totals.  Status: the
+    last line of the run contains the success text.
     """
     l2 = lines.select("run_id", "stage", "line_no", F.unix_micros(F.col("ts").cast("timestamp")).alias("_cf_us"))
-    w = Window.partitionBy("run_id").orderBy("_cf_us", "line_no")
-    after = F.lead("_cf_us").over(w)
-    l2 = l2.withColumn("_cf_next", after)
+    l2 = with_successor(l2, ["_cf_us", "line_no"], ["run_id"], ["_cf_us"], prefix="_cf_next")
     per_stage = l2.groupBy("run_id", "stage").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.coalesce(F.col("_cf_next") - F.col("_cf_us"), F.lit(0))).alias("_cf_gap"),
-        F.min("_cf_us").alias("_cf_t0"), F.max("_cf_us").alias("_cf_t1"), F.max(F.col("_cf_next").isNull()).alias("_cf_last"),
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.coalesce(F.col("_cf_next_cf_us") - F.col("_cf_us"), F.lit(0))).alias("_cf_gap"),
+        F.min("_cf_us").alias("_cf_t0"), F.max("_cf_us").alias("_cf_t1"), F.max(F.col("_cf_next_cf_us").isNull()).alias("_cf_last"),
     )
-    # a run has few stages
-    run = Window.partitionBy("run_id")
-    out = per_stage.withColumns({
-        "_cf_t0": F.min("_cf_t0").over(run), "_cf_t1": F.max("_cf_t1").over(run), "last_stage": F.max(F.when(F.col("_cf_last"), F.col("stage"))).over(run)})
+    per_stage = written_once(per_stage, "run-stages")  # read for the totals, the last stage and the stages
+    totals = per_stage.groupBy("run_id").agg(F.min("_cf_t0").alias("_cf_r0"), F.max("_cf_t1").alias("_cf_r1"))
+    last = per_stage.where("_cf_last").select("run_id", F.col("stage").alias("last_stage"))
+    out = per_stage.join(totals, "run_id").join(last, "run_id", "left")
     return out.select(
         "run_id", "stage", "n_lines",
         (F.col("_cf_gap") / F.lit(1e6)).alias("stage_seconds"),
-        ((F.col("_cf_t1") - F.col("_cf_t0")) / F.lit(1e6)).alias("run_seconds"),
+        ((F.col("_cf_r1") - F.col("_cf_r0")) / F.lit(1e6)).alias("run_seconds"),
         "last_stage",
         F.col("last_stage").contains(factors.SUCCESS_TEXT).alias("success"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cellflux.functions import geometry as geo
 from cellflux.functions import timefmt
+from cellflux.operators.aggregate import range_serial
 from cellflux.operators.grid import Grid
 
 # The 1 km inventory grid in its own units (cells are unit squares) and the
@@ -207,10 +208,18 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The routes' stops: (route, total_sing, pos, stop_key)."""
-    from cellflux.plans.inventory import route_stops as explode
+    """The stops of the same routes as a table of one row a stop: (route, total_sing, pos, stop_key), pos from 1.
 
-    return explode(routes(spark, sf_dir))
+    Positions are numbered over range slices, so a route may hold any share of the stops.
+    """
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("route"), (F.col("o_custkey") % 20).alias("total_sing"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("route"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    rows = range_serial(o.join(li, "route"), ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], ["route", "total_sing"], name="_n")
+    odd = (F.col("route") % 50 == 0)
+    pos = F.when(odd & (F.col("_n") > 1), F.col("_n") + 1).otherwise(F.col("_n")).cast("int").alias("pos")
+    named = rows.select("route", "total_sing", pos, F.concat(F.lit("stop"), F.col("l_partkey").cast("string")).alias("stop_key"))
+    lost = rows.where(odd & (F.col("_n") == 1)).select("route", "total_sing", F.lit(2).alias("pos"), F.lit("nosuchstop").alias("stop_key"))
+    return named.unionAll(lost)
 
 
 def diamond(x: F.Column, y: F.Column, a: F.Column, b: F.Column) -> F.Column:
