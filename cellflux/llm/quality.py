@@ -4,8 +4,10 @@ A line (split at newline) is normalised: A-Z lower-cased, runs of ASCII
 space made one, ends trimmed; lines without a word don't count.  For every
 (host, line) the distinct documents that hold it are counted.  Copies must
 not make a line look like boilerplate, so documents are told apart by a
-digest of their whole normalised text, which copies share.  A line is frequent in a host if at least ``MIN_DOCS``
-distinct documents and more than ``SHARE`` of the host's hold it.  A
+digest of their whole normalised text, which copies share.  A line is
+frequent in a host if at least ``MIN_DOCS`` distinct documents hold it, and
+either more than ``SHARE`` of the host's or at least ``MANY_DOCS``: the limit
+doesn't fade as hosts grow.  A
 document that would lose more than ``DEPLETED`` of its words with its
 frequent lines is rejected; one whose own counts fail is rejected anyway.
 ``accepted`` returns the kept documents with their frequent lines cut from
@@ -16,8 +18,9 @@ and distinct line, reduced before the shuffle, so a host with a third of
 all rows is no burden on one task.
 
 Defined results: null or empty text has no words and fails; a null host is
-a host of its own; rows equal in doc_id and text get equal verdicts; extra
-columns are ignored.
+a host of its own; rows equal in doc_id and text get equal verdicts; a text of
+any length is one row of a task; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from cellflux.llm.common import (
 )
 
 MIN_WORDS, MOST_REPEATED = 50, 50  # words; per cent of words in repeated 3-word windows
-MIN_DOCS, SHARE, DEPLETED = 20, 0.1, 0.5
+MIN_DOCS, MANY_DOCS, SHARE, DEPLETED = 20, 200, 0.1, 0.5
 SYMBOLS = byte_class(b"#*$%&|<>")
 HEAD = byte_class(bytes(range(0x80, 0xC0)), invert=True)  # first bytes of code points
 NEWLINE = byte_class(b"\n", invert=True)
@@ -116,12 +119,12 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, many_docs: int = MANY_DOCS) -> DataFrame:
     """Per row: doc_id, key, the counts, n_frequent (words in its frequent lines), base_failed, kept."""
-    return judged(docs, host, min_docs, share, depleted).drop("cut")
+    return judged(docs, host, min_docs, share, depleted, many_docs).drop("cut")
 
 
-def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
+def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, many_docs: int = MANY_DOCS) -> DataFrame:
     """``verdicts``, and cut: the hashes of the row's frequent lines (null: none)."""
     prepare(docs.sparkSession)
     got = materialise(measured(docs, host), "quality")
@@ -129,7 +132,7 @@ def judged(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, shar
     of_host = got.where("digest IS NOT NULL").select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     of_line = lines.select("host", "h", "digest").distinct().groupBy("host", "h").agg(F.count("*").alias("held"))
     f = of_line.where(F.col("held") >= min_docs).alias("f")
-    frequent = f.join(of_host.alias("o"), same(F.col("f.host"), F.col("o.host"))).where(F.col("held") > F.col("docs") * share).select(F.col("f.host").alias("fh"), F.col("h").alias("fl"))
+    frequent = f.join(of_host.alias("o"), same(F.col("f.host"), F.col("o.host"))).where((F.col("held") > F.col("docs") * share) | (F.col("held") >= many_docs)).select(F.col("f.host").alias("fh"), F.col("h").alias("fl"))
     # one row for each distinct (doc_id, key), as equal rows have equal lines
     hit = lines.dropDuplicates(["doc_id", "key", "host", "h"]).join(frequent, same(F.col("host"), F.col("fh")) & (F.col("h") == F.col("fl")))
     hit = hit.groupBy(F.col("doc_id").alias("__cf_id"), F.col("key").alias("__cf_key"), F.col("host").alias("__cf_host")).agg(F.sum("n").alias("n_frequent"), F.collect_list("h").alias("cut"))
@@ -172,9 +175,9 @@ ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
 ), ln AS (
-  SELECT doc_id, source, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+  SELECT doc_id, source, i, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
     md5(trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS h
-  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM d)
+  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM d)
 ), full_ln AS (
   SELECT * FROM ln WHERE n > 0
 ), dup AS (
@@ -186,13 +189,13 @@ WITH d AS (
 ), rep AS (
   SELECT doc_id, count(DISTINCT p) AS n_rep FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g2) GROUP BY doc_id
 ), sk AS (
-  SELECT doc_id, source, min(h[1:16]) AS s FROM full_ln GROUP BY doc_id, source
+  SELECT doc_id, source, string_agg(h[1:16], '' ORDER BY i) AS s FROM full_ln GROUP BY doc_id, source
 ), hosts AS (
   SELECT source, count(DISTINCT s) AS docs FROM sk GROUP BY source
 ), held AS (
   SELECT f.source, f.h[1:16] AS h, count(DISTINCT sk.s) AS held FROM full_ln f JOIN sk USING (doc_id) GROUP BY f.source, f.h[1:16]
 ), frequent AS (
-  SELECT held.source, h FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source WHERE held >= 20 AND held > docs * 0.1
+  SELECT held.source, h FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source WHERE held >= 20 AND (held > docs * 0.1 OR held >= 200)
 ), lost AS (
   SELECT f.doc_id, sum(f.n) AS n_lost FROM full_ln f JOIN frequent q ON q.source IS NOT DISTINCT FROM f.source AND q.h = f.h[1:16] GROUP BY f.doc_id
 ), c AS (

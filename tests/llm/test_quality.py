@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
+import duckdb
 from cellflux.llm import quality
 from corpora import ODD, documents
 
@@ -70,6 +71,35 @@ def test_distinct_texts_that_share_their_smallest_line(spark):
     assert all(got[100 + i] == (True, 0) for i in range(30))
 
 
+def test_limit_of_a_large_host(spark):
+    """A line of 30 documents is no tenth of a host of 400, but above the limit that doesn't grow with the host."""
+    rows = [(i, f"{MENU}\n" + " ".join(f"y{i}x{k}" for k in range(30)), "h") for i in range(30)] + [(100 + i, good(100 + i), "h") for i in range(370)]
+    docs = documents(spark, rows)
+    assert all(r.kept for r in quality.verdicts(docs).collect())
+    got = {r.doc_id: r.kept for r in quality.verdicts(docs, many_docs=30).collect()}
+    assert [d for d, k in sorted(got.items()) if not k] == list(range(30))
+
+
+def test_query_and_sql_agree_where_lines_reject(spark, tmp_path):
+    """Boilerplate of distinct texts, of texts that share their smallest line, of copies, and of hosts below and above the limits."""
+    low = min((f"{MENU} {k}" for k in range(3000)), key=lambda x: quality.line_hash(x.encode()))
+    rows = [(i, f"{low}\n" + " ".join(f"y{i}x{k}" for k in range(30)), "low") for i in range(30)]
+    rows += [(100 + i, f"{MENU}\n\n" + " ".join(f"z{i}x{k}" for k in range(30)), "few") for i in range(19)]
+    rows += [(200 + i, f"{MENU} \n{good(5)}", "copies") for i in range(60)]
+    rows += [(300 + i, f"  {MENU.upper()}\n{MENU}\n" + " ".join(f"q{i}x{k}" for k in range(40)), None) for i in range(25)]
+    rows += [(1000 + i, (f"{MENU}\n" if i < 210 else "") + " ".join(f"v{i}x{k}" for k in range(55)), "large") for i in range(2400)]
+    rows += [(5000 + i, t, "odd") for i, (_, t) in enumerate(ODD) if t is None or len(t) < 1000]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    sql = con.execute(quality.ORACLE).fetchall()
+    names = [c[0] for c in con.description]
+    got = quality.op8(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(sql)
+    lost = {r.doc_id for r in got if not r.kept and not r.base_failed}
+    assert lost == {*range(30), *range(300, 325), *range(1000, 1210)}
+
+
 def test_frequent_lines_are_cut(spark):
     """Kept texts lose their host's frequent lines, in any case and spacing and wherever they stand, and nothing else."""
     menu, rows, want = "Home | Share this", [], []
