@@ -155,7 +155,7 @@ def learn_stems(rows: DataFrame) -> dict[str, float]:
     per = per.select(stem, "pos", "neg").where("stem IS NOT NULL").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / n[1]) - F.log((F.col("neg") + 0.5) / n[0])
     found = per.where(F.col("pos") >= max(LEAST_DOCS, LEAST_SHARE * n[1])).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
-    found = {r["stem"]: (r["pos"], r["odds"]) for r in found.orderBy(F.desc("pos"), "stem").limit(5000).collect()}
+    found = {r["stem"]: (r["pos"], r["odds"]) for r in found.orderBy(F.desc("pos"), "stem").collect()}  # of a bounded sample's words
     stems: dict[str, float] = {}
     for s in sorted(found, key=len):
         if any(s[:k] in stems for k in range(1, len(s))):

@@ -13,15 +13,18 @@ other keys of the corpus that the first lets through, the third the listed
 keys that the second lets through, and so on until a level would be empty.  A
 key of the corpus is listed just if the number of levels in a row that hold it
 is odd, so verdicts have no false hits and no misses.  Pages are then judged
-in one pass with no shuffle.
+in passes with no shuffle.
 
-Each bitmap has 2**27 bits at most, whatever the list's size.  A list
-with more than ``MOST_KEYS`` keys would fill it, and is joined on its keys
-instead.
+Each bitmap has 2**27 bits at most, whatever the list's size.  Keys are dealt
+by their hash to as many parts as the list has times ``MOST_KEYS`` keys, each
+with cascades of its own; a pass judges the keys of one part and keeps the
+longest listed so far, so the bitmaps of one part are all that is broadcast
+at a time.  A list of up to ``MOST_KEYS`` is one part and one pass.
 
 Defined results: a null url or one without ``://`` has an empty host and
 path; without a fitting rule the verdict is ``allow`` and the rule null; rows
-that repeat are judged alike; extra columns are ignored.
+that repeat are judged alike; a url of any length is judged whole; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ from pyspark.sql import types as T
 from cellflux.llm.common import bloom, bloom_bits, in_bloom, materialise, prepare, table
 
 DEFAULT = "allow"
-MOST_KEYS = 1 << 23
+MOST_KEYS = 1 << 23  # listed keys in one part
+PART_SHIFT = 40  # the hash's bits above choose the part
 #: The rules of the registered query (fixed by its contract).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
@@ -112,42 +116,52 @@ def judged(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", most_
         raise ValueError("verdicts are allow or block")
     rows = pages.select(F.col(id_column).alias("id"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     rows = rows.withColumn("keys", keys(lengths))
-    if rules.count() > most_keys:
-        return _by_join(rows, rules, id_column)
     universe = rows.select(F.explode("keys").alias("k")).select("k.key", "k.h1", "k.h2").distinct()
     universe = universe.join(rules.select("key", "verdict"), "key", "left").select("h1", "h2", *[F.coalesce(F.col("verdict") == v, F.lit(False)).alias(v) for v in verdicts])
     universe = materialise(universe, "url-keys")
-    cascades = spark.sparkContext.broadcast({v: build(universe, v, per_key, least_log2) for v in verdicts})
+    parts = max(1, -(-rules.count() // most_keys))
+    keys_type, id_type, text, whole = rows.schema["keys"], rows.schema["id"].dataType, T.StringType(), T.LongType()
+    state = rows.select("id", "host", "path", "keys", F.lit(-1).cast("long").alias("best"), F.lit(DEFAULT).alias("verdict"))
+    for part in range(parts):
+        mine = universe.where(F.pmod(F.shiftrightunsigned("h1", PART_SHIFT), F.lit(parts)) == part)
+        cascades = spark.sparkContext.broadcast({v: build(mine, v, per_key, least_log2) for v in verdicts})
+        last = part == parts - 1
+        names = [(id_column, id_type), ("host", text), ("path", text), *([("rule", text)] if last else [("keys", keys_type.dataType), ("best", whole)]), ("verdict", text)]
+        state = state.mapInArrow(_pass(cascades, part, parts, [n for n, _ in names], last), T.StructType([T.StructField(*f) for f in names]))
+        if not last:
+            state = materialise(state.withColumnRenamed(id_column, "id"), "url-pass")
+            cascades.unpersist()
+    return state
+
+
+def _pass(cascades, part: int, parts: int, names: list[str], last: bool):
+    """Judges the keys of one part: keeps each row's longest listed key (its place in ``keys``) and that one's verdict."""
 
     def run(batches):
         for b in batches:
             every = b.column("keys")
             flat = every.flatten()
             size = every.value_lengths().to_numpy()
+            begin = np.cumsum(size) - size
             row = np.repeat(np.arange(len(b)), size)
             h1, h2 = (flat.field(c).to_numpy().view(np.uint64) for c in (1, 2))
-            rule = np.full(len(b), -1)
-            verdict = np.full(len(b), DEFAULT, object)
+            mine = np.flatnonzero((h1 >> np.uint64(PART_SHIFT)) % np.uint64(parts) == part)
+            best = b.column("best").to_numpy().copy()
+            verdict = np.array(b.column("verdict").to_pylist(), object)
             for v, levels in cascades.value.items():
-                hit = np.flatnonzero(member(levels, h1, h2))
+                hit = mine[member(levels, h1[mine], h2[mine])]
                 first = hit[np.flatnonzero(np.diff(row[hit], prepend=-1))]  # the longest listed key of each row
-                sooner = first[(rule[row[first]] < 0) | (first < rule[row[first]])]
-                rule[row[sooner]] = sooner
-                verdict[row[sooner]] = v
-            found = pa.array(np.maximum(rule, 0), pa.int64(), mask=rule < 0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "host", "path")), flat.field(0).take(found), pa.array(verdict, pa.string())], names=[id_column, "host", "path", "rule", "verdict"])
-
-    text = T.StringType()
-    schema = T.StructType([T.StructField(id_column, rows.schema["id"].dataType), *(T.StructField(c, text) for c in ("host", "path", "rule", "verdict"))])
-    return rows.mapInArrow(run, schema)
-
-
-def _by_join(rows: DataFrame, rules: DataFrame, id_column: str) -> DataFrame:
-    """The same for lists too long for bitmaps: distinct (host, path) are joined to the rules on their keys."""
-    hit = rows.select("host", "path", "keys").dropDuplicates(["host", "path"]).select("host", "path", F.posexplode("keys").alias("at", "k"))
-    hit = hit.join(rules, F.col("k.key") == F.col("key")).groupBy("host", "path").agg(F.min(F.struct("at", "key", "verdict")).alias("r"))
-    return rows.join(hit, ["host", "path"], "left").select(
-        F.col("id").alias(id_column), "host", "path", F.col("r.key").alias("rule"), F.coalesce("r.verdict", F.lit(DEFAULT)).alias("verdict"))
+                at = first - begin[row[first]]
+                sooner = (best[row[first]] < 0) | (at < best[row[first]])
+                best[row[first[sooner]]] = at[sooner]
+                verdict[row[first[sooner]]] = v
+            if last:
+                found = [flat.field(0).take(pa.array(np.where(best < 0, 0, begin + best), pa.int64(), mask=best < 0))]
+            else:
+                found = [every, pa.array(best, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "host", "path")), *found, pa.array(verdict, pa.string())], names=names)
+
+    return run
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def pages(spark):
     return rows, spark.createDataFrame(rows, "page_id long, url string, key string")
 
 
-@pytest.mark.parametrize("how", [{}, {"least_log2": 6}, {"most_keys": 1}])
+@pytest.mark.parametrize("how", [{}, {"least_log2": 6}, {"most_keys": 1}, {"most_keys": 3, "least_log2": 6}])
 def test_verdicts(spark, how):
     rows, df = pages(spark)
     got = urls.judged(df, spark.createDataFrame(RULES, "verdict string, host string, path string"), **how).collect()
