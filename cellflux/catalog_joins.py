@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cellflux.functions import numeric
 from cellflux.operators import aggregate as agg
-from cellflux.operators import axis, bands, fields, overlay, positions, tiles
+from cellflux.operators import axis, bands, dissolve, fields, overlay, positions, spatial, tiles
 from cellflux.oracle import Q, with_ctes
 from cellflux.plans import stations
 from cellflux.session import scratch_path
@@ -81,8 +81,6 @@ def reshaped_field(spark: SparkSession, sf: str) -> DataFrame:
 
 def ward_households(spark: SparkSession, sf: str) -> DataFrame:
     """A ward's households divided equally over the industry points strictly inside it."""
-    from cellflux.operators import spatial
-
     pts = fx.industry(spark, sf).select("ind_id", "x", "y")
     inside = spatial.points_in_polygons(pts, fx.wards(spark, sf), fx.INVENTORY_GRID, point_key="ind_id", poly_key="wrd")
     census = fx.census(spark, sf).select(F.col("tvw").alias("wrd"), "no_of_households")
@@ -106,10 +104,20 @@ def station_json_files(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("system_id", "description", at[0].cast("double").alias("lon"), at[1].cast("double").alias("lat"), at[2].cast("double").alias("elevation"))
 
 
+def road_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells each road line meets, dissolved: sides, area, and shells less holes."""
+    segs = spatial.polyline_segments(fx.road_layer(spark, sf))
+    cells = spatial.segment_cells(segs, fx.INVENTORY_GRID).select("road_id", "ix", "iy")
+    rings = dissolve.ring_areas(dissolve.rings(cells, ["road_id"]), ["road_id"])
+    shell = F.when(F.col("area") > 0, 1).otherwise(-1)
+    return rings.groupBy("road_id").agg(F.sum("sides").alias("sides"), F.sum("area").alias("area"), F.sum(shell).alias("euler"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uneven_axis_index": uneven_axis_index,
     "site_urban_area": site_urban_area,
     "site_urban_pieces": site_urban_pieces,
+    "road_outlines": road_outlines,
     "zipped_files": zipped_files,
     "station_bands": station_bands,
     "tiled_field": tiled_field,
@@ -145,6 +153,18 @@ _SITE_URBAN = f"""SELECT ind_id, urban_id, {Q('area', 30)} AS area FROM (
     WHERE t1 IS NOT NULL
   GROUP BY ind_id, urban_id) WHERE area > 1e-9"""
 
+# the cells of 60 x 50 that a road's two segments meet: closed boxes, by separating axes
+_LINE_CELLS = """SELECT road_id, ix, iy FROM (SELECT *, unnest(range(greatest(0, cast(floor(least(ax, bx)) AS bigint) - 1), least(59, cast(floor(greatest(ax, bx)) AS bigint)) + 1)) AS ix,
+        ay AS ay_ FROM (
+      SELECT o_orderkey AS road_id, x AS ax, y AS ay, x + (c % 30) / 10e0 AS bx, y + (o_orderkey % 20) / 10e0 AS by_ FROM (
+        SELECT o_orderkey, o_custkey AS c, (o_orderkey * 7919 % 57000) / 1000e0 AS x, (o_custkey * 104729 % 47000) / 1000e0 AS y FROM orders)
+      UNION ALL SELECT o_orderkey, x + (c % 30) / 10e0, y + (o_orderkey % 20) / 10e0, x + (c % 30) / 10e0, y + 2.5e0 FROM (
+        SELECT o_orderkey, o_custkey AS c, (o_orderkey * 7919 % 57000) / 1000e0 AS x, (o_custkey * 104729 % 47000) / 1000e0 AS y FROM orders)) s) s,
+    (SELECT unnest(range(0, 50)) AS iy) g
+    WHERE iy <= greatest(ay, by_) AND iy + 1 >= least(ay, by_) AND ix <= greatest(ax, bx) AND ix + 1 >= least(ax, bx)
+      AND NOT (least((bx-ax)*(iy-ay) - (by_-ay)*(ix-ax), (bx-ax)*(iy-ay) - (by_-ay)*(ix+1-ax), (bx-ax)*(iy+1-ay) - (by_-ay)*(ix-ax), (bx-ax)*(iy+1-ay) - (by_-ay)*(ix+1-ax)) > 0
+            OR greatest((bx-ax)*(iy-ay) - (by_-ay)*(ix-ax), (bx-ax)*(iy-ay) - (by_-ay)*(ix+1-ax), (bx-ax)*(iy+1-ay) - (by_-ay)*(ix-ax), (bx-ax)*(iy+1-ay) - (by_-ay)*(ix+1-ax)) < 0)"""
+
 _TOTAL = "SELECT species, month, lat_idx, lon_idx, sum(emi) AS emi FROM sector_fields GROUP BY ALL"
 
 SQL: dict[str, str] = {
@@ -156,6 +176,14 @@ SQL: dict[str, str] = {
         SELECT t.sounding, t.layer, t.asked, coalesce(near.level, -1) AS level FROM t LEFT JOIN near ON near.id = t.id AND near.n = 1""",
     "site_urban_area": with_ctes(["sites", "urban"], _SITE_URBAN),
     "site_urban_pieces": with_ctes(["sites", "urban"], _SITE_URBAN),
+    # shells less holes of cells that share sides: cells - shared sides + full blocks of four; sides: four a cell, less two for each shared one
+    "road_outlines": f"""WITH c AS (SELECT DISTINCT road_id, ix, iy FROM ({_LINE_CELLS})),
+        n AS (SELECT road_id, count(*) AS cells FROM c GROUP BY road_id),
+        e AS (SELECT a.road_id, count(*) AS shared FROM c a JOIN c b ON a.road_id = b.road_id AND (b.ix = a.ix + 1 AND b.iy = a.iy OR b.ix = a.ix AND b.iy = a.iy + 1) GROUP BY a.road_id),
+        q AS (SELECT a.road_id, count(*) AS blocks FROM c a JOIN c b ON a.road_id = b.road_id AND b.ix = a.ix + 1 AND b.iy = a.iy
+          JOIN c d ON a.road_id = d.road_id AND d.ix = a.ix AND d.iy = a.iy + 1 JOIN c f ON a.road_id = f.road_id AND f.ix = a.ix + 1 AND f.iy = a.iy + 1 GROUP BY a.road_id)
+        SELECT n.road_id, 4 * cells - 2 * coalesce(shared, 0) AS sides, cast(cells AS double) AS area, cells - coalesce(shared, 0) + coalesce(blocks, 0) AS euler
+        FROM n LEFT JOIN e USING (road_id) LEFT JOIN q USING (road_id)""",
     "zipped_files": """SELECT coalesce(a.pos, b.pos) AS pos, coalesce(event_id, -1) AS event_id, coalesce(user_id, -1) AS user_id, coalesce(o_orderkey, -1) AS o_orderkey, coalesce(o_custkey, -1) AS o_custkey
         FROM (SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events) a
         FULL JOIN (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey DESC) - 1 AS pos FROM orders) b ON a.pos = b.pos""",
