@@ -18,6 +18,7 @@ from cellflux.plans import stations
 from cellflux.session import scratch_path
 from cellflux.sources import fixtures as fx
 from cellflux.sources import writers
+from cellflux.streaming import sensor
 
 TILE = 7  # the fixture's fields are 18 x 36
 
@@ -113,6 +114,27 @@ def road_outlines(spark: SparkSession, sf: str) -> DataFrame:
     return rings.groupBy("road_id").agg(F.sum("sides").alias("sides"), F.sum("area").alias("area"), F.sum(shell).alias("euler"))
 
 
+def _resent(spark: SparkSession, sf: str) -> tuple[str, object]:
+    """The events in files by time, every tenth sent a second time, at the end of its own file or of the next."""
+    e = fx.table(spark, sf, "events")
+    path = scratch_path(spark, "resent")
+    e.unionByName(e.where(F.col("event_id") % 10 == 0)).repartitionByRange(5, "ts").sortWithinPartitions(F.col("event_id") % 10 == 0, "ts").write.parquet(path)
+    return path, e.schema
+
+
+def stream_resent(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream in which readings are sent again; each is stored once.
+
+    The files are written at the same time, so they arrive in any order of their times: the delay covers them all.
+    """
+    return sensor.run_resent_stream(spark, *_resent(spark, sf), delay="3650 days").select("sno", "station_id", "time", "pm05", "pm25")
+
+
+def stream_newest_state(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the newest reading per station kept in the state store."""
+    return sensor.run_newest_stream(spark, *_resent(spark, sf)).select("station_id", "sno", "time", "pm05", "pm25")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uneven_axis_index": uneven_axis_index,
     "site_urban_area": site_urban_area,
@@ -125,6 +147,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ward_households": ward_households,
     "stacked_months": stacked_months,
     "station_json_files": station_json_files,
+    "stream_resent": stream_resent,
+    "stream_newest_state": stream_newest_state,
 }
 
 
@@ -199,5 +223,8 @@ SQL: dict[str, str] = {
         FROM industry i JOIN wards w ON i.x > w.x0 AND i.x < w.x1 AND i.y > w.y0 AND i.y < w.y1 JOIN census c ON c.tvw = w.wrd"""),
     "stacked_months": with_ctes(["sector_fields"], f"""SELECT species, month, cast(date_diff('day', DATE '1970-01-01', make_date(2010, month, 1)) AS int) AS time_days, {Q('sum(emi)', 40)} AS emi
         FROM sector_fields GROUP BY species, month"""),
+    "stream_resent": with_ctes(["readings"], "SELECT sno, station_id, time, pm05, pm25 FROM readings"),
+    "stream_newest_state": with_ctes(["readings"], """SELECT station_id, sno, time, pm05, pm25 FROM readings
+        QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY sno DESC) = 1"""),
     "station_json_files": with_ctes(["stations"], "SELECT cast(cast(code AS bigint) AS string) AS system_id, name AS description, lon, lat, elevation FROM stations"),
 }

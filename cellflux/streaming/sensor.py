@@ -135,6 +135,45 @@ def publish_latest(stream: DataFrame, target: str, checkpoint: str, by: Sequence
     )
 
 
+def without_resent(stream: DataFrame, by: Sequence[str] = ("station_id", "sno"), delay: str = "1 day", ts: str = "ts") -> DataFrame:
+    """Each reading once, however often it is sent.
+
+    The keys seen are kept in the state store for ``delay`` of event time
+    after their reading; a copy sent later than that is late and dropped as
+    such, so the state is bounded by the readings of one ``delay``.
+    """
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(by))
+
+
+def newest_by_key(stream: DataFrame, by: Sequence[str] = ("station_id",), order: str = "sno") -> DataFrame:
+    """S3: the newest row of each key as a running aggregate: one row a key in the state store (update mode emits those that change).
+
+    Late or resent rows never replace a newer one.
+    """
+    rest = [c for c in stream.columns if c not in by and c != order]
+    return stream.groupBy(*by).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in rest])
+
+
+def publish_changes(newest: DataFrame, target: str, checkpoint: str):
+    """SK7 from the state store: every micro-batch writes only the keys that changed, in a folder of its epoch.
+
+    A replayed epoch overwrites its own folder with the same rows, so a crash
+    at any point loses and doubles nothing; ``current`` reads the table.
+    """
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/epoch={epoch_id}")
+
+    return newest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, target: str, by: Sequence[str] = ("station_id",)) -> DataFrame:
+    """The newest row of each key: its last change (a partial aggregate by epoch; no key is gathered)."""
+    changes = spark.read.parquet(target)
+    last = changes.groupBy(*by).agg(F.max("epoch").alias("epoch"))
+    return changes.join(last, [*by, "epoch"]).drop("epoch")
+
+
 def windowed_mass(masses: DataFrame, window: str = "1 hour", watermark: str = "2 hours",
                   by: Sequence[str] = ("station_id",)) -> DataFrame:
     """Tumbling-window mean of corrected mass per station, late data bounded by a watermark."""
@@ -178,6 +217,23 @@ def run_latest_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: i
     return empty if version is None else spark.read.parquet(version)
 
 
+def run_resent_stream(spark: SparkSession, folder: str, schema, max_files_per_trigger: int | None = 1, delay: str = "1 day") -> DataFrame:
+    """Run S2 over a folder of readings, some sent again, to completion; return the appended table.
+
+    ``delay`` must cover how far files arrive out of the order of their times.
+    """
+    stream = read_sensor_stream(spark, folder, "parquet", schema, max_files_per_trigger)
+    return _run(without_resent(readings_from_events(stream), delay=delay), "resent")
+
+
+def run_newest_stream(spark: SparkSession, folder: str, schema, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Run S3 from the state store over a folder of readings to completion; return the newest reading per station."""
+    out = scratch_path(spark, "changes")
+    stream = readings_from_events(read_sensor_stream(spark, folder, "parquet", schema, max_files_per_trigger))
+    publish_changes(newest_by_key(stream.select("station_id", "sno", "time", "pm05", "pm25")), out, out + "-ckpt").awaitTermination()
+    return current(spark, out)
+
+
 def run_hourly_stream(spark: SparkSession, sf_dir: str, weather: DataFrame,
                       window: str = "1 hour", watermark: str = "2 hours",
                       max_files_per_trigger: int | None = None) -> DataFrame:
