@@ -291,46 +291,48 @@ def polygon_cell_pieces(polys: DataFrame, grid: Grid, rings: str = "rings") -> D
     return cand.select(*keep, "ix", "iy", grid.gid(F.col("ix"), F.col("iy")).alias("gid"), "piece", F.coalesce(geo.polygon_area(F.col("piece")), F.lit(0.0)).alias("cell_area"))
 
 
-def _ring_area_in(ring: Column, xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
-    """Area of a ring inside a box, in one pass over its edges.
-
-    It is the (signed) sum over the edges of the height between the box's
-    floor and the edge, cut at the box's top, across the part of the edge
-    over the box.
-    """
-    height = ymax - ymin
-
-    def step(acc, e):
-        u0 = F.least(F.greatest(e["ax"], xmin), xmax)
-        u1 = F.least(F.greatest(e["bx"], xmin), xmax)
-        slope = (e["by"] - e["ay"]) / (e["bx"] - e["ax"])
-        y0, y1 = e["ay"] + (u0 - e["ax"]) * slope, e["ay"] + (u1 - e["ax"]) * slope
-        lo, hi = F.least(y0, y1), F.greatest(y0, y1)
-        a, b = F.greatest(lo, ymin), F.least(hi, ymax)  # the heights inside the box
-        inside = F.greatest(b - a, F.lit(0.0)) * ((a + b) / 2.0 - ymin)
-        above = F.greatest(hi - F.greatest(lo, ymax), F.lit(0.0)) * height
-        mean = F.when(hi > lo, (inside + above) / (hi - lo)).otherwise(F.least(F.greatest(lo - ymin, F.lit(0.0)), height))
-        return acc + F.when(u0 != u1, (u1 - u0) * mean).otherwise(0.0)
-
-    return F.abs(F.aggregate(geo.ring_edges(ring), F.lit(0.0), step))
+def mean_height(a: Column, b: Column, floor: Column, top: Column) -> Column:
+    """Mean height above ``floor``, cut at ``top``, of a line that goes from height a to height b."""
+    lo, hi = F.least(a, b), F.greatest(a, b)
+    p, q = F.greatest(lo, floor), F.least(hi, top)
+    inside = F.greatest(q - p, F.lit(0.0)) * ((p + q) / 2.0 - floor)
+    above = F.greatest(hi - F.greatest(lo, top), F.lit(0.0)) * (top - floor)
+    level = F.least(F.greatest(lo - floor, F.lit(0.0)), top - floor)
+    return F.when(hi > lo, (inside + above) / (hi - lo)).otherwise(level)
 
 
 def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame:
     """(polygon, cell, area inside) for every cell the polygon overlaps; overlaps below 1e-12 of a cell are rounding.
 
-    The area alone needs no clipped rings (``polygon_cell_pieces`` has them).
+    A polygon is the signed sum of the regions below its edges.  Each edge is
+    cut to the columns of cells it crosses and adds, to every cell from the
+    polygon's lowest row up to its own height, the area below it in that cell;
+    one hash aggregate on (polygon, cell) sums them.  Columns of ``polys`` but
+    the rings are kept; ``key`` names a polygon among them.  (The area alone
+    needs no clipped rings; ``polygon_cell_pieces`` has them.)
     """
-    b = geo.bounds(F.col("rings"))
-    ia, ib = grid.col_range(b["xmin"], b["xmax"])
-    ja, jb = grid.row_range(b["ymin"], b["ymax"])
-    cand = polys.withColumn("poly_area", geo.polygon_area(F.col("rings"))).withColumn("ix", explode_range(ia, ib)).withColumn("iy", explode_range(ja, jb))
-    cand = cand.withColumns({"_cf_x0": grid.xmin(F.col("ix")), "_cf_x1": grid.xmax(F.col("ix")), "_cf_y0": grid.ymin(F.col("iy")), "_cf_y1": grid.ymax(F.col("iy"))})
-    areas = F.transform("rings", lambda r: _ring_area_in(r, F.col("_cf_x0"), F.col("_cf_y0"), F.col("_cf_x1"), F.col("_cf_y1")))
-    cand = cand.withColumn("_cf_areas", areas)
-    shell = F.get("_cf_areas", 0)
-    cand = cand.withColumn("cell_area", shell - (F.aggregate("_cf_areas", F.lit(0.0), lambda acc, a: acc + a) - shell))
-    cand = cand.where(F.col("cell_area") > 1e-12 * grid.dx * grid.dy).withColumn("gid", grid.gid(F.col("ix"), F.col("iy")))
-    return cand.select(*polys.columns, "ix", "iy", "gid", "cell_area", "poly_area")
+    c = F.col
+    keep = [x for x in polys.columns if x != "rings"]
+    low, _ = grid.row_range(geo.bounds(c("rings"))["ymin"], geo.bounds(c("rings"))["ymin"])
+    rings = polys.select(*keep, "rings", geo.polygon_area(c("rings")).alias("poly_area"), low.alias("_cf_ja"))
+    rings = rings.select(*keep, "poly_area", "_cf_ja", F.posexplode("rings").alias("_cf_r", "_cf_ring"))
+    turn = F.signum(geo.signed_area(c("_cf_ring"))) * F.when(c("_cf_r") == 0, 1.0).otherwise(-1.0)
+    e = rings.select(*keep, "poly_area", "_cf_ja", turn.alias("_cf_turn"), F.explode(geo.ring_edges(c("_cf_ring"))).alias("_cf_e")).where("_cf_e.ax <> _cf_e.bx")
+    back = c("_cf_e.ax") > c("_cf_e.bx")
+    pick = lambda p, q: F.when(back, c(f"_cf_e.{p}")).otherwise(c(f"_cf_e.{q}"))
+    e = e.select(*keep, "poly_area", "_cf_ja", (F.when(back, 1.0).otherwise(-1.0) * c("_cf_turn")).alias("_cf_s"),
+                 pick("bx", "ax").alias("_cf_x0"), pick("by", "ay").alias("_cf_y0"), pick("ax", "bx").alias("_cf_x1"), pick("ay", "by").alias("_cf_y1"))
+    ia, ib = grid.col_range(c("_cf_x0"), c("_cf_x1"))
+    e = e.withColumn("_cf_slope", (c("_cf_y1") - c("_cf_y0")) / (c("_cf_x1") - c("_cf_x0"))).withColumn("ix", explode_range(ia, ib))
+    e = e.withColumns({"_cf_l": F.greatest(c("_cf_x0"), grid.xmin(c("ix"))), "_cf_u": F.least(c("_cf_x1"), grid.xmax(c("ix")))}).where("_cf_l < _cf_u")
+    at = lambda x: F.when(c(x) == c("_cf_x0"), c("_cf_y0")).when(c(x) == c("_cf_x1"), c("_cf_y1")).otherwise(c("_cf_y0") + (c(x) - c("_cf_x0")) * c("_cf_slope"))
+    e = e.withColumns({"_cf_a": at("_cf_l"), "_cf_b": at("_cf_u")})
+    top = F.greatest("_cf_a", "_cf_b")
+    _, jb = grid.row_range(top, top)
+    e = e.withColumn("iy", explode_range(c("_cf_ja"), jb)).withColumns({"_cf_floor": grid.ymin(c("iy")), "_cf_top": grid.ymax(c("iy"))})
+    part = c("_cf_s") * (c("_cf_u") - c("_cf_l")) * mean_height(c("_cf_a"), c("_cf_b"), c("_cf_floor"), c("_cf_top"))
+    areas = e.groupBy(*keep, "poly_area", "ix", "iy").agg(F.sum(part).alias("cell_area")).where(c("cell_area") > 1e-12 * grid.dx * grid.dy)
+    return areas.select(*keep, "ix", "iy", grid.gid(c("ix"), c("iy")).alias("gid"), "cell_area", "poly_area")
 
 
 def polygons_touching_cells(polys: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
