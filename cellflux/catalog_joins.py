@@ -17,7 +17,7 @@ from cellflux.oracle import Q, with_ctes
 from cellflux.plans import stations
 from cellflux.session import scratch_path
 from cellflux.sources import fixtures as fx
-from cellflux.sources import writers
+from cellflux.sources import readers, writers
 from cellflux.streaming import sensor
 
 TILE = 7  # the fixture's fields are 18 x 36
@@ -114,6 +114,16 @@ def road_outlines(spark: SparkSession, sf: str) -> DataFrame:
     return rings.groupBy("road_id").agg(F.sum("sides").alias("sides"), F.sum("area").alias("area"), F.sum(shell).alias("euler"))
 
 
+def log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """SC8: daily logs as text files, every line with its number in its file."""
+    path = scratch_path(spark, "logs")
+    at = F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
+    lines = fx.run_log(spark, sf).select(F.dayofyear("ts").alias("day"), at, "line_no", F.concat_ws(" ", "line_no", "stage").alias("value"))
+    lines.repartition("day").sortWithinPartitions("day", "us", "line_no").select("day", "value").write.partitionBy("day").text(path)
+    got = readers.with_line_numbers(readers.read_logs(spark, f"{path}/day=*"), start=1)
+    return got.select(F.regexp_extract("file", r"day=(\d+)/", 1).cast("long").alias("day"), "line_no", F.col("value").alias("line"))
+
+
 def _resent(spark: SparkSession, sf: str) -> tuple[str, object]:
     """The events in files by time, every tenth sent a second time, at the end of its own file or of the next."""
     e = fx.table(spark, sf, "events")
@@ -147,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ward_households": ward_households,
     "stacked_months": stacked_months,
     "station_json_files": station_json_files,
+    "log_lines": log_lines,
     "stream_resent": stream_resent,
     "stream_newest_state": stream_newest_state,
 }
@@ -223,6 +234,8 @@ SQL: dict[str, str] = {
         FROM industry i JOIN wards w ON i.x > w.x0 AND i.x < w.x1 AND i.y > w.y0 AND i.y < w.y1 JOIN census c ON c.tvw = w.wrd"""),
     "stacked_months": with_ctes(["sector_fields"], f"""SELECT species, month, cast(date_diff('day', DATE '1970-01-01', make_date(2010, month, 1)) AS int) AS time_days, {Q('sum(emi)', 40)} AS emi
         FROM sector_fields GROUP BY species, month"""),
+    "log_lines": with_ctes(["run_log"], """SELECT dayofyear(ts) AS day, row_number() OVER (PARTITION BY dayofyear(ts) ORDER BY epoch_us(ts), line_no) AS line_no,
+        concat(line_no, ' ', stage) AS line FROM run_log"""),
     "stream_resent": with_ctes(["readings"], "SELECT sno, station_id, time, pm05, pm25 FROM readings"),
     "stream_newest_state": with_ctes(["readings"], """SELECT station_id, sno, time, pm05, pm25 FROM readings
         QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY sno DESC) = 1"""),

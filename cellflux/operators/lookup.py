@@ -17,7 +17,6 @@ def nearest_index(
     origin: float,
     step: float,
     n: int,
-    key: Sequence[str] = (),
     out: str = "nearest_idx",
 ) -> DataFrame:
     """Index of the axis value nearest each target; ties go to the upper
@@ -27,9 +26,9 @@ def nearest_index(
     index is arithmetic.  The decision uses the axis table's own values at
     the four indices around the arithmetic guess, so rounding in the guess
     cannot change the answer.  An axis is small, so Spark broadcasts each of
-    the four lookups by its size; the pick is an in-row CASE fold.  All input columns are kept (``key``
-    is accepted for compatibility), so lookups on several axes chain on one
-    lineage instead of being joined back.
+    the four lookups by its size; the pick is an in-row CASE fold.  All input
+    columns are kept, so lookups on several axes chain on one lineage instead
+    of being joined back.  (``axis.nearest_on_axis`` takes any sorted axis.)
     """
     keep = list(targets.columns)
     t = targets.withColumn("_cf_t", F.col(target))

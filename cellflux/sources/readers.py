@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,11 +85,18 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_line_numbers(lines: DataFrame, start: int = 0) -> DataFrame:
-    """Dense line numbers per file (one window per file)."""
-    from cellflux.operators.aggregate import serial
+    """Dense line numbers per file (rows of ``read_logs``, none left out).
 
-    flat = lines.select("*", F.col("line_order.block").alias("_cf_b"), F.col("line_order.pos").alias("_cf_p"))
-    return serial(flat, order=["_cf_b", "_cf_p"], by="file", name="line_no", start=start).drop("_cf_b", "_cf_p")
+    A line's number is its place in its block of the file plus the lines of
+    the blocks before: lines are counted by block, and only a file's blocks
+    are put in order, so a file of any length is many tasks' work.
+    """
+    rows = lines.select("*", F.col("line_order.block").alias("_cf_b"), F.col("line_order.pos").alias("_cf_p"))
+    blocks = rows.groupBy(F.col("file").alias("_cf_f"), F.col("_cf_b").alias("_cf_k")).agg(F.min("_cf_p").alias("_cf_p0"), F.count(F.lit(1)).alias("_cf_n"))
+    upto = Window.partitionBy("_cf_f").orderBy("_cf_k")
+    blocks = blocks.withColumn("_cf_before", F.sum("_cf_n").over(upto) - F.col("_cf_n"))
+    out = rows.join(blocks, (F.col("file") == F.col("_cf_f")) & (F.col("_cf_b") == F.col("_cf_k")))
+    return out.withColumn("line_no", F.col("_cf_p") - F.col("_cf_p0") + F.col("_cf_before") + F.lit(start)).drop("_cf_b", "_cf_p", "_cf_f", "_cf_k", "_cf_p0", "_cf_n", "_cf_before")
 
 
 def read_sensor_stream(spark: SparkSession, path: str, fmt: str = "text", schema: T.StructType | None = None,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cellflux.operators import bands, positions, tiles
 from cellflux.session import scratch_path
+from cellflux.sources import readers
 
 
 # ---------------------------------------------------------------------------
@@ -47,6 +48,20 @@ def test_positions_hold_over_many_blocks_of_one_file(spark):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_line_numbers_over_many_blocks(spark):
+    """Two files, read in small blocks: lines are numbered file by file."""
+    path = scratch_path(spark, "lines")
+    for name, n in (("a", 9000), ("b", 40)):
+        spark.range(0, n, 1, 1).select(F.concat(F.lit(f"{name} "), F.col("id").cast("string")).alias("value")).write.text(f"{path}/{name}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = readers.with_line_numbers(readers.read_logs(spark, f"{path}/*"), start=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.value[0], r.line_no) for r in got) == [("a", i + 1) for i in range(9000)] + [("b", i + 1) for i in range(40)]
+    assert all(r.value.split()[1] == str(r.line_no - 1) for r in got)
+
+
 def test_running_total(spark):
     r = random.Random(1)
     rows = [(i, r.randint(0, 9)) for i in range(3000)]

@@ -40,6 +40,6 @@ def test_nearest_index_equals_ranking(spark, targets):
     axis = spark.range(n).select(F.col("id").cast("int").alias("i"), (F.lit(0.25) + F.col("id") / F.lit(4.0)).alias("v"))
     values = [0.25 + i / 4.0 for i in range(n)]
     df = spark.createDataFrame(list(enumerate(targets)), "k int, t double")
-    got = {r.k: r.j for r in lookup.nearest_index(df, "t", axis, "i", "v", 0.25, 0.25, n, ["k"], "j").collect()}
+    got = {r.k: r.j for r in lookup.nearest_index(df, "t", axis, "i", "v", 0.25, 0.25, n, "j").collect()}
     for k, t in enumerate(targets):
         assert got[k] == min(range(n), key=lambda i: (abs(values[i] - t), -i)), (t, got[k])
