@@ -50,6 +50,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+SALTS = 4096
+
+
+def spread_join(rows: DataFrame, keys: list[str], by: str, totals: DataFrame) -> DataFrame:
+    """Inner join of ``rows`` with ``totals``, which holds a key once; a key of very many rows is spread over tasks by ``by``.
+
+    The totals meet one row for each (key, salt) that occurs, at most
+    ``SALTS`` a key, and the rows meet those.  Null keys find nothing.
+    """
+    salted = rows.withColumn("__cf_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)))
+    cells = salted.select(*keys, "__cf_salt").distinct().join(totals, keys)
+    return salted.join(cells, [*keys, "__cf_salt"]).drop("__cf_salt")
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table of ``materialise`` that nothing reads any more."""
     path = getattr(df, "_cf_path", None)

@@ -26,11 +26,12 @@ is.
    the search stops at ``length``.  Runs of suffixes never cut share
    ``length`` bytes; a run with two places is a repeat.
 5. An anchor with more than ``MOST_CONTEXTS`` distinct contexts does not fit a
-   block: a passage that a large part of the corpus holds.  It goes an exact
-   way without a group in one task: its strings are cut into cells of
-   neighbouring offsets; cells whose common core occurs twice are opened,
-   and the hash of every string in them is counted (128 bits, partial
-   aggregates).
+   block: a passage that a large part of the corpus holds.  Equal strings
+   have equal offsets from the anchor, so its index is split by offset: its
+   strings are cut into cells of neighbouring offsets, and steps 3 and 4 are
+   applied to the cells' contents, those of one cell with one common core
+   together.  A core that still has too many contents goes into narrower
+   cells; a cell of one offset has one content.
 6. Removed spans are joined by digest; only texts with spans are read again.
 
 Defined results: null or empty text has no bytes and nothing removed; rows
@@ -47,12 +48,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, discard, in_bloom, materialise, mix, prepare, same, table, text_bytes, text_key
+from cellflux.llm.common import Roller, blocks, bloom, bloom_bits, discard, in_bloom, materialise, mix, prepare, same, spread_join, table, text_bytes, text_key
 
 LENGTH, GRAM = 400, 32
 MOST_CONTEXTS = 512
 BLOCK = 1 << 16  # bytes indexed at once, about
-CELL = 16  # neighbouring offsets of the exact way
+CELLS = (16, 4, 1)  # neighbouring offsets in a cell of a hot anchor, first to last
 ROLL, ROLL2 = Roller(21), Roller(22)
 EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -365,63 +366,83 @@ def block_repeats(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.select("h", "digest", "start", "bytes").repartition("h").sortWithinPartitions("h").mapInArrow(run, SPANS)
 
 
-def hot_repeats(contexts: DataFrame, length: int) -> DataFrame:
-    """Removed spans of anchors with very many contexts, by counting hashes of cells and of single strings."""
-    back = length - GRAM
-    cells = -(-(back + 1) // CELL)
-    rows = contexts.select("h", "occ", "digest", "at", "start", "bytes")
+def cells_of(at: int, start: int, size: int, length: int, width: int) -> tuple[np.ndarray, ...]:
+    """Of a context (bytes from ``start``, ``size`` of them, anchor at ``at``): cells with strings in it, and in
+    bytes of the context the cell's first and last string start, and the ends of the content they cover."""
+    back, lead = length - GRAM, at - start
+    cell = np.arange(-(-(back + 1) // width))
+    first = lead - back + cell * width
+    last = np.minimum(first + width - 1, lead)
+    ok = np.minimum(last, size - length) >= np.maximum(first, 0)
+    cell, first, last = cell[ok], first[ok], last[ok]
+    return cell, first, last, np.maximum(first, 0), np.minimum(last + length, size)
+
 
-    def opened(batches):
+def cell_hashes(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """Of every cell of every context: hash of the core that all its strings share, and two of its content."""
+
+    def run(batches):
         for b in batches:
             out = []
-            for h, occ, at, start, text in zip(*(b.column(c).to_pylist() for c in ("h", "occ", "at", "start", "bytes"))):
+            for h, occ, digest, at, start, text in zip(*(b.column(c).to_pylist() for c in ("h", "occ", "digest", "at", "start", "bytes"))):
                 d = np.frombuffer(text, np.uint8)
-                lead, end = at - start, len(d)
-                first = lead - back + np.arange(cells) * CELL  # of each cell: its first string's start
-                last = np.minimum(first + CELL - 1, lead)
+                cell, first, last, x, y = cells_of(at, start, len(d), length, width)
                 p, p2 = ROLL.prefix(d), ROLL2.prefix(d)
-                ok = (np.minimum(last, end - length) >= np.maximum(first, 0))
-                k = np.flatnonzero(ok)
-                core = ROLL.spans(p, last[k], first[k] + length)
-                x, y = np.maximum(first[k], 0), np.minimum(last[k] + length, end)
-                side = (x - first[k]).astype(np.uint64) * np.uint64(31) + np.uint64(7)
+                core = ROLL.spans(p, last, first + length)
+                side = (x - first).astype(np.uint64) * np.uint64(31) + np.uint64(7)
                 s1, s2 = ROLL.spans(p, x, y) ^ side, ROLL2.spans(p2, x, y) + side
-                out += [(h, int(c), *map(int, z), occ) for c, z in zip(k, zip(core.view(np.int64), s1.view(np.int64), s2.view(np.int64)))]
+                out += [(h, *z, occ, digest) for z in zip(cell.tolist(), core.view(np.int64).tolist(), s1.view(np.int64).tolist(), s2.view(np.int64).tolist(), (start + x).tolist(), (start + y).tolist())]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["h", "cell", "core", "s1", "s2", "occ"])
-
-    cell = materialise(rows.mapInArrow(opened, "h long, cell long, core long, s1 long, s2 long, occ long"), "hot-cells")
-    # distinct cell contents: many if they stand at two places
-    kinds = cell.groupBy("h", "cell", "core", "s1", "s2").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi"))
-    kinds = materialise(kinds, "hot-kinds")
-    cores = kinds.groupBy("h", "cell", "core").agg(F.count("*").alias("k")).where("k > 1").select("h", "cell", "core")
-    look = kinds.join(cores, ["h", "cell", "core"]).select("h", "cell", F.col("lo").alias("occ"))  # one place of each content
-    alike = kinds.where("lo <> hi").select("h", "cell", "core", "s1", "s2")
-    whole = cell.join(alike, ["h", "cell", "core", "s1", "s2"]).select("h", "occ", "cell", F.lit(True).alias("all"))
-    each = look.groupBy("h", "occ").agg(F.collect_set("cell").alias("cells"))  # 24 cells at most
-
-    def strings(batches):
+                names = ["h", "cell", "core", "s1", "s2", "a", "b", "occ", "digest"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "digest" else pa.int64()) for n, c in zip(names, zip(*out))], names=names)
+
+    return contexts.mapInArrow(run, "h long, cell long, core long, s1 long, s2 long, a long, b long, occ long, digest binary")
+
+
+def cell_contents(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """The contents of the listed ``cells`` (cell, core, k) as contexts of their own: their ``h`` is of anchor, cell and core."""
+
+    def run(batches):
         for b in batches:
             out = []
-            for h, occ, at, start, text, cs in zip(*(b.column(c).to_pylist() for c in ("h", "occ", "at", "start", "bytes", "cells"))):
-                d = np.frombuffer(text, np.uint8)
-                lead, end = at - start, len(d)
-                s = (lead - back + (np.array(cs) * CELL)[:, None] + np.arange(CELL)).reshape(-1)
-                s = s[(s >= 0) & (s <= lead) & (s + length <= end)]
-                w1 = ROLL.spans(ROLL.prefix(d), s, s + length).view(np.int64)
-                w2 = ROLL2.spans(ROLL2.prefix(d), s, s + length).view(np.int64)
-                out += [(h, occ, int(x - lead), int(u), int(v)) for x, u, v in zip(s, w1, w2)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["h", "occ", "shift", "w1", "w2"])
-
-    one = materialise(rows.join(each, ["h", "occ"]).mapInArrow(strings, "h long, occ long, shift long, w1 long, w2 long"), "hot-strings")
-    twice = one.groupBy("h", "shift", "w1", "w2").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi")).where("lo <> hi").select("h", "shift", "w1", "w2")
-    single = one.join(twice, ["h", "shift", "w1", "w2"]).select("h", "occ", "shift")
-    where = rows.select("h", "occ", "digest", "at", "start", F.length("bytes").alias("size"))
-    a = where.join(single, ["h", "occ"]).select("digest", (F.col("at") + F.col("shift")).alias("a"), (F.col("at") + F.col("shift") + length).alias("b"))
-    lo = F.greatest(F.col("start"), F.col("at") - back + F.col("cell") * CELL)
-    hi = F.least(F.col("start") + F.col("size"), F.least(F.col("at"), F.col("at") - back + F.col("cell") * CELL + CELL - 1) + length)
-    return a.unionAll(where.join(whole, ["h", "occ"]).select("digest", lo.alias("a"), hi.alias("b")))
+            for h, occ, digest, at, start, text, some in zip(*(b.column(c).to_pylist() for c in ("h", "occ", "digest", "at", "start", "bytes", "cells"))):
+                cell, _, _, x, y = cells_of(at, start, len(text), length, width)
+                ends = dict(zip(cell.tolist(), zip(x.tolist(), y.tolist())))
+                for z in some:
+                    lo, hi = ends[z["cell"]]
+                    out.append((h, z["cell"], z["core"], z["k"], occ, digest, at, start + lo, text[lo:hi]))
+            names = ["h", "cell", "core", "k", "occ", "digest", "at", "start", "bytes"]
+            for s in range(0, len(out), 4096):
+                part = zip(*out[s : s + 4096])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n in ("digest", "bytes") else pa.int64()) for n, c in zip(names, part)], names=names)
+
+    got = contexts.mapInArrow(run, "h long, cell long, core long, k long, occ long, digest binary, at long, start long, bytes binary")
+    return got.select(F.xxhash64("h", "cell", "core").alias("h"), "k", "occ", "digest", "at", "start", "bytes")
+
+
+def hot_repeats(contexts: DataFrame, length: int, most: int) -> DataFrame:
+    """Removed spans of anchors with very many contexts: their index split by offset, cells narrowed as far as needed."""
+    found, key = [], ["h", "cell", "core"]
+    for width in CELLS:
+        cell = materialise(cell_hashes(contexts, length, width), "hot-cells")
+        kinds = materialise(cell.groupBy(*key, "s1", "s2").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi")), "hot-kinds")
+        alike = kinds.where("lo <> hi").select(*key, "s1", "s2")
+        found.append(materialise(spread_join(cell, [*key, "s1", "s2"], "occ", alike).select("digest", "a", "b"), "hot-spans"))
+        # cores with several contents; of each content one place
+        several = kinds.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1")
+        look = spread_join(kinds.select(*key, F.col("lo").alias("occ")), key, "occ", several)
+        look = look.groupBy("h", "occ").agg(F.collect_list(F.struct("cell", "core", "k")).alias("cells"))  # a context's, (length - GRAM) / width at most
+        inner = materialise(cell_contents(contexts.join(look, ["h", "occ"]), length, width), "hot-contents")
+        found.append(materialise(block_repeats(inner.where(F.col("k") <= most), length), "hot-spans"))
+        contexts = inner.where(F.col("k") > most).drop("k")
+        for done in (cell, kinds):
+            discard(done)
+        if contexts.isEmpty():
+            break
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionAll(part)
+    return out
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
@@ -442,17 +463,19 @@ def repeats(docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CON
     kinds = ctx.groupBy("h", "c1", "c2").agg(F.min("occ").alias("lo"), F.max("occ").alias("hi"), F.min(F.when(F.col("bytes").isNotNull(), F.col("occ"))).alias("occ"))
     kinds = materialise(kinds, "repeat-kinds")
     counts = kinds.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    spans = ctx.join(kinds.where("lo <> hi").select("h", "c1", "c2"), ["h", "c1", "c2"]).select("digest", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
-    one = ctx.where("bytes IS NOT NULL").join(kinds.join(counts, "h").select("h", "c1", "c2", "occ", "k"), ["h", "c1", "c2", "occ"]).dropDuplicates(["h", "c1", "c2", "occ"])
+    key = ["h", "c1", "c2"]
+    spans = spread_join(ctx.select(*key, "occ", "digest", "start", "size"), key, "occ", kinds.where("lo <> hi").select(*key)).select("digest", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("b"))
+    one = ctx.where("bytes IS NOT NULL").join(spread_join(kinds.select(*key, "occ"), ["h"], "c1", counts), [*key, "occ"]).dropDuplicates([*key, "occ"])
     one = materialise(one.select("h", "occ", "digest", "at", "start", "bytes", "k"), "repeat-distinct")
     spans = spans.unionAll(block_repeats(one.where(F.col("k") <= most_contexts), length))
     hot = one.where(F.col("k") > most_contexts)
     if not hot.isEmpty():
-        spans = spans.unionAll(hot_repeats(hot, length))
+        spans = spans.unionAll(hot_repeats(hot, length, most_contexts))
     spans = spans.distinct().groupBy("digest").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # of one text
-    out = rows.drop("h", "at", "own").join(per.drop("own"), "digest").join(spans, "digest", "left")
-    every = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n_bytes").alias("b")))
-    out = out.withColumn("spans", F.when((F.col("copies") > 1) & (F.col("n_bytes") >= length), every).otherwise(F.col("spans")))
+    out = spread_join(rows.drop("h", "at"), ["digest"], "own", per.select("digest", "copies")).drop("own")
+    # copies long enough are removed whole, and shorter ones hold no string
+    every = F.when(F.col("n_bytes") >= length, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n_bytes").alias("b"))))
+    out = out.where("copies = 1").join(spans, "digest", "left").unionByName(out.where("copies > 1").withColumn("spans", every))
     out = materialise(out, "repeats")
     for done in (rows, per, shared, ctx, kinds, one):
         discard(done)

@@ -44,7 +44,7 @@ def corpus():
     return rows + [(None, base[2]), (100, "other text of the same id"), (None, None)]
 
 
-@pytest.mark.parametrize("most", [512, 2])
+@pytest.mark.parametrize("most", [512, 2, 1])
 def test_against_brute_force(spark, most):
     rows = corpus()
     assert ours(documents(spark, rows), 100, most) == brute(rows, 100)
