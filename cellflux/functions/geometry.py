@@ -84,9 +84,18 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
-    """One pass over a ring: struct(a2, mx6, my6) = 2 x signed area and 6 x first
-    moments, about the origin (ox, oy).
+def _named(**fields: Column) -> Column:
+    """A struct whose field names also hold inside nested array functions."""
+    return F.named_struct(*(x for name, value in fields.items() for x in (F.lit(name), value)))
+
+
+def once(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it (array functions share no work by themselves)."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def _ring_terms(r: Column, ox: Column, oy: Column) -> Column:
+    """For each edge of a ring, about the origin (ox, oy): struct(c, sx, sy), the cross product and the sums of x and y of its ends.
 
     Vertices are read by index from ``r`` (a lambda variable or a cheap array
     lookup), so no ring is rebuilt per edge; moving the origin to a vertex of
@@ -94,31 +103,34 @@ def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
     """
     n = F.size(r)
 
-    def step(acc, i):
+    def edge(i):
         a, b = r[i], r[(i + F.lit(1)) % n]
-        ax, ay = a["x"] - ox, a["y"] - oy
-        bx, by = b["x"] - ox, b["y"] - oy
-        c = ax * by - bx * ay
-        return F.struct(
-            (acc["a2"] + c).alias("a2"),
-            (acc["mx6"] + (ax + bx) * c).alias("mx6"),
-            (acc["my6"] + (ay + by) * c).alias("my6"),
-        )
+        return _named(ax=a["x"] - ox, ay=a["y"] - oy, bx=b["x"] - ox, by=b["y"] - oy)
+
+    return F.transform(F.transform(_indices(r), edge), lambda e: _named(
+        c=e["ax"] * e["by"] - e["bx"] * e["ay"], sx=e["ax"] + e["bx"], sy=e["ay"] + e["by"]))
+
+
+def _zero_moments() -> Column:
+    return _named(a2=F.lit(0.0), mx6=F.lit(0.0), my6=F.lit(0.0))
+
 
-    zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx6"), F.lit(0.0).alias("my6"))
-    return F.aggregate(_indices(r), zero, step)
+def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
+    """struct(a2, mx6, my6) of a ring: 2 x signed area and 6 x first moments, about the origin (ox, oy)."""
+    return F.aggregate(_ring_terms(r, ox, oy), _zero_moments(), lambda acc, e: _named(
+        a2=acc["a2"] + e["c"], mx6=acc["mx6"] + e["sx"] * e["c"], my6=acc["my6"] + e["sy"] * e["c"]))
 
 
 def signed_area(ring: Column) -> Column:
     """Shoelace signed area of one ring (positive when counter-clockwise)."""
-    return _ring_moments(ring, F.get(ring, 0)["x"], F.get(ring, 0)["y"])["a2"] / F.lit(2.0)
+    terms = _ring_terms(ring, F.get(ring, 0)["x"], F.get(ring, 0)["y"])
+    return F.aggregate(terms, F.lit(0.0), lambda acc, e: acc + e["c"]) / F.lit(2.0)
 
 
 def polygon_area(rings: Column) -> Column:
     """Area of a polygon with holes (|shell| - sum |holes|)."""
-    areas = F.transform(rings, lambda r: F.abs(_ring_moments(r, F.get(r, 0)["x"], F.get(r, 0)["y"])["a2"]) / F.lit(2.0))
-    shell = F.get(areas, 0)
-    return shell - (F.aggregate(areas, F.lit(0.0), lambda acc, a: acc + a) - shell)
+    areas = F.transform(rings, lambda r: F.abs(signed_area(r)))
+    return once(areas, lambda all_: F.get(all_, 0) - (F.aggregate(all_, F.lit(0.0), lambda acc, a: acc + a) - F.get(all_, 0)))
 
 
 def polygon_centroid(rings: Column) -> Column:
@@ -127,26 +139,21 @@ def polygon_centroid(rings: Column) -> Column:
     Moments are taken about the shell's first vertex; each ring is oriented
     by its own area sign, then the shell counts positive and holes negative.
     """
-    origin = F.get(F.get(rings, 0), 0)
-    ox, oy = origin["x"], origin["y"]
-
-    def signed(r, i):
-        m = _ring_moments(r, ox, oy)
-        sgn = F.signum(m["a2"]) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        return F.struct((m["a2"] * sgn).alias("a2"), (m["mx6"] * sgn).alias("mx6"), (m["my6"] * sgn).alias("my6"))
-
-    zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("mx6"), F.lit(0.0).alias("my6"))
-    tot = F.aggregate(
-        F.transform(rings, signed),
-        zero,
-        lambda acc, m: F.struct(
-            (acc["a2"] + m["a2"]).alias("a2"), (acc["mx6"] + m["mx6"]).alias("mx6"), (acc["my6"] + m["my6"]).alias("my6")
-        ),
-    )
-    a3 = tot["a2"] * F.lit(3.0)  # 6 x area
-    return F.struct(
-        (ox + F.try_divide(tot["mx6"], a3)).alias("x"), (oy + F.try_divide(tot["my6"], a3)).alias("y")
-    )
+
+    def centre(rs):
+        ox, oy = F.get(F.get(rs, 0), 0)["x"], F.get(F.get(rs, 0), 0)["y"]
+
+        def signed(m, i):
+            sgn = F.signum(m["a2"]) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+            return _named(a2=m["a2"] * sgn, mx6=m["mx6"] * sgn, my6=m["my6"] * sgn)
+
+        each = F.transform(F.transform(rs, lambda r: _ring_moments(r, ox, oy)), signed)
+        total = F.aggregate(each, _zero_moments(), lambda acc, m: _named(
+            a2=acc["a2"] + m["a2"], mx6=acc["mx6"] + m["mx6"], my6=acc["my6"] + m["my6"]))
+        return once(total, lambda t: _named(  # 3 x a2: 6 x area
+            x=ox + F.try_divide(t["mx6"], t["a2"] * F.lit(3.0)), y=oy + F.try_divide(t["my6"], t["a2"] * F.lit(3.0))))
+
+    return once(rings, centre)
 
 
 def bounds(rings: Column) -> Column:

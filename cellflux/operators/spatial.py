@@ -336,11 +336,30 @@ def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> Data
 
 
 def polygons_touching_cells(polys: DataFrame, grid: Grid, rings: str = "rings") -> DataFrame:
-    """J10 for polygons: every cell whose closed square the polygon meets, with the clipped rings (``piece``).
+    """J10 for polygons: every cell whose closed square the polygon meets, with the clipped rings (``piece``) and their area.
 
-    They meet if they share area or an edge of a ring meets the cell.
+    They meet if they share area or an edge of a ring meets the cell.  Rings
+    are clipped only in cells that an edge meets; any other cell lies wholly
+    inside, and its piece is its own square (holes: none), or wholly outside.
     """
-    pieces = polygon_cell_pieces(polys, grid, rings)
-    box = [f(F.col(c)) for f, c in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy"))]
-    edge = F.exists(F.flatten(F.transform(F.col(rings), geo.ring_edges)), lambda e: geo.clip_segment(e["ax"], e["ay"], e["bx"], e["by"], *box)["hit"])
-    return pieces.where((F.col("cell_area") > 0) | edge)
+    c = F.col
+    keep = polys.columns
+    b = geo.bounds(c(rings))
+    edges = F.flatten(F.transform(c(rings), geo.ring_edges))
+    cand = polys.select(*keep, edges.alias("_cf_edges"), b.alias("_cf_b"))
+    cand = cand.withColumn("ix", explode_range(*grid.col_range(c("_cf_b")["xmin"], c("_cf_b")["xmax"])))
+    cand = cand.withColumn("iy", explode_range(*grid.row_range(c("_cf_b")["ymin"], c("_cf_b")["ymax"])))
+    x0, y0, x1, y1 = box = [f(c(k)) for f, k in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy"))]
+    x, y = (x0 + x1) / 2.0, (y0 + y1) / 2.0
+    met = F.exists("_cf_edges", lambda e: geo.clip_segment(e["ax"], e["ay"], e["bx"], e["by"], *box)["hit"])
+    crossed = F.filter("_cf_edges", lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])))
+    plain = clipped = F.transform(c(rings), lambda r: F.transform(r, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+    for axis, bound, ge in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
+        clipped = _clip_side(clipped, axis, bound, ge)
+    square = F.get(geo.rect_ring(x0, y0, x1, y1), 0)
+    whole = F.transform(plain, lambda r, i: F.when(i == 0, square).otherwise(F.slice(r, 1, 0)))
+    piece = F.when(met, clipped).when(F.size(crossed) % 2 == 1, whole)
+    # exploded, not filtered: a filter is pushed down and would compute the pieces twice
+    got = geo.once(piece, lambda p: F.when(p.isNotNull(), F.array(F.named_struct(F.lit("piece"), p, F.lit("cell_area"), F.coalesce(geo.polygon_area(p), F.lit(0.0))))))
+    return cand.withColumn("_cf_p", F.explode(got)).select(
+        *keep, "ix", "iy", grid.gid(c("ix"), c("iy")).alias("gid"), c("_cf_p.piece").alias("piece"), c("_cf_p.cell_area").alias("cell_area"))

@@ -194,3 +194,27 @@ def test_clipped_rings_of_any_polygon(spark):
             assert r.ix <= p.x <= r.ix + 1 and r.iy <= p.y <= r.iy + 1
     touched = {r.gid for r in spatial.polygons_touching_cells(df, g).collect()}
     assert {r.gid for r in rows} <= touched
+
+
+def test_touching_cells_inside_across_and_in_holes(spark):
+    """Cells wholly inside get their square, cells in a hole none, and cells that an edge meets the clipped rings."""
+    g = Grid(nx=14, ny=14)
+    shell = [(1.3, 0.6), (12.7, 1.2), (11.9, 12.4), (6.0, 9.1), (1.1, 12.8)]  # concave
+    hole = [(4.2, 3.3), (8.6, 3.3), (8.6, 7.7), (4.2, 7.7)]
+    df = _poly_df(spark, [(1, [shell, hole])])
+    want = {r.gid: r.cell_area for r in spatial.polygon_cell_pieces(df, g).collect()}
+    got = {r.gid: (r.cell_area, r.piece) for r in spatial.polygons_touching_cells(df, g).collect()}
+    assert all(gid in got for gid, area in want.items() if area > 1e-9)
+    assert all(abs(area - want[gid]) < 1e-9 for gid, (area, _) in got.items())
+    assert abs(sum(area for area, _ in got.values()) - (abs(_shoelace(shell)[0]) - 4.4 * 4.4)) < 1e-9
+    inside = [p for area, p in got.values() if area == 1.0 and len(p[1]) == 0]
+    assert inside and all(len(p) == 2 and len(p[0]) >= 4 for p in inside)
+    cells = {(r.ix, r.iy) for r in spatial.polygons_touching_cells(df, g).collect()}
+    assert not cells & {(i, j) for i in range(5, 8) for j in range(4, 7)}  # wholly in the hole
+    assert {(4, 3), (8, 7), (2, 2), (9, 9)} <= cells
+
+
+def test_centroid_and_area_of_missing_rings(spark):
+    df = spark.createDataFrame([(1, None), (2, [])], "id int, rings array<array<struct<x: double, y: double>>>")
+    got = df.select(geo.polygon_area(F.col("rings")).alias("a"), geo.polygon_centroid(F.col("rings"))["x"].alias("x")).collect()
+    assert all(r.a is None and r.x is None for r in got)
