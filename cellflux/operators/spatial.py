@@ -352,7 +352,7 @@ def polygons_touching_cells(polys: DataFrame, grid: Grid, rings: str = "rings")
     x0, y0, x1, y1 = box = [f(c(k)) for f, k in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy"))]
     x, y = (x0 + x1) / 2.0, (y0 + y1) / 2.0
     met = F.exists("_cf_edges", lambda e: geo.clip_segment(e["ax"], e["ay"], e["bx"], e["by"], *box)["hit"])
-    crossed = F.filter("_cf_edges", lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])))
+    crossed = F.filter("_cf_edges", lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < e["ax"] + F.try_divide((y - e["ay"]) * (e["bx"] - e["ax"]), e["by"] - e["ay"])))
     plain = clipped = F.transform(c(rings), lambda r: F.transform(r, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
     for axis, bound, ge in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
         clipped = _clip_side(clipped, axis, bound, ge)
