@@ -122,8 +122,17 @@ def overlay_lines(
 
 
 def cells_touched(lines: DataFrame, grid: Grid, key: Sequence[str]) -> DataFrame:
-    """Distinct (line, cell) pairs the line meets (closed test, no clipping kept)."""
-    return segment_cells(lines, grid).select(*key, "gid").distinct()
+    """Distinct (line, cell) pairs the line meets (closed test, no clipping kept).
+
+    The cells of a block of 8 x 8 move as the bits of one number: a line
+    meets far fewer blocks than cells.
+    """
+    c = F.col
+    met = segment_cells(lines, grid).select(*key, (c("ix") - c("ix") % 8).alias("_cf_bx"), (c("iy") - c("iy") % 8).alias("_cf_by"),
+                                            F.call_function("shiftleft", F.lit(1).cast("long"), c("ix") % 8 * 8 + c("iy") % 8).alias("_cf_bit"))
+    blocks = met.groupBy(*key, "_cf_bx", "_cf_by").agg(F.bit_or("_cf_bit").alias("_cf_bits"))
+    cells = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("_cf_k")).where(F.getbit(c("_cf_bits"), c("_cf_k")) == 1)
+    return cells.select(*key, grid.gid(c("_cf_bx") + F.shiftright("_cf_k", 3), c("_cf_by") + c("_cf_k") % 8).alias("gid"))
 
 
 def explode_parts(layer: DataFrame, parts: str = "parts", name: str = "part") -> DataFrame:

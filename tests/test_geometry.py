@@ -1,6 +1,7 @@
 """Geometry operators against brute force in plain Python."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -218,3 +219,13 @@ def test_centroid_and_area_of_missing_rings(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "id int, rings array<array<struct<x: double, y: double>>>")
     got = df.select(geo.polygon_area(F.col("rings")).alias("a"), geo.polygon_centroid(F.col("rings"))["x"].alias("x")).collect()
     assert all(r.a is None and r.x is None for r in got)
+
+
+def test_cells_touched_match_the_cells_of_the_segments(spark):
+    g = Grid(nx=21, ny=13)
+    r = random.Random(2)
+    rows = [(r.choice([1, 2, None]), *[r.choice([r.uniform(-2, 24), float(r.randint(0, 21))]) for _ in range(4)]) for _ in range(60)]
+    lines = spark.createDataFrame(rows, "k long, x0 double, y0 double, x1 double, y1 double")
+    got = [tuple(x) for x in spatial.cells_touched(lines, g, ["k"]).collect()]
+    want = {(x.k, x.gid) for x in spatial.segment_cells(lines, g).collect()}
+    assert len(got) == len(set(got)) and set(got) == want

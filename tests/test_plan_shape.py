@@ -72,3 +72,19 @@ def test_merge_has_one_aggregate_on_the_field_keys(spark):
 def test_observation_filters_reach_the_scan(spark):
     plan = executed_plan(spark, "observation_window")
     assert "PushedFilters: [In(event_type, [click,view])" in plan
+
+
+def test_route_cells_move_as_blocks(spark):
+    plan = executed_plan(spark, "route_cells")
+    assert "partial_bit_or" in plan and "gid" not in plan[plan.index("partial_bit_or"):].split("Generate")[0].split("keys=")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("name", ["industry_overlay_area", "site_overlay_area"])
+def test_polygon_cells_are_summed_where_the_polygon_is(spark, name):
+    plan = executed_plan(spark, name)
+    assert "hashpartitioning(ind_id" in plan
+    assert not [x for x in plan.splitlines() if "hashpartitioning(ind_id" in x and "ix#" in x]
+
+
+def test_category_totals_are_not_read_from_written_cells(spark):
+    assert "road-cells" not in executed_plan(spark, "category_share")
