@@ -322,6 +322,7 @@ def polygon_cell_areas(polys: DataFrame, grid: Grid, key: Sequence[str]) -> Data
     """
     c = F.col
     keep = [x for x in polys.columns if x != "rings"]
+    polys = polys.repartition(*key)  # a polygon's cells are summed where it is: a task holds those of its share of polygons, not of an input split
     low, _ = grid.row_range(geo.bounds(c("rings"))["ymin"], geo.bounds(c("rings"))["ymin"])
     rings = polys.select(*keep, "rings", geo.polygon_area(c("rings")).alias("poly_area"), low.alias("_cf_ja"))
     rings = rings.select(*keep, "poly_area", "_cf_ja", F.posexplode("rings").alias("_cf_r", "_cf_ring"))
