@@ -22,7 +22,7 @@ from cellflux.operators import aggregate as agg
 from cellflux.operators import grid as gridops
 from cellflux.operators import fields, lookup, spatial
 from cellflux.plans import evaluate, global_field, inventory, mass, runs, stations
-from cellflux.session import apply_job_defaults, ensure_checkpoint_dir, written_once
+from cellflux.session import apply_job_defaults, ensure_checkpoint_dir
 from cellflux.sources import fixtures as fx
 from cellflux.streaming import sensor
 
@@ -150,8 +150,8 @@ def q_road_overlay_length(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_category_share(spark: SparkSession, sf: str) -> DataFrame:
-    rc = written_once(inventory.road_overlay(fx.roads(spark, sf), G), "road-cells")  # walked once, read for the totals and the shares
-    out = agg.category_share(rc, "cat", "length", factors.ROAD_WEIGHTS, computed_totals=True)
+    roads = fx.roads(spark, sf)  # the totals are summed from the pieces, which don't move: the cells' lengths aren't written in between
+    out = agg.category_share(inventory.road_overlay(roads, G), "cat", "length", factors.ROAD_WEIGHTS, computed_totals=True, pieces=inventory.road_pieces(roads, G))
     return rounded(out.select("road_id", "cat", "gid", "length", "lpc"), {"length": 20, "lpc": 40})
 
 
