@@ -91,6 +91,18 @@ def test_empty_table(spark):
     assert licenses.licence_paragraphs(documents(spark, ODD).where("false")).count() == 0
 
 
+def test_a_paragraph_does_not_carry_its_whole_text(spark):
+    """What is exploded beside a paragraph is held for all paragraphs of a text at once."""
+    import re
+
+    rows = licenses.paragraphs(documents(spark, [*ODD, (7, "Some text. MIT License! ABC licensed\n\nxlicense"), (8, None)]), ["license", "licensed"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Generate posexplode\(.*?\), \[(doc_id#\w+, key#\w+)\]", plan, re.S), plan
+    assert [(r.at, r.text, r.words) for r in rows.where("doc_id = 7").orderBy("at").collect()] == [
+        (1, "MIT License!", ["mit", "license"]), (2, "ABC licensed", ["abc", "licensed"])]
+    assert licenses.paragraphs(documents(spark, ODD), []).count() == 0
+
+
 def test_no_python_in_the_plan(spark):
     plan = licenses.op2(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
