@@ -68,7 +68,7 @@ BEFORE, INSIDE, AFTER = 16, 40, 8
 WIDE = BEFORE + INSIDE + AFTER
 RECALL = 0.98
 LEAST_SEEN = 96_000  # windows that training goes through, by repeated passes over fewer
-PER_TASK, TASKS, SLICES = 20_000, 64, 8  # windows trained on at once; tasks of a round; rounds of a pass
+PER_TASK, TASKS, SLICES = 20_000, 64, 4  # windows trained on at once; tasks of a round; rounds of a pass
 LENT = 4  # identifiers that a document lends to the windows
 AT_ONCE = 1024  # windows judged at once
 
