@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-RINGS = T.ArrayType(T.ArrayType(POINT))
+RING = T.ArrayType(POINT)
+RINGS = T.ArrayType(RING)
 
 
 def seg_length(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -56,6 +57,26 @@ def clip_segment(
     return F.struct(t0.alias("t0"), t1.alias("t1"), hit.alias("hit"))
 
 
+def column_edges(edges: Column, xmin: Column, xmax: Column) -> Column:
+    """The edges that meet the closed column of cells [xmin, xmax]: ``array<struct<ay, dy, t0, t1>>``, t0 ... t1 the part inside.
+
+    ``column_edge_hits`` then tests a cell of the column as ``clip_segment``
+    does, without the work that all cells of a column share.
+    """
+    def part(e):
+        enter, leave, miss = _slab(e["ax"], e["dx"], xmin, xmax)
+        return named(ay=e["ay"], dy=e["dy"], t0=F.greatest(F.lit(0.0), enter), t1=F.least(F.lit(1.0), leave), miss=miss)
+
+    ends = F.transform(edges, lambda e: named(ax=e["ax"], ay=e["ay"], dx=e["bx"] - e["ax"], dy=e["by"] - e["ay"]))
+    return F.filter(F.transform(ends, part), lambda e: ~e["miss"] & (e["t0"] <= e["t1"]))
+
+
+def column_edge_hits(e: Column, ymin: Column, ymax: Column) -> Column:
+    """Whether an edge of ``column_edges`` meets the closed cell of rows [ymin, ymax] in that column."""
+    enter, leave, miss = _slab(e["ay"], e["dy"], ymin, ymax)
+    return ~miss & (F.greatest(e["t0"], enter) <= F.least(e["t1"], leave))
+
+
 def rect_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """A rectangle as a one-ring polygon (counter-clockwise)."""
     def pt(x, y):
@@ -84,7 +105,7 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def _named(**fields: Column) -> Column:
+def named(**fields: Column) -> Column:
     """A struct whose field names also hold inside nested array functions."""
     return F.named_struct(*(x for name, value in fields.items() for x in (F.lit(name), value)))
 
@@ -105,19 +126,19 @@ def _ring_terms(r: Column, ox: Column, oy: Column) -> Column:
 
     def edge(i):
         a, b = r[i], r[(i + F.lit(1)) % n]
-        return _named(ax=a["x"] - ox, ay=a["y"] - oy, bx=b["x"] - ox, by=b["y"] - oy)
+        return named(ax=a["x"] - ox, ay=a["y"] - oy, bx=b["x"] - ox, by=b["y"] - oy)
 
-    return F.transform(F.transform(_indices(r), edge), lambda e: _named(
+    return F.transform(F.transform(_indices(r), edge), lambda e: named(
         c=e["ax"] * e["by"] - e["bx"] * e["ay"], sx=e["ax"] + e["bx"], sy=e["ay"] + e["by"]))
 
 
 def _zero_moments() -> Column:
-    return _named(a2=F.lit(0.0), mx6=F.lit(0.0), my6=F.lit(0.0))
+    return named(a2=F.lit(0.0), mx6=F.lit(0.0), my6=F.lit(0.0))
 
 
 def _ring_moments(r: Column, ox: Column, oy: Column) -> Column:
     """struct(a2, mx6, my6) of a ring: 2 x signed area and 6 x first moments, about the origin (ox, oy)."""
-    return F.aggregate(_ring_terms(r, ox, oy), _zero_moments(), lambda acc, e: _named(
+    return F.aggregate(_ring_terms(r, ox, oy), _zero_moments(), lambda acc, e: named(
         a2=acc["a2"] + e["c"], mx6=acc["mx6"] + e["sx"] * e["c"], my6=acc["my6"] + e["sy"] * e["c"]))
 
 
@@ -145,12 +166,12 @@ def polygon_centroid(rings: Column) -> Column:
 
         def signed(m, i):
             sgn = F.signum(m["a2"]) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-            return _named(a2=m["a2"] * sgn, mx6=m["mx6"] * sgn, my6=m["my6"] * sgn)
+            return named(a2=m["a2"] * sgn, mx6=m["mx6"] * sgn, my6=m["my6"] * sgn)
 
         each = F.transform(F.transform(rs, lambda r: _ring_moments(r, ox, oy)), signed)
-        total = F.aggregate(each, _zero_moments(), lambda acc, m: _named(
+        total = F.aggregate(each, _zero_moments(), lambda acc, m: named(
             a2=acc["a2"] + m["a2"], mx6=acc["mx6"] + m["mx6"], my6=acc["my6"] + m["my6"]))
-        return once(total, lambda t: _named(  # 3 x a2: 6 x area
+        return once(total, lambda t: named(  # 3 x a2: 6 x area
             x=ox + F.try_divide(t["mx6"], t["a2"] * F.lit(3.0)), y=oy + F.try_divide(t["my6"], t["a2"] * F.lit(3.0))))
 
     return once(rings, centre)

@@ -255,7 +255,7 @@ def _clip_side(rings: Column, axis: str, bound: Column, keep_ge: bool) -> Column
     """Sutherland-Hodgman: every ring clipped to one side of a line parallel to an axis.
 
     Intersections are put exactly on the line, so axis-aligned pieces keep
-    exact coordinates.
+    exact coordinates.  A ring that lies on the side whole stays as it is.
     """
     other = "y" if axis == "x" else "x"
 
@@ -266,17 +266,16 @@ def _clip_side(rings: Column, axis: str, bound: Column, keep_ge: bool) -> Column
         x, y = (bound, across) if axis == "x" else (across, bound)
         return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
-    def clip(ring):
-        n = F.size(ring)
-
-        def step(i):
-            cur, prev = F.get(ring, i), F.get(ring, (i + n - 1) % n)
-            t = (bound - prev[axis]) / (cur[axis] - prev[axis])
-            cross = F.when(inside(cur) != inside(prev), point(bound, prev[other] + t * (cur[other] - prev[other])))
-            own = F.when(inside(cur), F.struct(cur["x"].alias("x"), cur["y"].alias("y")))
-            return F.filter(F.array(cross, own), lambda p: p.isNotNull())
+    def step(e):
+        a, b = e["a"], e["b"]  # the vertex before and the vertex
+        t = (bound - a[axis]) / (b[axis] - a[axis])
+        cross = point(bound, a[other] + t * (b[other] - a[other]))
+        return F.when(e["ain"] != e["bin"], F.when(e["bin"], F.array(cross, b)).otherwise(F.array(cross))).when(e["bin"], F.array(b)).otherwise(F.array().cast(geo.RING))
 
-        return F.flatten(F.transform(F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>")), step))
+    def clip(ring):
+        edges = F.transform(ring, lambda p, i: geo.once(F.get(ring, (i + F.size(ring) - 1) % F.size(ring)), lambda q: geo.named(
+            a=q, b=p, ain=inside(q), bin=inside(p))))
+        return F.when(F.forall(ring, inside), ring).otherwise(F.coalesce(F.flatten(F.transform(edges, step)), F.array().cast(geo.RING)))
 
     return F.transform(rings, clip)
 
@@ -351,25 +350,37 @@ def polygons_touching_cells(polys: DataFrame, grid: Grid, rings: str = "rings")
     They meet if they share area or an edge of a ring meets the cell.  Rings
     are clipped only in cells that an edge meets; any other cell lies wholly
     inside, and its piece is its own square (holes: none), or wholly outside.
+
+    A polygon is small and its cells are many, so polygons are dealt over
+    tasks first (an input split may hold them all).  Its rings and edges are
+    cut to each column of cells once, and only the rows that they reach there
+    are candidates.
     """
     c = F.col
     keep = polys.columns
-    b = geo.bounds(c(rings))
-    edges = F.flatten(F.transform(c(rings), geo.ring_edges))
-    cand = polys.select(*keep, edges.alias("_cf_edges"), b.alias("_cf_b"))
-    cand = cand.withColumn("ix", explode_range(*grid.col_range(c("_cf_b")["xmin"], c("_cf_b")["xmax"])))
-    cand = cand.withColumn("iy", explode_range(*grid.row_range(c("_cf_b")["ymin"], c("_cf_b")["ymax"])))
-    x0, y0, x1, y1 = box = [f(c(k)) for f, k in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy"))]
+    polys = polys.repartition(rings)
+    plain = F.transform(c(rings), lambda r: F.transform(r, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
+    cand = polys.select(*keep, plain.alias("_cf_plain"), F.flatten(F.transform(c(rings), geo.ring_edges)).alias("_cf_edges"), geo.bounds(c(rings)).alias("_cf_b"))
+    low, high = grid.row_range(c("_cf_b")["ymin"], c("_cf_b")["ymax"])
+    odd = F.exists("_cf_plain", lambda r: F.exists(r, lambda p: p["x"].isNull() | p["y"].isNull()))  # a missing coordinate: every row stays a candidate
+    # rounding in a cut ring must not lose a row that the exact test would keep
+    tol = F.lit(_TOL * grid.dy) + F.lit(1e-12) * F.greatest(F.abs(c("_cf_b")["ymin"]), F.abs(c("_cf_b")["ymax"]))
+    cand = cand.select(*keep, "_cf_plain", "_cf_edges", low.alias("_cf_ja"), high.alias("_cf_jb"), tol.alias("_cf_tol"), F.coalesce(odd, F.lit(False)).alias("_cf_odd"),
+                       explode_range(*grid.col_range(c("_cf_b")["xmin"], c("_cf_b")["xmax"])).alias("ix"))
+    x0, y0, x1, y1 = (f(c(k)) for f, k in ((grid.xmin, "ix"), (grid.ymin, "iy"), (grid.xmax, "ix"), (grid.ymax, "iy")))
     x, y = (x0 + x1) / 2.0, (y0 + y1) / 2.0
-    met = F.exists("_cf_edges", lambda e: geo.clip_segment(e["ax"], e["ay"], e["bx"], e["by"], *box)["hit"])
+    strip = _clip_side(_clip_side(c("_cf_plain"), "x", x0, True), "x", x1, False)
+    cand = cand.select("*", strip.alias("_cf_strip"), geo.column_edges(c("_cf_edges"), x0, x1).alias("_cf_met"))
+    heights = F.flatten(F.transform("_cf_strip", lambda r: F.transform(r, lambda p: p["y"])))
+    cand = cand.withColumns({"_cf_low": F.array_min(heights) - c("_cf_tol"), "_cf_high": F.array_max(heights) + c("_cf_tol")})
+    ja, jb = grid.row_range(c("_cf_low"), c("_cf_high"))
+    cand = cand.withColumn("iy", explode_range(F.when(c("_cf_odd"), c("_cf_ja")).otherwise(F.greatest("_cf_ja", ja)), F.when(c("_cf_odd"), c("_cf_jb")).otherwise(F.least("_cf_jb", jb))))
+    met = F.exists("_cf_met", lambda e: geo.column_edge_hits(e, y0, y1))
     crossed = F.filter("_cf_edges", lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < e["ax"] + F.try_divide((y - e["ay"]) * (e["bx"] - e["ax"]), e["by"] - e["ay"])))
-    plain = clipped = F.transform(c(rings), lambda r: F.transform(r, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
-    for axis, bound, ge in (("x", x0, True), ("x", x1, False), ("y", y0, True), ("y", y1, False)):
-        clipped = _clip_side(clipped, axis, bound, ge)
+    clipped = _clip_side(_clip_side(c("_cf_strip"), "y", y0, True), "y", y1, False)
     square = F.get(geo.rect_ring(x0, y0, x1, y1), 0)
-    whole = F.transform(plain, lambda r, i: F.when(i == 0, square).otherwise(F.slice(r, 1, 0)))
-    piece = F.when(met, clipped).when(F.size(crossed) % 2 == 1, whole)
+    whole = F.transform("_cf_plain", lambda r, i: F.when(i == 0, square).otherwise(F.slice(r, 1, 0)))
     # exploded, not filtered: a filter is pushed down and would compute the pieces twice
-    got = geo.once(piece, lambda p: F.when(p.isNotNull(), F.array(F.named_struct(F.lit("piece"), p, F.lit("cell_area"), F.coalesce(geo.polygon_area(p), F.lit(0.0))))))
-    return cand.withColumn("_cf_p", F.explode(got)).select(
-        *keep, "ix", "iy", grid.gid(c("ix"), c("iy")).alias("gid"), c("_cf_p.piece").alias("piece"), c("_cf_p.cell_area").alias("cell_area"))
+    got = F.when(met, F.array(clipped)).when(F.size(crossed) % 2 == 1, F.array(whole))
+    return cand.select(*keep, "ix", "iy", F.explode(got).alias("piece")).select(
+        *keep, "ix", "iy", grid.gid(c("ix"), c("iy")).alias("gid"), "piece", F.coalesce(geo.polygon_area(c("piece")), F.lit(0.0)).alias("cell_area"))

@@ -215,6 +215,44 @@ def test_touching_cells_inside_across_and_in_holes(spark):
     assert {(4, 3), (8, 7), (2, 2), (9, 9)} <= cells
 
 
+def test_touching_cells_match_brute_force(spark):
+    """Every cell that an edge meets, holes that reach out of the shell included, or whose centre lies inside; none twice."""
+    r = random.Random(5)
+    g = Grid(nx=9, ny=8)
+
+    def ring(n):
+        x, y, size, snap = r.uniform(-1, 10), r.uniform(-1, 9), r.choice([0.3, 2.0, 5.0]), r.choice([1, 4, 1000])
+        return [(round((x + r.uniform(-size, size)) * snap) / snap, round((y + r.uniform(-size, size)) * snap) / snap) for _ in range(n)]
+
+    polys = [(i, [ring(r.choice([1, 3, 4, 9])) for _ in range(r.choice([1, 1, 2]))]) for i in range(80)]
+    polys.append((80, [[(1.0, 1.0), (4.0, 1.0), (4.0, 4.0)], [(2.5, 0.5), (3.5, 7.5), (2.5, 7.5)]]))
+    got = [(x.poly_id, x.gid) for x in spatial.polygons_touching_cells(_poly_df(spark, polys), g).collect()]
+    want = set()
+    for i, rings in polys:
+        xs, ys = [x for x, _ in rings[0]], [y for _, y in rings[0]]
+        met = {gid for one in rings for a, b in zip(one, one[1:] + one[:1]) for gid in brute_segment((*a, *b), g)}
+        for gid in range(1, g.nx * g.ny + 1):
+            ix, iy = divmod(gid - 1, g.ny)
+            near = ix <= max(xs) and ix + 1 >= min(xs) and iy <= max(ys) and iy + 1 >= min(ys)  # cells of the shell's bounds
+            if near and (gid in met or _within(ix + 0.5, iy + 0.5, rings)):
+                want.add((i, gid))
+    assert len(got) == len(set(got)) and set(got) == want and len({i for i, _ in want}) > 50
+
+
+def test_touching_cells_of_polygons_with_missing_coordinates(spark):
+    """A missing vertex costs no row of the others."""
+    rows = [(1, [[(1.0, 1.0), (4.5, 2.0), None, (3.0, 4.0)]]), (2, [[(1.0, 1.0), (None, 2.0), (3.0, None), (3.0, 4.0)]]), (3, [[(0.5, 0.5), (2.5, 0.5), (2.5, 2.5)], None]),
+            (4, None), (5, []), (6, [[]]), (None, [[(0.5, 0.5), (2.5, 0.5), (2.5, 2.5)]])]
+    df = spark.createDataFrame([(k, rings and [one and [p and {"x": p[0], "y": p[1]} for p in one] for one in rings]) for k, rings in rows],
+                               "k int, rings array<array<struct<x: double, y: double>>>")
+    got = {}
+    for r in spatial.polygons_touching_cells(df, GRID).collect():
+        got.setdefault(r.k, set()).add((r.ix, r.iy))
+    assert set(got) == {1, 2, 3, None}
+    assert got[3] == got[None] == {(0, 0), (1, 0), (2, 0), (0, 1), (1, 1), (2, 1), (1, 2), (2, 2)}  # corners touch
+    assert {(0, 0), (1, 1), (4, 1)} <= got[1] and (3, 4) in got[1] and (3, 3) in got[2]
+
+
 def test_centroid_and_area_of_missing_rings(spark):
     df = spark.createDataFrame([(1, None), (2, [])], "id int, rings array<array<struct<x: double, y: double>>>")
     got = df.select(geo.polygon_area(F.col("rings")).alias("a"), geo.polygon_centroid(F.col("rings"))["x"].alias("x")).collect()

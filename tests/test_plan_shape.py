@@ -87,5 +87,12 @@ def test_polygon_cells_are_summed_where_the_polygon_is(spark, name):
     assert not [x for x in plan.splitlines() if "hashpartitioning(ind_id" in x and "ix#" in x]
 
 
+def test_polygons_are_dealt_over_tasks_before_their_cells(spark):
+    lines = executed_plan(spark, "site_cells").split("== Initial Plan ==")[0].splitlines()
+    dealt = next(i for i, x in enumerate(lines) if "hashpartitioning(rings" in x)
+    cells = [i for i, x in enumerate(lines) if "Generate explode" in x]
+    assert len(cells) == 3 and max(cells) < dealt  # printed from the last step to the first
+
+
 def test_category_totals_are_not_read_from_written_cells(spark):
     assert "road-cells" not in executed_plan(spark, "category_share")
