@@ -1,8 +1,10 @@
+import os
 import random
 
 import pytest
 
 from cellflux.operators import dissolve
+from cellflux.session import ensure_checkpoint_dir
 
 
 def flood(cells, steps):
@@ -75,3 +77,29 @@ def test_empty_table_and_plan(spark):
     assert dissolve.rings(empty, ["f"]).count() == 0
     plan = dissolve.outline_sides(empty, ["f"])._jdf.queryExecution().executedPlan().toString()
     assert "collect_" not in plan and "Window" not in plan
+
+
+def ring_rows(df):
+    return sorted((r.f, r.ring, r.pos, r.x, r.y, r.x_next, r.y_next) for r in df.collect())
+
+
+@pytest.mark.parametrize("whole", [0, 5, 120])
+def test_rings_are_the_same_whichever_way(spark, whole):
+    want = features(3)
+    rows = [(k, x, y) for k, cells in want.items() for x, y in cells] * 2 + [(None, 1, 1), ("none", None, 1)]
+    random.Random(3).shuffle(rows)
+    cells = spark.createDataFrame(rows, "f string, ix int, iy int").repartition(3)
+    assert ring_rows(dissolve.rings(cells, ["f"], whole)) == ring_rows(dissolve.rings(cells, ["f"]))
+    wide = spark.createDataFrame([(k, x * (1 << 24), y * (1 << 24)) for k in range(300) for x in range(3) for y in range(3)], "f long, ix long, iy long")
+    assert ring_rows(dissolve.rings(wide, ["f"])) == ring_rows(dissolve.rings(wide, ["f"], 0))
+
+
+def test_features_that_fit_are_not_written(spark):
+    """Their sides and jumps stay in the task: one exchange of cells, nothing in the shared folder."""
+    before = set(os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")))
+    cells = spark.createDataFrame([(k, x, y) for k in range(50) for x in range(4) for y in range(3)], "f long, ix int, iy int")
+    df = dissolve.rings(cells, ["f"])
+    assert df.count() == 50 * 14
+    assert set(os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:"))) == before
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
